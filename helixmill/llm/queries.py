@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import op1_wavelet, op2_bpe, op5_packing
+from . import op1_wavelet, op2_bpe, op4_urls, op5_packing, op7_exact, op8_secrets, op10_topk
 from .common import documents, shared_dir
 
 TOKENIZER = "word_bpe_49k.json"
@@ -28,13 +29,30 @@ def op2_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op2_bpe.encode_decode(documents(spark, sf_dir), tokenizer_path())
 
 
+def op4_url_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame([(r, v) for v, r in op4_urls.RULES], "rule string, verdict string")
+    return op4_urls.judge(documents(spark, sf_dir, "pages"), rules)
+
+
 def op5_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op5_packing.best_fit(documents(spark, sf_dir), tokenizer_path(), end_id=0, capacity=2048)
 
 
+def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op7_exact.dedup(documents(spark, sf_dir))
+
+
+def op8_secret_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op8_secrets.scan(documents(spark, sf_dir))
+
+
+def op10_top_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op10_topk.top_k(documents(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_wavelet_ids, op2_bpe_roundtrip, op5_best_fit)}
+    return {f.__name__: f for f in (op1_wavelet_ids, op2_bpe_roundtrip, op4_url_verdicts, op5_best_fit, op7_exact_dedup, op8_secret_spans, op10_top_scores)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op4_url_verdicts": op4_urls.SQL, "op7_exact_dedup": op7_exact.SQL, "op8_secret_spans": op8_secrets.SQL, "op10_top_scores": op10_topk.SQL}
