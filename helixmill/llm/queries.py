@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import op1_wavelet, op2_bpe, op4_urls, op5_packing, op7_exact, op8_secrets, op10_topk
+from . import op1_wavelet, op2_bpe, op4_urls, op5_packing, op6_language, op7_exact, op8_secrets, op9_minhash, op10_topk
 from .common import documents, shared_dir
 
 TOKENIZER = "word_bpe_49k.json"
@@ -38,6 +38,11 @@ def op5_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op5_packing.best_fit(documents(spark, sf_dir), tokenizer_path(), end_id=0, capacity=2048)
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return op6_language.identify(docs, op6_language.fit(docs))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op7_exact.dedup(documents(spark, sf_dir))
 
@@ -46,12 +51,16 @@ def op8_secret_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op8_secrets.scan(documents(spark, sf_dir))
 
 
+def op9_near_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op9_minhash.classes(documents(spark, sf_dir))
+
+
 def op10_top_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op10_topk.top_k(documents(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_wavelet_ids, op2_bpe_roundtrip, op4_url_verdicts, op5_best_fit, op7_exact_dedup, op8_secret_spans, op10_top_scores)}
+    return {f.__name__: f for f in (op1_wavelet_ids, op2_bpe_roundtrip, op4_url_verdicts, op5_best_fit, op6_language_id, op7_exact_dedup, op8_secret_spans, op9_near_classes, op10_top_scores)}
 
 
 def oracle_sql() -> dict[str, str]:
