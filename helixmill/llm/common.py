@@ -135,3 +135,53 @@ def shingle_hashes(h: np.ndarray, doc: np.ndarray, k: int = 5) -> tuple[np.ndarr
     keep = (left >= k) | (first & (left < k))
     at = np.flatnonzero(keep)
     return mix(out[at] + np.uint64(1)), doc[at], at
+
+
+def member_filter(keys: DataFrame, column: str, bits: int = 1 << 23):
+    """A mapInArrow function that keeps the rows whose `column` may be among `keys` (one long column).
+
+    The keys go into one bitmap of fixed size (1 MB), however many there are; few others pass while they are few,
+    and all rows pass when they are many, so an exact join must follow. It spares that join the other rows' texts.
+    """
+    own = keys.columns[0]
+    bit = keys.filter(F.col(own).isNotNull()).select(F.pmod(F.hash(F.col(own).cast("long")), F.lit(bits)).alias("bit")).distinct()
+    packed = bit.groupBy(F.expr("bit div 32").alias("slot")).agg(F.bit_or(F.expr("shiftleft(1L, cast(bit % 32 as int))")).alias("mask")).collect()
+    table = np.zeros(bits // 32, np.uint32)
+    for row in packed:
+        table[row.slot] = row.mask
+    filled = np.unpackbits(table.astype("<u4").view(np.uint8), bitorder="little").view(bool)
+    small = np.packbits(filled)
+
+    def run(batches):
+        known = np.unpackbits(small, count=bits).view(bool)
+        for batch in batches:
+            h = np.array(batch.column(column).to_numpy(zero_copy_only=False), np.int64)
+            yield batch.filter(_as_mask(known[_murmur_long(h).astype(np.int64) % bits]))
+
+    return run
+
+
+def _as_mask(x: np.ndarray):
+    import pyarrow as pa
+
+    return pa.array(x, pa.bool_())
+
+
+def _murmur_long(x: np.ndarray) -> np.ndarray:
+    """Spark's hash() of one long (murmur3, 32 bits, seed 42), as signed 32 bits."""
+    u = x.astype(np.int64).view(np.uint64)
+    h = np.full(len(u), 42, np.uint32)
+    for k in ((u & np.uint64(0xFFFFFFFF)).astype(np.uint32), (u >> np.uint64(32)).astype(np.uint32)):
+        k = k * np.uint32(0xCC9E2D51)
+        k = (k << np.uint32(15)) | (k >> np.uint32(17))
+        k = k * np.uint32(0x1B873593)
+        h ^= k
+        h = (h << np.uint32(13)) | (h >> np.uint32(19))
+        h = h * np.uint32(5) + np.uint32(0xE6546B64)
+    h ^= np.uint32(8)
+    h ^= h >> np.uint32(16)
+    h = h * np.uint32(0x85EBCA6B)
+    h ^= h >> np.uint32(13)
+    h = h * np.uint32(0xC2B2AE35)
+    h ^= h >> np.uint32(16)
+    return h.view(np.int32)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import op1_wavelet, op2_bpe, op4_urls, op5_packing, op6_language, op7_exact, op8_secrets, op9_minhash, op10_topk
+from . import op1_wavelet, op2_bpe, op3_chains, op4_urls, op5_packing, op6_language, op7_exact, op8_secrets, op9_minhash, op10_topk
 from .common import documents, shared_dir
 
 TOKENIZER = "word_bpe_49k.json"
@@ -29,6 +29,10 @@ def op2_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op2_bpe.encode_decode(documents(spark, sf_dir), tokenizer_path())
 
 
+def op3_fuzzy_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op3_chains.passages(documents(spark, sf_dir))
+
+
 def op4_url_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame([(r, v) for v, r in op4_urls.RULES], "rule string, verdict string")
     return op4_urls.judge(documents(spark, sf_dir, "pages"), rules)
@@ -60,7 +64,7 @@ def op10_top_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_wavelet_ids, op2_bpe_roundtrip, op4_url_verdicts, op5_best_fit, op6_language_id, op7_exact_dedup, op8_secret_spans, op9_near_classes, op10_top_scores)}
+    return {f.__name__: f for f in (op1_wavelet_ids, op2_bpe_roundtrip, op3_fuzzy_passages, op4_url_verdicts, op5_best_fit, op6_language_id, op7_exact_dedup, op8_secret_spans, op9_near_classes, op10_top_scores)}
 
 
 def oracle_sql() -> dict[str, str]:
