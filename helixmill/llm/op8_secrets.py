@@ -58,13 +58,12 @@ def _joined(spans: Column) -> Column:
     return F.array_join(F.transform(F.array_sort(spans), lambda s: F.concat_ws(":", F.element_at(names, s["ord"] + 1), s["start"], s["stop"])), ",")
 
 
-def scan(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
-    """doc_id, the base counts, base_sha256 and all spans of every row of `docs` (doc_id, text)."""
+def _found(docs: DataFrame, scope: int) -> DataFrame:
+    """doc_id, key (equal for rows of one id and text), the spans of each kind and the linked weak spans."""
     found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
     for kind in BASE + WEAK:
         found = find(found, kind)
-    key = F.struct(F.col("doc_id"), F.xxhash64("text").alias("a"), F.hash("text").alias("b")) # rows alike in all three have the same spans
-    found = materialize(found.withColumn("key", F.to_json(key)).drop("text"), "op8-spans")
+    found = materialize(found.withColumn("key", _row_key()).drop("text"), "op8-spans")
     both = found.filter((F.size("secret") + F.size("endpoint") > 0) & (F.size("access") + F.size("assign") > 0))
     weak = both.select("key", F.explode(F.concat("secret", "endpoint")).alias("w")).distinct().withColumn("bin", F.expr(f"w.start div {scope}"))
     anchor = both.select("key", F.explode(F.concat("access", "assign")).alias("a")).distinct()
@@ -73,9 +72,36 @@ def scan(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
     near = (F.col("w.start") >= F.col("a.start") - scope) & (F.col("w.stop") <= F.col("a.stop") + scope)
     linked = weak.join(anchor, (F.col("key") == F.col("k")) & (F.col("bin") == F.col("b")) & near & complete, "left_semi")
     linked = linked.groupBy("key").agg(F.collect_list("w").alias("linked"))
-    base = F.concat("assign", "access", "hex")
-    out = found.join(linked, "key", "left")
-    return out.select("doc_id", *(F.size(k).cast("long").alias(f"n_{k}") for k in ("assign", "access", "hex")), F.sha2(_joined(base), 256).alias("base_sha256"), _joined(F.concat(base, F.coalesce("linked", F.array().cast(SPANS)))).alias("spans"))
+    out = found.join(linked, "key", "left").withColumn("linked", F.coalesce("linked", F.array().cast(SPANS)))
+    return out.withColumn("base", F.concat("assign", "access", "hex"))
+
+
+def _row_key() -> Column:
+    return F.concat_ws(":", F.col("doc_id").cast("long"), F.hex(F.xxhash64(F.coalesce("text", F.lit("")))), F.hash(F.coalesce("text", F.lit(""))))
+
+
+def scan(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
+    """doc_id, the base counts, base_sha256 and all spans of every row of `docs` (doc_id, text)."""
+    found = _found(docs, scope)
+    counts = (F.size(k).cast("long").alias(f"n_{k}") for k in ("assign", "access", "hex"))
+    return found.select("doc_id", *counts, F.sha2(_joined(F.col("base")), 256).alias("base_sha256"), _joined(F.concat("base", "linked")).alias("spans"))
+
+
+def redact(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
+    """`docs` with every span in `text` replaced by its kind in brackets, and n_chars set to the new length.
+
+    Spans that overlap count as one, under the kind of the first. Null texts stay null.
+    """
+    spans = _found(docs, scope).select("key", F.array_sort(F.concat("base", "linked")).alias("_spans")).filter(F.size("_spans") > 0).dropDuplicates(["key"])
+    names = "array(" + ", ".join(f"'[{k}]'" for k in ORDER) + ")"
+    step = f"""CASE WHEN s.start >= acc.pos
+        THEN named_struct('pos', s.stop, 'out', concat(acc.out, substring(text, cast(acc.pos + 1 as int), cast(s.start - acc.pos as int)), {names}[s.ord]))
+        ELSE named_struct('pos', greatest(acc.pos, s.stop), 'out', acc.out) END"""
+    masked = f"aggregate(_spans, named_struct('pos', 0L, 'out', ''), (acc, s) -> {step}, acc -> concat(acc.out, substring(text, cast(acc.pos + 1 as int))))"
+    out = docs.withColumn("key", _row_key()).join(spans, "key", "left").withColumn("text", F.expr(f"CASE WHEN _spans IS NULL THEN text ELSE {masked} END"))
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.when(F.col("_spans").isNull(), F.col("n_chars")).otherwise(F.char_length("text").cast(docs.schema["n_chars"].dataType)))
+    return out.select(docs.columns)
 
 
 def _sql_find(name: str, pattern: str, group: int, least: int, most: int | None) -> str:
