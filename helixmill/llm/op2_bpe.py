@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import wordbpe
-from .common import materialize, partitions_for, small_batches
+from .common import partitions_for, small_batches
 
 _PARTS = "block long, bucket int, doc_id long, data binary"
 _SCHEMA = pa.schema([("block", pa.int64()), ("bucket", pa.int32()), ("doc_id", pa.int64()), ("data", pa.binary())])
@@ -45,7 +45,13 @@ def _unpack(data: bytes) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view("<u4").reshape(-1)
 
 
-def _split(buckets: int, block_chars: int):
+def _split(buckets: int, block_chars: int, words_out: bool):
+    """Rows of word numbers (bucket -1) with the block's buckets (-2), or else the block's words by bucket.
+
+    Both are computed from the same scan, so that nothing but the shuffles is stored; a digest of the block's words
+    travels with either and is compared where they meet.
+    """
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zlib
 
@@ -58,12 +64,15 @@ def _split(buckets: int, block_chars: int):
         def words() -> Iterator[pa.RecordBatch]:
             if not numbers:
                 return
-            by: list[list[str]] = [[] for _ in range(buckets)]
+            seen = hashlib.blake2b("\n".join(numbers).encode(), digest_size=16).digest()
             of = np.fromiter((zlib.crc32(w.encode()) % buckets for w in numbers), np.uint32, len(numbers))
-            for w, k in zip(numbers, of.tolist()):
-                by[k].append(w)
-            rows = [(k, z.compress("\n".join(ws).encode())) for k, ws in enumerate(by) if ws]
-            rows.append((-2, _pack(of, z)))
+            if words_out:
+                by: list[list[str]] = [[] for _ in range(buckets)]
+                for w, k in zip(numbers, of.tolist()):
+                    by[k].append(w)
+                rows = [(k, seen + z.compress("\n".join(ws).encode())) for k, ws in enumerate(by) if ws]
+            else:
+                rows = [(-2, seen + _pack(of, z))]
             yield pa.RecordBatch.from_arrays([pa.array([block] * len(rows), pa.int64()), pa.array([k for k, _ in rows], pa.int32()), pa.nulls(len(rows), pa.int64()), pa.array([d for _, d in rows], pa.binary())], schema=_SCHEMA)
 
         for batch in batches:
@@ -71,9 +80,11 @@ def _split(buckets: int, block_chars: int):
             get = numbers.__getitem__
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 ws = wordbpe.split(text)
-                ids.append(doc)
-                data.append(_pack(np.fromiter(map(get, ws), np.uint32, len(ws)), z))
+                n = np.fromiter(map(get, ws), np.uint32, len(ws))
                 chars += len(text)
+                if not words_out:
+                    ids.append(doc)
+                    data.append(_pack(n, z))
             yield pa.RecordBatch.from_arrays([pa.array([block] * len(ids), pa.int64()), pa.array([-1] * len(ids), pa.int32()), pa.array(ids, pa.int64()), pa.array(data, pa.binary())], schema=_SCHEMA)
             if chars >= block_chars:
                 yield from words()
@@ -86,14 +97,15 @@ def _split(buckets: int, block_chars: int):
 def _encode_bucket(path: str):
     def run(table: pa.Table) -> pa.Table:
         t = wordbpe.load(path)
-        asked = [zstandard.decompress(d).decode().split("\n") for d in table.column("data").to_pylist()]
+        rows = table.column("data").to_pylist()
+        asked = [zstandard.decompress(d[16:]).decode().split("\n") for d in rows]
         distinct = list({w for ws in asked for w in ws})
         ids = dict(zip(distinct, wordbpe.encode_words(t, distinct)))
         z, out = zstandard.ZstdCompressor(level=1), []
-        for ws in asked:
+        for row, ws in zip(rows, asked):
             got = [ids[w] for w in ws]
             size = np.array([len(x) // 2 for x in got], "<u4").tobytes()
-            out.append(z.compress(np.uint32(len(got)).tobytes() + size + b"".join(got)))
+            out.append(row[:16] + z.compress(np.uint32(len(got)).tobytes() + size + b"".join(got)))
         return pa.table({"block": table.column("block"), "bucket": table.column("bucket"), "doc_id": pa.nulls(len(out), pa.int64()), "data": pa.array(out, pa.binary())}, schema=_SCHEMA)
 
     return run
@@ -104,11 +116,13 @@ def _assemble(path: str):
         t = wordbpe.load(path)
         piece = [t.id_to_token(i).encode() if t.id_to_token(i) is not None else b"" for i in range(t.get_vocab_size(with_added_tokens=True))]
         rows = list(zip(docs.column("bucket").to_pylist(), docs.column("doc_id").to_pylist(), docs.column("data").to_pylist()))
-        bucket_of = next((_unpack(d) for k, _, d in rows if k == -2), np.zeros(0, np.uint32))
+        seen, bucket_of = next(((d[:16], _unpack(d[16:])) for k, _, d in rows if k == -2), (b"", np.zeros(0, np.uint32)))
         order = np.argsort(bucket_of, kind="stable")
         size, data = [], []
         for _, reply in sorted(zip(replies.column("bucket").to_pylist(), replies.column("data").to_pylist())):
-            raw = zstandard.decompress(reply)
+            if reply[:16] != seen:
+                raise ValueError("the rows of a partition changed their order between two scans")
+            raw = zstandard.decompress(reply[16:])
             n = int.from_bytes(raw[:4], "little")
             size.append(np.frombuffer(raw, "<u4", n, 4))
             data.append(np.frombuffer(raw, "<u2", -1, 4 + 4 * n))
@@ -145,7 +159,7 @@ def encode_decode(docs: DataFrame, path: str, block_chars: int = 32_000_000, buc
     small_batches(docs.sparkSession)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
     buckets = partitions_for(texts, bucket_bytes, 8)
-    parts = materialize(texts.mapInArrow(_split(buckets, block_chars), _PARTS), "op2-parts")
-    asked = parts.filter("bucket >= 0")
+    asked = texts.mapInArrow(_split(buckets, block_chars, True), _PARTS)
+    rows = texts.mapInArrow(_split(buckets, block_chars, False), _PARTS)
     encoded = asked.groupBy("bucket").applyInArrow(_encode_bucket(path), _PARTS)
-    return parts.filter("bucket < 0").groupBy("block").cogroup(encoded.groupBy("block")).applyInArrow(_assemble(path), RESULT)
+    return rows.groupBy("block").cogroup(encoded.groupBy("block")).applyInArrow(_assemble(path), RESULT)
