@@ -13,6 +13,9 @@ _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 
 
+_OWN: dict[str, str] = {}
+
+
 def documents(spark: SparkSession, sf_dir: str, table: str = "documents") -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
@@ -24,8 +27,8 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        base = tempfile.mkdtemp(prefix="helixmill-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        app = spark.sparkContext.applicationId
+        base = _OWN.get(app) or _OWN.setdefault(app, tempfile.mkdtemp(prefix="helixmill-"))
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
@@ -155,7 +158,7 @@ def member_filter(keys: DataFrame, column: str, bits: int = 1 << 23):
     def run(batches):
         known = np.unpackbits(small, count=bits).view(bool)
         for batch in batches:
-            h = np.array(batch.column(column).to_numpy(zero_copy_only=False), np.int64)
+            h = np.array(batch.column(column).fill_null(0).to_numpy(zero_copy_only=False), np.int64)
             yield batch.filter(_as_mask(known[_murmur_long(h).astype(np.int64) % bits]))
 
     return run

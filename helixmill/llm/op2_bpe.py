@@ -7,7 +7,7 @@
 3. Blocks join their ids back by position; a bounded id-to-piece table decodes them.
 
 A word shared by all documents is one row for each block, so no key is hot. Null texts count as empty (no ids,
-empty decoded text); repeated rows give repeated results; other columns are ignored; an empty table gives none.
+empty decoded text); a null doc_id stays null; repeated rows give repeated results; other columns are ignored; an empty table gives none.
 """
 
 from __future__ import annotations

@@ -7,7 +7,7 @@ Rules that began in an earlier partition are found by an equi-join of the prefix
 Only distinct urls are swept, so a url that many pages share costs one sweep; keys of a hot host spread by path.
 
 A null url or one without `://` has empty host and path and no rule. The verdict without a rule is the method's:
-allow. Of several fitting rules the one with the longest text wins; of equal rules, block. Repeated pages give
+allow. A null page_id stays null. Of several fitting rules the one with the longest text wins; of equal rules, block. Repeated pages give
 repeated rows; other columns are ignored; an empty table gives no rows.
 """
 

@@ -8,7 +8,7 @@ driver and its size does not grow with the input. Only text and lang of document
 learned from; prediction sees the text alone.
 
 A text that is null or has no letter is `und` with score 0. Without any labelled training document every text is
-`und`. Repeated rows give repeated results; other columns are ignored; an empty table gives no rows. Whole texts
+`und`. A null doc_id stays null and is in no fold. Repeated rows give repeated results; other columns are ignored; an empty table gives no rows. Whole texts
 are read, however long.
 """
 

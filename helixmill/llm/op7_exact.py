@@ -9,7 +9,7 @@ a third of all rows share is one entry in each run and a bounded number of rows
 
 Two rows count as equal if SHA-256 and byte length of their normalised texts agree, checked at every level. Null
 texts count as empty; repeated rows are rows of their own (ties go to the smallest doc_id, and rows that share that
-id are all kept); other columns are ignored; an empty table gives no rows.
+id are all kept); rows without doc_id are left out; other columns are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -94,7 +94,7 @@ def dedup(docs: DataFrame, block_bytes: int = 1 << 20, least_blocks: int = 64) -
     """doc_id, keep_id, group_size, kept and text_sha256 for every row of `docs` (doc_id, text)."""
     text = F.coalesce(F.col("text"), F.lit(""))
     own = F.regexp_replace(text, SPACE, "")
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.char_length(text).cast("long").alias("chars"), own.alias("own"))
+    rows = docs.filter("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), F.char_length(text).cast("long").alias("chars"), own.alias("own"))
     # sha2 gives hex; the key is the digest and the size, 40 bytes that order as numbers do
     key = F.concat(F.unhex(F.sha2("own", 256)), F.unhex(F.lpad(F.hex(F.octet_length("own").cast("long")), 16, "0")))
     rows = materialize(rows.select("doc_id", "chars", key.alias("key")), "op7-digests")

@@ -5,7 +5,7 @@ the matches, so their running lengths are the code-point positions. Weak candida
 secret, an endpoint) say little alone; an interval join by (row, bin of positions) keeps those that lie within the
 scope of an access identifier, and an endpoint also within that of an assigned secret.
 
-Null texts count as empty (no spans; the digest is that of the empty string); repeated rows give repeated results;
+Null texts count as empty (no spans; the digest is that of the empty string); a null doc_id stays null; repeated rows give repeated results;
 other columns are ignored; an empty table gives no rows. Running lengths are summed in runs of 128 matches, so a
 very long text with very many matches does not cost the square of their number.
 """

@@ -52,6 +52,7 @@ def test_exact_dedup(spark):
         want.append((d, keep, len(by[k]), d == keep, hashlib.sha256(k.encode()).hexdigest()))
     assert got == sorted(want)
     assert op7_exact.dedup(table(spark, []), least_blocks=5).count() == 0
+    assert op7_exact.dedup(table(spark, [(None, "a"), (1, "a")]), least_blocks=5).collect()[0].group_size == 1
     kept = op7_exact.keep(table(spark, rows))
     assert sorted(r.doc_id for r in kept.collect()) == [1, 4, 6, 8, 10] and "block" in kept.columns
 
@@ -104,6 +105,7 @@ def test_secret_scan(spark):
         want.append((d, n["assign"], n["access"], n["hex"], hashlib.sha256(join(base).encode()).hexdigest(), join(every)))
     assert got == sorted(want)
     assert op8_secrets.scan(table(spark, [])).count() == 0
+    assert op8_secrets.scan(table(spark, [(None, SECRETS[6])])).first().n_access == 2
 
 
 def test_secret_redaction(spark):
@@ -173,6 +175,8 @@ def test_near_classes(spark):
     kept = op9_minhash.keep(table(spark, texts))
     assert sorted(r.doc_id for r in kept.collect()) == sorted(set(got.values()))
     assert op9_minhash.classes(table(spark, [])).count() == 0
+    some = [(None, texts[1][1]), (1, texts[1][1]), (None, texts[2][1]), (2**60, texts[3][1]), (2**60 + 1, texts[3][1] + " tail")]
+    assert sorted((r.doc_id or 0, r.class_id or 0) for r in op9_minhash.classes(table(spark, some)).collect()) == [(0, 0), (0, 1), (1, 1), (2**60, 2**60), (2**60 + 1, 2**60)]
 
 
 def test_weighted_samples_estimate_jaccard():

@@ -84,6 +84,14 @@ def test_empty_tables(spark, docs):
     assert op2_bpe.encode_decode(none, PATH).count() == 0 and op5_packing.best_fit(none, PATH).count() == 0
 
 
+def test_null_ids(spark):
+    docs = spark.createDataFrame([(None, "a b"), (2, "c")], "doc_id long, text string")
+    out = shared_dir(spark, "t1")
+    op1_wavelet.write_shards(docs, out, PATH)
+    assert [r.doc_id for r in op1_wavelet.read_documents(spark, out).collect()] == [2]
+    assert {r.doc_id for r in op2_bpe.encode_decode(docs, PATH).collect()} == {r.doc_id for r in op5_packing.best_fit(docs, PATH).collect()} == {None, 2}
+
+
 @pytest.mark.parametrize("block_chars", [10, 10**7])
 def test_encode_decode(docs, ids, block_chars):
     t = wordbpe.load(PATH)
