@@ -14,7 +14,6 @@ are read, however long.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,7 +25,6 @@ from .common import small_batches
 
 HIDDEN, WINDOW, SAMPLE, TRAIN_BYTES = 8, 128, 600, 64
 RESULT = "doc_id long, held_out boolean, lang_pred string, score double"
-_LETTER = re.compile(r"[^\W\d_]")
 
 
 def _init(classes: int, rng: np.random.Generator) -> dict[str, np.ndarray]:
@@ -228,7 +226,7 @@ def _predict(langs: list[str], weights: dict | None):
         for batch in batches:
             texts = batch.column("text").to_pylist()
             if net:
-                letters = np.array([bool(t and _LETTER.search(t)) for t in texts], bool)
+                letters = np.array([any(map(str.isalpha, t or "")) for t in texts], bool)
                 probs = net.documents([t.encode() if ok else b"" for t, ok in zip(texts, letters.tolist())])
                 best = probs.argmax(axis=1)
                 pred = [langs[b] if ok else "und" for b, ok in zip(best.tolist(), letters.tolist())]

@@ -230,7 +230,7 @@ def test_language(spark):
     rng = random.Random(2)
     alphabets = {"aa": "abcde", "bb": "vwxyz", "cc": "àéîõü"}
     rows = [(i, " ".join(words(rng, rng.randint(20, 60), alphabets[k])), k) for i, k in enumerate(list(alphabets) * 60)]
-    rows += [(900, None, "aa"), (901, "", "bb"), (902, "123 !!", "aa"), (903, "abc " * 20000, None), (904, "v", None)]
+    rows += [(900, None, "aa"), (901, "", "bb"), (902, "123 ²½Ⅷ !!", "aa"), (903, "abc " * 20000, None), (904, "v", None)]
     docs = table(spark, rows, "doc_id long, text string, lang string")
     langs, weights = op6_language.fit(docs)
     assert langs == ["aa", "bb", "cc"]
