@@ -114,8 +114,7 @@ def dedup(docs: DataFrame, block_bytes: int = 1 << 20, least_blocks: int = 64) -
 def keep(docs: DataFrame) -> DataFrame:
     """The rows of `docs` that stay, with all their columns; of rows repeated with the id that stays, one."""
     found = dedup(docs.select("doc_id", "text")).filter("kept").select("doc_id").distinct()
-    # rows under one id may still be repeated: the longest text of them stays, once
-    return docs.join(found, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return docs.join(found, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(docs.columns)
 
 
 SQL = r"""

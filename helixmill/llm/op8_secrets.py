@@ -92,16 +92,18 @@ def redact(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
 
     Spans that overlap count as one, under the kind of the first. Null texts stay null.
     """
-    spans = _found(docs, scope).select("key", F.array_sort(F.concat("base", "linked")).alias("_spans")).filter(F.size("_spans") > 0).dropDuplicates(["key"])
+    spans = _found(docs, scope).select(F.col("key").alias("_k"), F.array_sort(F.concat("base", "linked")).alias("_spans")).filter(F.size("_spans") > 0).dropDuplicates(["_k"])
     names = "array(" + ", ".join(f"'[{k}]'" for k in ORDER) + ")"
     step = f"""CASE WHEN s.start >= acc.pos
-        THEN named_struct('pos', s.stop, 'out', concat(acc.out, substring(text, cast(acc.pos + 1 as int), cast(s.start - acc.pos as int)), {names}[s.ord]))
+        THEN named_struct('pos', s.stop, 'out', concat(acc.out, substring(_d.text, cast(acc.pos + 1 as int), cast(s.start - acc.pos as int)), {names}[s.ord]))
         ELSE named_struct('pos', greatest(acc.pos, s.stop), 'out', acc.out) END"""
-    masked = f"aggregate(_spans, named_struct('pos', 0L, 'out', ''), (acc, s) -> {step}, acc -> concat(acc.out, substring(text, cast(acc.pos + 1 as int))))"
-    out = docs.withColumn("key", _row_key()).join(spans, "key", "left").withColumn("text", F.expr(f"CASE WHEN _spans IS NULL THEN text ELSE {masked} END"))
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("_spans").isNull(), F.col("n_chars")).otherwise(F.char_length("text").cast(docs.schema["n_chars"].dataType)))
-    return out.select(docs.columns)
+    masked = f"aggregate(_spans, named_struct('pos', 0L, 'out', ''), (acc, s) -> {step}, acc -> concat(acc.out, substring(_d.text, cast(acc.pos + 1 as int))))"
+    # the row travels as one struct, so that no column of it can clash with those added here
+    out = docs.select(F.struct("*").alias("_d"), _row_key().alias("_k")).join(spans, "_k", "left")
+    out = out.withColumn("_text", F.when(F.col("_spans").isNull(), F.col("_d.text")).otherwise(F.expr(masked)))
+    n_chars = F.when(F.col("_spans").isNull(), F.col("_d.n_chars")).otherwise(F.char_length("_text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else None
+    new = {"text": F.col("_text"), "n_chars": n_chars}
+    return out.select(*(new.get(c, F.col("_d")[c]).alias(c) for c in docs.columns))
 
 
 def _sql_find(name: str, pattern: str, group: int, least: int, most: int | None) -> str:

@@ -121,6 +121,7 @@ def test_secret_redaction(spark):
                 out, at = out + text[at:a] + f"[{k}]", b
             at = max(at, b)
         assert r.text == out + text[at:] and r.n_chars == len(r.text)
+    assert {r.key for r in got.collect()} == {2.0} and got.columns == [*table(spark, rows).columns, "n_chars"]
     assert got.count() == len(rows) and not [n for n in ("Python", "Pandas", "Arrow") if n in got._jdf.queryExecution().executedPlan().toString()]
 
 
