@@ -6,7 +6,7 @@ rank directory. The files are Parquet (zstd), a file for each partition and a ro
 store that Spark reaches can hold them. `Wavelet` gives access, rank, select, count and whole decoding.
 
 Null texts count as empty: such a document has its end id only. Repeated rows are documents of their own, ordered
-by text where ids tie; other columns are ignored; an empty table makes no shard. A very long text lies in one
+by text where ids tie; rows without doc_id have no place in the order and are left out; other columns are ignored; an empty table makes no shard. A very long text lies in one
 shard, however long. `start` is the number of ids in all documents before, over all shards.
 """
 
@@ -44,9 +44,9 @@ class Wavelet:
         for level in range(BITS):
             bit = (a & np.uint16(1 << (BITS - 1 - level))) != 0
             planes[level] = np.packbits(bit)
-            low = a[~bit]
+            low = np.compress(~bit, a)
             zeros[level] = len(low)
-            a = np.concatenate((low, a[bit]))
+            a = np.concatenate((low, np.compress(bit, a)))
         ones = np.bitwise_count(planes[:, : size // RANK_WORDS * RANK_WORDS]).reshape(BITS, -1, RANK_WORDS).sum(axis=2, dtype=np.int64)
         ranks = np.zeros((BITS, ones.shape[1] + 1), np.int64)
         np.cumsum(ones, axis=1, out=ranks[:, 1:])
@@ -118,17 +118,14 @@ class Wavelet:
         """All symbols in order: the partitions are undone from the last plane to the first."""
         if not self.n:
             return np.zeros(0, np.uint16)
-        bit = np.unpackbits(self.planes[BITS - 1], count=self.n).view(bool)
-        a = np.zeros(self.n, np.uint16)
-        a[bit] = 1
-        z = int(self.zeros[BITS - 1])
-        # `a` is in the order of plane 15; each earlier plane says where its two halves came from
+        # each plane says where its two halves came from; the last needs no order, its bits are the symbols' own
+        a = np.unpackbits(self.planes[BITS - 1], count=self.n).astype(np.uint16)
         for level in reversed(range(BITS - 1)):
             bit = np.unpackbits(self.planes[level], count=self.n).view(bool)
             z = int(self.zeros[level])
             before = np.empty(self.n, np.uint16)
-            before[~bit] = a[:z]
-            before[bit] = a[z:] | np.uint16(1 << (BITS - 1 - level))
+            before[np.flatnonzero(~bit)] = a[:z]
+            before[np.flatnonzero(bit)] = a[z:] | np.uint16(1 << (BITS - 1 - level))
             a = before
         return a
 
@@ -138,11 +135,11 @@ def _build(path: str, end_id: int, shard_tokens: int):
         from pyspark import TaskContext
 
         part = TaskContext.get().partitionId()
-        encode, end = wordbpe.encoder(path), np.uint16(end_id).tobytes()
+        encode, end = wordbpe.encoder(path), np.array([end_id], np.uint16)
         docs, sizes, data, total, seq = [], [], [], 0, 0
 
         def shard() -> pa.RecordBatch:
-            ids = np.frombuffer(b"".join(data), "<u2")
+            ids = np.concatenate(data)
             w = Wavelet.build(ids).to_bytes()
             row = [part << 24 | seq, part, len(ids), np.array(docs, "<i8").tobytes(), np.array(sizes, "<i8").tobytes(), w["zeros"], w["planes"], w["ranks"]]
             return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, _SHARD)], schema=_SHARD)
@@ -150,8 +147,8 @@ def _build(path: str, end_id: int, shard_tokens: int):
         for batch in batches:
             for doc, ids in zip(batch.column(0).to_pylist(), encode(batch.column(1).to_pylist())):
                 docs.append(doc)
-                data.append(ids + end)
-                sizes.append(len(ids) // 2 + 1)
+                data += (ids, end)
+                sizes.append(len(ids) + 1)
                 total += sizes[-1]
                 if total >= shard_tokens:
                     yield shard()
@@ -162,10 +159,10 @@ def _build(path: str, end_id: int, shard_tokens: int):
     return run
 
 
-def write_shards(docs: DataFrame, out: str, path: str, end_id: int = 1, partition_bytes: int = 12 << 20, shard_tokens: int = 8_000_000) -> None:
+def write_shards(docs: DataFrame, out: str, path: str, end_id: int = 1, partition_bytes: int = 12 << 20, shard_tokens: int = 4_000_000) -> None:
     """Write the ids of `docs` (doc_id, text) in ascending doc_id order as wavelet matrix files under `out`."""
     small_batches(docs.sparkSession)
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
+    texts = docs.filter("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
     ordered = texts.repartitionByRange(partitions_for(texts, partition_bytes), "doc_id").sortWithinPartitions("doc_id", "text")
     ordered.mapInArrow(_build(path, end_id, shard_tokens), SHARD).write.option("compression", "zstd").parquet(out)
 

@@ -8,7 +8,7 @@ their place by their rank among those of their length; ranks come from counts by
 that a third of all pieces share is ranked by many tasks.
 
 Null texts count as empty (one piece, the end id); documents longer than the capacity are cut into full pieces
-and a rest; repeated rows are packed as documents of their own; other columns are ignored; an empty table gives
+and a rest; a null doc_id stays null; repeated rows are packed as documents of their own; other columns are ignored; an empty table gives
 no rows.
 """
 
@@ -95,11 +95,11 @@ def plan(counts: dict[int, int], capacity: int) -> list[tuple[int, int, int, int
 
 def _pieces(path: str, end_id: int, capacity: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, end = wordbpe.encoder(path), np.uint16(end_id).tobytes()
+        encode = wordbpe.encoder(path)
         for batch in batches:
             rows = []
             for doc, ids in zip(batch.column(0).to_pylist(), encode(batch.column(1).to_pylist())):
-                data = memoryview(np.frombuffer(ids + end, "<u2").astype("<u4").tobytes())
+                data = memoryview(np.append(ids, np.uint16(end_id)).astype("<u4").tobytes())
                 n = len(data) // 4
                 for k, start in enumerate(range(0, n, capacity)):
                     stop = min(n, start + capacity)

@@ -1,15 +1,14 @@
 """Encoding of whole texts word by word with the tokenizers library.
 
 The tokenizer drops white space before it merges and its special tokens hold none, so a text's ids are the
-ids of its white-space separated words, one after another. Each worker keeps the ids of words it has met, in
-two generations of bounded size, and has new words encoded many at a time.
+ids of its white-space separated words, one after another. Each worker numbers the words it meets, in a table of
+bounded size, has new words encoded many at a time, and takes a text's ids from one flat array.
 """
 
 from __future__ import annotations
 
 import array
 import re
-from itertools import chain
 
 import numpy as np
 
@@ -60,18 +59,73 @@ def encode_words(t, words: list[str], at_once: int = 256) -> list[bytes]:
     return out  # type: ignore[return-value]
 
 
+class _Words(dict):
+    """Numbers of words in the order they are first met; what is new since the last look is in `todo`."""
+
+    def __init__(self):
+        self.todo: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        n = self[word] = len(self)
+        self.todo.append(word)
+        return n
+
+
+#: Words that lower to these letters, and ASCII marks after them, are cut apart by the tokenizer as written here.
+_COMMON = re.compile(r"([a-z\u00df-\u00f6\u00f8-\u00ff]+)([!-/:-@\[-`{-~]*)").fullmatch
+_BYTE_CHARS = {c: "".join(chr(b) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255 else chr(256 + [*range(33), *range(127, 161), 173].index(b)) for b in chr(c).encode()) for c in range(0xDF, 0x100)}
+
+
 class Encoder:
-    """Ids of whole texts; at most 2 x `limit` words are kept."""
+    """Ids of whole texts. Each word met has a number and its ids a place in one flat array; beyond `limit` words
+    the table starts anew, so memory is bounded."""
 
-    def __init__(self, path: str, limit: int = 300_000):
+    def __init__(self, path: str, limit: int = 400_000):
         self.t, self.limit = load(path), limit
+        self.model = self.t.model
         if self.t.get_vocab_size(with_added_tokens=True) > 1 << 16:
             raise ValueError("ids must fit 16 bits")
-        self.new: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-
-    def __call__(self, texts: list[str], chars: int = 1_000_000):
-        """Yields the ids (bytes, 16 bits each) of each text in turn."""
+        # the library's own BPE model is asked for lower-case words, where the steps before it are plain
+        probe = ["\u00e9t\u00e9", "stra\u00dfe", "abc"]
+        self.direct = all(self._core(w) == self.t.encode(w, add_special_tokens=False).ids for w in probe) and self.t.encode("ABC\u00c9.", add_special_tokens=False).ids == self._core("abc\u00e9") + self.t.encode(".", add_special_tokens=False).ids
+        self._clear()
+
+    def _clear(self) -> None:
+        self.words, self.cores = _Words(), {}
+        self.size, self.at = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.flat = np.zeros(0, np.uint16)
+
+    def _core(self, word: str) -> list[int]:
+        return [x.id for x in self.model.tokenize(word if word.isascii() else word.translate(_BYTE_CHARS))]
+
+    def _learn(self) -> None:
+        todo, self.words.todo = self.words.todo, []
+        ids: list = [None] * len(todo)
+        rest = []
+        cores = self.cores
+        for i, w in enumerate(todo):
+            m = _COMMON(w.lower()) if self.direct else None
+            if m is None:
+                rest.append(i)
+                continue
+            core, mark = m.groups()
+            got = cores.get(core)
+            if got is None:
+                got = cores[core] = array.array("H", self._core(core)).tobytes()
+            if mark:
+                if mark not in cores:
+                    cores[mark] = encode_words(self.t, [mark])[0]
+                got += cores[mark]
+            ids[i] = got
+        for i, x in zip(rest, encode_words(self.t, [todo[i] for i in rest])):
+            ids[i] = x
+        size = np.fromiter(map(len, ids), np.int64, len(ids)) // 2
+        self.at = np.concatenate((self.at, len(self.flat) + np.cumsum(size) - size))
+        self.size = np.concatenate((self.size, size))
+        self.flat = np.concatenate((self.flat, np.frombuffer(b"".join(ids), "<u2")))
+
+    def __call__(self, texts: list[str], chars: int = 2_000_000):
+        """Yields the ids (unsigned 16 bits) of each text in turn."""
         row: list[str] = []
         size = 0
         for text in texts:
@@ -83,21 +137,21 @@ class Encoder:
         yield from self._some(row)
 
     def _some(self, texts: list[str]):
-        words = [split(x) for x in texts]
-        if len(self.new) > self.limit:
-            self.old, self.new = self.new, {}
-        missing = set(chain.from_iterable(words))
-        missing = {w for w in missing if w not in self.new}
-        if missing:
-            old = self.old
-            for w in [w for w in missing if w in old]:
-                self.new[w] = old[w]
-                missing.discard(w)
-            todo = list(missing)
-            self.new.update(zip(todo, encode_words(self.t, todo)))
-        get = self.new.__getitem__
-        for ws in words:
-            yield b"".join(map(get, ws))
+        get = self.words.__getitem__
+        numbers = []
+        for x in texts:
+            ws = split(x)
+            numbers.append(np.fromiter(map(get, ws), np.int64, len(ws)))
+        if self.words.todo:
+            self._learn()
+        for n in numbers:
+            size = self.size[n]
+            begin = np.cumsum(size)
+            total = int(begin[-1]) if len(n) else 0
+            begin -= size
+            yield self.flat[np.repeat(self.at[n] - begin, size) + np.arange(total)]
+        if len(self.words) > self.limit:
+            self._clear()
 
 
 _ENCODERS: dict[str, Encoder] = {}
