@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
 
@@ -53,10 +54,31 @@ def partitions_for(df: DataFrame, each: int, least: int = 1) -> int:
     return max(least, -(-plan_bytes(df) // each))
 
 
-def small_batches(spark: SparkSession, rows: int = 500) -> None:
-    """Arrow batches of few rows: texts may be long, and a batch is held whole by a Python worker."""
-    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) != rows:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+def small_batches(spark: SparkSession, rows: int = 500, size: int = 4 << 20) -> None:
+    """Arrow batches of few rows and bytes: texts may be long, and a batch is held whole by a Python worker."""
+    for name, value in (("maxRecordsPerBatch", rows), ("maxBytesPerBatch", size)):
+        spark.conf.set(f"spark.sql.execution.arrow.{name}", str(value))
+
+
+def give_back() -> None:
+    """Return freed memory to the system at the end of a task: idle Python workers stay beside the next stages."""
+    import ctypes
+
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def tidy(run):
+    """A mapInArrow function that gives memory back when its input ends."""
+
+    def tidied(batches):
+        yield from run(batches)
+        give_back()
+
+    return tidied
 
 
 def mix(x: np.ndarray) -> np.ndarray:

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches
+from .common import small_batches, tidy
 
 HIDDEN, WINDOW, SAMPLE, TRAIN_BYTES = 8, 128, 600, 64
 RESULT = "doc_id long, held_out boolean, lang_pred string, score double"
@@ -242,7 +242,7 @@ def identify(docs: DataFrame, model: tuple[list[str], dict | None]) -> DataFrame
     """doc_id, held_out, lang_pred and score of every row of `docs` (doc_id, text)."""
     small_batches(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(_held_out(F.col("doc_id")), F.lit(False)).alias("held_out"), "text")
-    return rows.mapInArrow(_predict(*model), RESULT)
+    return rows.mapInArrow(tidy(_predict(*model)), RESULT)
 
 
 def keep(docs: DataFrame, model: tuple[list[str], dict | None]) -> DataFrame:
@@ -260,4 +260,4 @@ def keep(docs: DataFrame, model: tuple[list[str], dict | None]) -> DataFrame:
             pred = next(predict(iter([part]))).column("lang_pred").to_pylist()
             yield batch.filter(pa.array([p != "und" for p in pred], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tidy(run), docs.schema)

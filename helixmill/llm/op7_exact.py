@@ -14,8 +14,6 @@ id are all kept); rows without doc_id are left out; other columns are ignored; a
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -46,48 +44,44 @@ def _arrays(row: dict) -> tuple[np.ndarray, ...]:
     return np.frombuffer(row["keys"], "S40"), *(np.frombuffer(row[c], "<i8") for c in ("chars", "ids", "counts"))
 
 
-def _batch(rows: list[list]) -> dict:
+def _batch(rows: list[list]) -> list[pa.Array]:
     return [pa.array(c, f.type) for c, f in zip(zip(*rows), _RUN)] if rows else [pa.array([], f.type) for f in _RUN]
 
 
+def _cut(node: int, prefix: int, run: tuple[np.ndarray, ...], done: int) -> pa.Table:
+    """A run cut by the digest's bits done .. done + BITS, each slice addressed to the merge that takes it."""
+    head = np.ascontiguousarray(run[0]).view(np.uint8).reshape(-1, 40)[:, :8].copy().view(">u8").ravel()
+    which = (head >> np.uint64(64 - done - BITS)) & np.uint64((1 << BITS) - 1)
+    cuts = np.searchsorted(which, np.arange((1 << BITS) + 1, dtype=np.uint64))
+    rows = [_row(node >> BITS, prefix << BITS | i, tuple(x[a:b] for x in run)) for i, (a, b) in enumerate(zip(cuts, cuts[1:])) if b > a]
+    return pa.Table.from_arrays(_batch(rows), schema=_RUN)
+
+
 def _make_run(table: pa.Table) -> pa.Table:
-    """The sorted run of one block."""
+    """The sorted run of one block, cut for the first round."""
     keys = np.array(table.column("key").to_pylist(), "S40")
     chars, ids = (table.column(c).to_numpy().astype("<i8") for c in ("chars", "doc_id"))
-    run = _reduce(keys, chars, ids, np.ones(len(keys), "<i8"))
-    return pa.Table.from_arrays(_batch([_row(table.column("block")[0].as_py(), 0, run)]), schema=_RUN)
+    return _cut(table.column("block")[0].as_py(), 0, _reduce(keys, chars, ids, np.ones(len(keys), "<i8")), 0)
 
 
-def _slices(done: int):
-    """Cut runs by the digest's bits done .. done + BITS, for the next round's merges."""
+def _merged(table: pa.Table) -> tuple[np.ndarray, ...]:
+    return _reduce(*(np.concatenate(x) for x in zip(*map(_arrays, table.to_pylist()))))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                parts = _arrays(row)
-                head = np.frombuffer(row["keys"], np.uint8).reshape(-1, 40)[:, :8].copy().view(">u8").ravel()
-                which = (head >> np.uint64(64 - done - BITS)) & np.uint64((1 << BITS) - 1)
-                cuts = np.searchsorted(which, np.arange((1 << BITS) + 1, dtype=np.uint64))
-                rows = [_row(row["node"] >> BITS, row["prefix"] << BITS | i, tuple(x[a:b] for x in parts)) for i, (a, b) in enumerate(zip(cuts, cuts[1:])) if b > a]
-                yield pa.RecordBatch.from_arrays(_batch(rows), schema=_RUN)
 
-    return run
+def _merge(done: int):
+    """Merge the slices of one range and cut the run for the next round."""
 
+    def run(table: pa.Table) -> pa.Table:
+        return _cut(table.column("node")[0].as_py(), table.column("prefix")[0].as_py(), _merged(table), done)
 
-def _merge(table: pa.Table) -> pa.Table:
-    """Merge the runs of one range."""
-    rows = table.to_pylist()
-    runs = [_arrays(r) for r in rows]
-    merged = _reduce(*(np.concatenate(x) for x in zip(*runs)))
-    return pa.Table.from_arrays(_batch([_row(rows[0]["node"], rows[0]["prefix"], merged)]), schema=_RUN)
+    return run
 
 
-def _entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for row in batch.to_pylist():
-            keys = [row["keys"][i : i + 40] for i in range(0, len(row["keys"]), 40)]
-            _, _, ids, counts = _arrays(row)
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(ids), pa.array(counts)], names=["key", "keep_id", "group_size"])
+def _finish(table: pa.Table) -> pa.Table:
+    """The last round: the entries of a complete range."""
+    keys, _, ids, counts = _merged(table)
+    data = keys.tobytes()
+    return pa.table({"key": pa.array([data[i : i + 40] for i in range(0, len(data), 40)], pa.binary()), "keep_id": pa.array(ids), "group_size": pa.array(counts)})
 
 
 def dedup(docs: DataFrame, block_bytes: int = 1 << 20, least_blocks: int = 64) -> DataFrame:
@@ -103,9 +97,9 @@ def dedup(docs: DataFrame, block_bytes: int = 1 << 20, least_blocks: int = 64) -
         bits += BITS
     rows = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", "key"), F.lit(1 << bits)))
     runs = rows.groupBy("block").applyInArrow(_make_run, RUN)
-    for done in range(0, bits, BITS):
-        runs = runs.mapInArrow(_slices(done), RUN).groupBy("node", "prefix").applyInArrow(_merge, RUN)
-    best = runs.mapInArrow(_entries, "key binary, keep_id long, group_size long")
+    for done in range(BITS, bits, BITS):
+        runs = runs.groupBy("node", "prefix").applyInArrow(_merge(done), RUN)
+    best = runs.groupBy("node", "prefix").applyInArrow(_finish, "key binary, keep_id long, group_size long")
     answers = rows.select("block", "key").distinct().join(best, "key")
     out = rows.join(answers, ["block", "key"])
     return out.select("doc_id", "keep_id", "group_size", (F.col("doc_id") == F.col("keep_id")).alias("kept"), F.lower(F.hex(F.substring("key", 1, 32))).alias("text_sha256"))
