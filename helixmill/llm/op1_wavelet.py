@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import wordbpe
-from .common import partitions_for, small_batches
+from .common import partitions_for, small_batches, tidy
 
 BITS, RANK_WORDS = 16, 64  # planes; bytes of a plane between two entries of its rank directory
 SHARD = "shard long, part int, n long, doc_ids binary, sizes binary, zeros binary, planes binary, ranks binary"
@@ -159,15 +159,16 @@ def _build(path: str, end_id: int, shard_tokens: int):
     return run
 
 
-def write_shards(docs: DataFrame, out: str, path: str, end_id: int = 1, partition_bytes: int = 12 << 20, shard_tokens: int = 4_000_000) -> None:
+def write_shards(docs: DataFrame, out: str, path: str, end_id: int = 1, partition_bytes: int = 12 << 20, shard_tokens: int = 2_000_000) -> None:
     """Write the ids of `docs` (doc_id, text) in ascending doc_id order as wavelet matrix files under `out`."""
     small_batches(docs.sparkSession)
     texts = docs.filter("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
     ordered = texts.repartitionByRange(partitions_for(texts, partition_bytes), "doc_id").sortWithinPartitions("doc_id", "text")
-    ordered.mapInArrow(_build(path, end_id, shard_tokens), SHARD).write.option("compression", "zstd").parquet(out)
+    ordered.mapInArrow(tidy(_build(path, end_id, shard_tokens)), SHARD).write.option("compression", "zstd").parquet(out)
 
 
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    wordbpe.release()
     for batch in batches:
         for row in batch.to_pylist():
             ids = Wavelet.from_bytes(row["n"], row["zeros"], row["planes"], row["ranks"]).decode().astype("<u4")
@@ -192,4 +193,4 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
     before = Window.partitionBy("part").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     shards = files.select("part", "shard", "n").withColumn("own", F.coalesce(F.sum("n").over(before), F.lit(0)))
     shards = shards.join(parts, "part").select("shard", (F.col("base") + F.col("own")).alias("base"))
-    return files.mapInArrow(_read, DOCS).join(shards, "shard").select("doc_id", (F.col("base") + F.col("at")).alias("start"), "n_tokens", "ids_crc32")
+    return files.mapInArrow(tidy(_read), DOCS).join(shards, "shard").select("doc_id", (F.col("base") + F.col("at")).alias("start"), "n_tokens", "ids_crc32")

@@ -124,7 +124,7 @@ class Encoder:
         self.size = np.concatenate((self.size, size))
         self.flat = np.concatenate((self.flat, np.frombuffer(b"".join(ids), "<u2")))
 
-    def __call__(self, texts: list[str], chars: int = 2_000_000):
+    def __call__(self, texts: list[str], chars: int = 1_000_000):
         """Yields the ids (unsigned 16 bits) of each text in turn."""
         row: list[str] = []
         size = 0
@@ -162,3 +162,8 @@ def encoder(path: str) -> Encoder:
     if path not in _ENCODERS:
         _ENCODERS[path] = Encoder(path)
     return _ENCODERS[path]
+
+
+def release() -> None:
+    """Drop the worker's tables, where a later stage needs the memory and encodes no more."""
+    _ENCODERS.clear()
