@@ -210,6 +210,14 @@ def test_passages(spark):
     assert op3_chains.passages(table(spark, [])).count() == 0
 
 
+def test_passages_beyond_the_first_document(spark):
+    rng = random.Random(12)
+    shared = words(rng, 60)
+    texts = [(1, shared[:30]), (2, shared[24:]), (3, shared), (4, shared)]
+    got = op3_chains.passages(table(spark, [(i, " ".join(words(rng, 70) + w + words(rng, 70))) for i, w in texts])).collect()
+    assert [(r.doc_id, r.match_id, r.start_word, r.end_word) for r in got] == [(4, 3, 70, 130)]
+
+
 def test_chains_are_best():
     rng = random.Random(9)
     for _ in range(60):
