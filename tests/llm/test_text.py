@@ -218,6 +218,18 @@ def test_passages_beyond_the_first_document(spark):
     assert [(r.doc_id, r.match_id, r.start_word, r.end_word) for r in got] == [(4, 3, 70, 130)]
 
 
+@pytest.mark.parametrize("every", [5, 6, 7, 10, 20])
+def test_passages_of_low_identity(spark, every):
+    rng = random.Random(every)
+    texts, want = [], set()
+    for i in range(12):
+        shared = words(rng, 70)
+        changed = [f"new{rng.random()}" if j % every == every - 1 else w for j, w in enumerate(shared)]
+        texts += [(2 * i, " ".join(words(rng, 60) + shared + words(rng, 60))), (2 * i + 1, " ".join(words(rng, 40) + changed + words(rng, 60)))]
+        want.add((2 * i + 1, 2 * i))
+    assert {(r.doc_id, r.match_id) for r in op3_chains.passages(table(spark, texts)).collect()} == want
+
+
 def test_chains_are_best():
     rng = random.Random(9)
     for _ in range(60):
