@@ -230,6 +230,18 @@ def test_passages_of_low_identity(spark, every):
     assert {(r.doc_id, r.match_id) for r in op3_chains.passages(table(spark, texts)).collect()} == want
 
 
+def test_passages_held_several_times(spark):
+    rng = random.Random(13)
+    shared, line = words(rng, 60), words(rng, 9)
+    texts = [(1, words(rng, 40) + shared + words(rng, 40)), (2, shared + words(rng, 80) + shared), (3, words(rng, 20) + shared[:25] + words(rng, 60) + shared)]
+    texts += [(4, line + words(rng, 30) + line * 30), (5, line * 25 + words(rng, 40))]
+    got = op3_chains.passages(table(spark, [(i, " ".join(w)) for i, w in texts])).collect()
+    assert sorted((r.start_word, r.end_word) for r in got if r.doc_id == 2) == [(0, 60), (140, 200)]
+    assert [(r.start_word, r.end_word) for r in got if r.doc_id == 3] == [(105, 165)]
+    held = {w for r in got if r.doc_id == 5 for w in range(r.start_word, r.end_word)}
+    assert held >= set(range(225))
+
+
 def test_chains_are_best():
     rng = random.Random(9)
     for _ in range(60):
