@@ -180,6 +180,19 @@ def test_near_classes(spark):
     assert sorted((r.doc_id or 0, r.class_id or 0) for r in op9_minhash.classes(table(spark, some)).collect()) == [(0, 0), (0, 1), (1, 1), (2**60, 2**60), (2**60 + 1, 2**60)]
 
 
+def test_near_classes_of_a_large_group(spark):
+    rng = random.Random(21)
+    base = words(rng, 100)
+    texts = [(i, " ".join(words(rng, 100))) for i in range(60)]
+    for i in range(30):  # a third of all rows, two words changed on one side
+        w = list(base)
+        if i:
+            w[rng.randrange(10, 45)], w[rng.randrange(50, 90)] = f"new{i}", f"other{i}"
+        texts.append((100 + i, " ".join(w)))
+    got = {r.doc_id: r.class_id for r in op9_minhash.classes(table(spark, texts), plain=True).collect()}
+    assert got == {d: 100 if d >= 100 else d for d, _ in texts}
+
+
 def test_weighted_samples_estimate_jaccard():
     rng = np.random.default_rng(1)
     ids = np.sort(rng.choice(1 << 50, 300, replace=False).astype(np.uint64))
