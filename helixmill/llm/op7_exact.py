@@ -9,7 +9,8 @@ a third of all rows share is one entry in each run and a bounded number of rows
 
 Two rows count as equal if SHA-256 and byte length of their normalised texts agree, checked at every level. Null
 texts count as empty; repeated rows are rows of their own (ties go to the smallest doc_id, and rows that share that
-id are all kept); rows without doc_id are left out; other columns are ignored; an empty table gives no rows.
+id are all kept); rows without doc_id are left out or, as in the query and the pipeline, count as
+rows whose id sorts last; other columns are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -28,7 +29,10 @@ _RUN = pa.schema([("node", pa.int64()), ("prefix", pa.int64()), *((c, pa.binary(
 
 
 def _reduce(keys: np.ndarray, chars: np.ndarray, ids: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, ...]:
-    """One entry for each key, in order: most characters, then the smallest id; counts are summed."""
+    """One entry for each key, in order: most characters, then the smallest id, null last; counts are summed.
+
+    chars is twice the number of characters, and one more where there is an id.
+    """
     order = np.lexsort((ids, -chars))
     order = order[np.argsort(keys[order], kind="stable")]
     keys = keys[order]
@@ -60,7 +64,7 @@ def _cut(node: int, prefix: int, run: tuple[np.ndarray, ...], done: int) -> pa.T
 def _make_run(table: pa.Table) -> pa.Table:
     """The sorted run of one block, cut for the first round."""
     keys = np.array(table.column("key").to_pylist(), "S40")
-    chars, ids = (table.column(c).to_numpy().astype("<i8") for c in ("chars", "doc_id"))
+    chars, ids = (table.column(c).fill_null(0).to_numpy().astype("<i8") for c in ("chars", "doc_id"))
     return _cut(table.column("block")[0].as_py(), 0, _reduce(keys, chars, ids, np.ones(len(keys), "<i8")), 0)
 
 
@@ -79,16 +83,19 @@ def _merge(done: int):
 
 def _finish(table: pa.Table) -> pa.Table:
     """The last round: the entries of a complete range."""
-    keys, _, ids, counts = _merged(table)
+    keys, chars, ids, counts = _merged(table)
     data = keys.tobytes()
-    return pa.table({"key": pa.array([data[i : i + 40] for i in range(0, len(data), 40)], pa.binary()), "keep_id": pa.array(ids), "group_size": pa.array(counts)})
+    return pa.table({"key": pa.array([data[i : i + 40] for i in range(0, len(data), 40)], pa.binary()), "keep_id": pa.array(ids, mask=chars % 2 == 0), "group_size": pa.array(counts)})
+
 
+def dedup(docs: DataFrame, block_bytes: int = 1 << 20, least_blocks: int = 64, null_ids: bool = False) -> DataFrame:
+    """doc_id, keep_id, group_size, kept and text_sha256 for every row of `docs` (doc_id, text).
 
-def dedup(docs: DataFrame, block_bytes: int = 1 << 20, least_blocks: int = 64) -> DataFrame:
-    """doc_id, keep_id, group_size, kept and text_sha256 for every row of `docs` (doc_id, text)."""
+    With `null_ids` rows without doc_id count and are returned (kept is null where either id is), else they are left out.
+    """
     text = F.coalesce(F.col("text"), F.lit(""))
     own = F.regexp_replace(text, SPACE, "")
-    rows = docs.filter("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), F.char_length(text).cast("long").alias("chars"), own.alias("own"))
+    rows = (docs if null_ids else docs.filter("doc_id IS NOT NULL")).select(F.col("doc_id").cast("long").alias("doc_id"), (2 * F.char_length(text).cast("long") + F.col("doc_id").isNotNull().cast("long")).alias("chars"), own.alias("own"))
     # sha2 gives hex; the key is the digest and the size, 40 bytes that order as numbers do
     key = F.concat(F.unhex(F.sha2("own", 256)), F.unhex(F.lpad(F.hex(F.octet_length("own").cast("long")), 16, "0")))
     rows = materialize(rows.select("doc_id", "chars", key.alias("key")), "op7-digests")
@@ -106,9 +113,12 @@ def dedup(docs: DataFrame, block_bytes: int = 1 << 20, least_blocks: int = 64) -
 
 
 def keep(docs: DataFrame) -> DataFrame:
-    """The rows of `docs` that stay, with all their columns; of rows repeated with the id that stays, one."""
-    found = dedup(docs.select("doc_id", "text")).filter("kept").select("doc_id").distinct()
-    return docs.join(found, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(docs.columns)
+    """One row of `docs` for each text, with all columns: most characters, then the smallest doc_id, null last."""
+    found = dedup(docs.select("doc_id", "text"), null_ids=True).filter("doc_id <=> keep_id").select("text_sha256", F.col("keep_id").alias("__keep_id")).distinct()
+    text = F.coalesce(F.col("text"), F.lit(""))
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.sha2(F.regexp_replace(text, SPACE, ""), 256).alias("sha"), F.struct(F.char_length(text).alias("n"), text.alias("t")).alias("order"))
+    kept = rows.join(found, (F.col("sha") == F.col("text_sha256")) & F.col("row.doc_id").cast("long").eqNullSafe(F.col("__keep_id")))
+    return kept.groupBy("sha").agg(F.max_by("row", "order").alias("row")).select("row.*")
 
 
 SQL = r"""

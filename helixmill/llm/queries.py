@@ -48,7 +48,7 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return op7_exact.dedup(documents(spark, sf_dir))
+    return op7_exact.dedup(documents(spark, sf_dir), null_ids=True)
 
 
 def op8_secret_spans(spark: SparkSession, sf_dir: str) -> DataFrame:

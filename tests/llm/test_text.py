@@ -57,6 +57,18 @@ def test_exact_dedup(spark):
     assert sorted(r.doc_id for r in kept.collect()) == [1, 4, 6, 8, 10] and "block" in kept.columns
 
 
+def test_dedup_of_rows_without_own_ids(spark):
+    rng = random.Random(22)
+    one, two, three, four = (" ".join(words(rng, 60)) for _ in range(4))
+    rows = [(None, one), (3, one), (None, two), (None, two), (5, three), (5, four), (None, one + " ")]
+    got = collections.Counter((r.doc_id, r.keep_id, r.group_size, r.kept) for r in op7_exact.dedup(table(spark, rows), null_ids=True).collect())
+    assert got == {(None, None, 3, None): 2, (3, None, 3, None): 1, (None, None, 2, None): 2, (5, 5, 1, True): 2}
+    for keep in (op7_exact.keep, op9_minhash.keep):
+        kept = keep(table(spark, rows))
+        assert sorted(r.text.strip() for r in kept.collect()) == sorted([one, two, three, four]) and "block" in kept.columns
+    assert [r.doc_id for r in op9_minhash.keep(table(spark, rows)).collect() if r.text.strip() == one] == [3]
+
+
 def test_urls(spark):
     rng = random.Random(4)
     hosts = ["net", "a.net", "example.net", "x.example.net", "example.com", "EXAMPLE.com", "notexample.com", "de.example.com", "fr.org", "org", "anet", "", "org.", ".net", "a..net", "a b.net:80"]
