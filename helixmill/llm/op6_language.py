@@ -247,11 +247,15 @@ def identify(docs: DataFrame, model: tuple[list[str], dict | None]) -> DataFrame
 
 def keep(docs: DataFrame, model: tuple[list[str], dict | None]) -> DataFrame:
     """The rows of `docs`, with all their columns, whose text is in a known language: `und` is rejected.
+    Where no network could be learned, only texts that are null or have no letter are.
 
     The text itself decides, so the same network labels it in the scan; no join back is needed.
     """
     small_batches(docs.sparkSession)
     langs, weights = model
+    if weights is None:
+        letters = F.udf(lambda t: any(map(str.isalpha, t)), "boolean")
+        return docs.filter(F.col("text").isNotNull() & letters(F.coalesce(F.col("text"), F.lit(""))))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         predict = _predict(langs, weights)

@@ -305,6 +305,11 @@ def test_language(spark):
     assert {r.lang_pred for r in op6_language.identify(docs.limit(3), ([], None)).collect()} == {"und"}
 
 
+def test_language_without_labels_keeps_texts_with_letters(spark):
+    docs = table(spark, [(1, "a b"), (2, "12 ½"), (3, None), (4, "é")])
+    assert sorted(r.doc_id for r in op6_language.keep(docs, ([], None)).collect()) == [1, 4]
+
+
 def test_language_gradient():
     """Backpropagation through time agrees with differences of the loss."""
     rng = np.random.default_rng(0)
