@@ -33,13 +33,39 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+@contextlib.contextmanager
+def _shuffle_files_end_here(spark: SparkSession):
+    """What a write has shuffled is removed when it ends, not when the driver happens to collect its garbage."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write a table to the shared folder and read it back: later jobs neither recompute it nor depend on an executor."""
     path = shared_dir(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
+    with _shuffle_files_end_here(df.sparkSession):
+        df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def materialize_by(df: DataFrame, name: str, key: str, buckets: int) -> DataFrame:
+    """As materialize, in files bucketed by a column: a join or grouping by it needs no shuffle of this side.
+
+    The table's name serves the write and the read alone; it is dropped at once, which leaves the files.
+    """
+    spark, table = df.sparkSession, f"helixmill_{uuid.uuid4().hex}"
+    with _shuffle_files_end_here(spark):
+        df.write.bucketBy(min(buckets, 100_000), key).option("path", shared_dir(spark, name)).option("compression", "zstd").saveAsTable(table)
+    out = spark.table(table)
+    spark.sql(f"DROP TABLE {table}")
+    return out
+
+
 def plan_bytes(df: DataFrame) -> int:
     """Size of the input as the optimizer knows it (file sizes); counted over the rows where it knows none."""
     size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
@@ -108,6 +134,14 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POW["up"][:n], _POW["down"][:n]
 
 
+def span_hashes(b: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hashes of stretches of bytes: of their bytes' polynomial, from running sums."""
+    up, down = _powers(len(b) + 1)
+    sums = np.zeros(len(b) + 1, np.uint64)
+    np.cumsum(_BYTE[b] * up[: len(b)], out=sums[1:])
+    return mix((sums[end] - sums[start]) * down[start])
+
+
 def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Hashes of the words (runs without ASCII white space) of lower-cased texts, computed over all bytes at once.
 
@@ -129,11 +163,7 @@ def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, n
     if not space[-1]:
         edge = np.concatenate((edge, [len(b)]))
     start, end = edge[0::2], edge[1::2]
-    up, _ = _powers(len(b) + 1)
-    sums = np.zeros(len(b) + 1, np.uint64)
-    np.cumsum(_BYTE[b] * up[: len(b)], out=sums[1:])
-    _, down = _powers(len(b) + 1)
-    h = mix((sums[end] - sums[start]) * down[start])
+    h = span_hashes(b, start, end)
     doc = np.searchsorted(np.cumsum(sizes), start, side="right")
     return h, doc, start, end
 
@@ -181,7 +211,7 @@ def member_filter(keys: DataFrame, column: str, bits: int = 1 << 23):
         known = np.unpackbits(small, count=bits).view(bool)
         for batch in batches:
             h = np.array(batch.column(column).fill_null(0).to_numpy(zero_copy_only=False), np.int64)
-            yield batch.filter(_as_mask(known[_murmur_long(h).astype(np.int64) % bits]))
+            yield batch.filter(_as_mask(known[hash_long(h).astype(np.int64) % bits]))
 
     return run
 
@@ -192,7 +222,7 @@ def _as_mask(x: np.ndarray):
     return pa.array(x, pa.bool_())
 
 
-def _murmur_long(x: np.ndarray) -> np.ndarray:
+def hash_long(x: np.ndarray) -> np.ndarray:
     """Spark's hash() of one long (murmur3, 32 bits, seed 42), as signed 32 bits."""
     u = x.astype(np.int64).view(np.uint64)
     h = np.full(len(u), 42, np.uint32)

@@ -3,11 +3,13 @@
 Documents are range-partitioned and sorted by doc_id; each task encodes its texts and writes the ids of a shard
 as a wavelet matrix: 16 bit-planes, most significant first, each a stable partition of the one before, with a
 rank directory. The files are Parquet (zstd), a file for each partition and a row for each shard, so that any
-store that Spark reaches can hold them. `Wavelet` gives access, rank, select, count and whole decoding.
+store that Spark reaches can hold them. `Wavelet` gives access, rank, select, count and whole decoding of a shard;
+`count`, `access` and `locate` answer from all files, shard by shard in Spark, without decoding them.
 
 Null texts count as empty: such a document has its end id only. Repeated rows are documents of their own, ordered
-by text where ids tie; rows without doc_id have no place in the order and are left out; other columns are ignored; an empty table makes no shard. A very long text lies in one
-shard, however long. `start` is the number of ids in all documents before, over all shards.
+by a hash of the text where ids tie (so an id that very many rows share is split, too); rows without doc_id come
+first; other columns are ignored; an empty table makes no shard. A very long text lies in one shard, however long.
+`start` is the number of ids in all documents before, over all shards.
 """
 
 from __future__ import annotations
@@ -24,8 +26,8 @@ from . import wordbpe
 from .common import partitions_for, small_batches, tidy
 
 BITS, RANK_WORDS = 16, 64  # planes; bytes of a plane between two entries of its rank directory
-SHARD = "shard long, part int, n long, doc_ids binary, sizes binary, zeros binary, planes binary, ranks binary"
-_SHARD = pa.schema([("shard", pa.int64()), ("part", pa.int32()), ("n", pa.int64()), *((c, pa.binary()) for c in ("doc_ids", "sizes", "zeros", "planes", "ranks"))])
+SHARD = "shard long, part int, n long, nulls int, doc_ids binary, sizes binary, zeros binary, planes binary, ranks binary"
+_SHARD = pa.schema([("shard", pa.int64()), ("part", pa.int32()), ("n", pa.int64()), ("nulls", pa.int32()), *((c, pa.binary()) for c in ("doc_ids", "sizes", "zeros", "planes", "ranks"))])
 DOCS = "shard long, doc_id long, at long, n_tokens long, ids_crc32 long"
 
 
@@ -114,6 +116,16 @@ class Wavelet:
             i = self._select(level, bit, i - int(self.zeros[level]) if bit else i)
         return i
 
+    def locate(self, symbol: int) -> np.ndarray:
+        """Positions of all occurrences of the symbol: their stretch of the last plane, led back plane by plane."""
+        lo, hi = self._range(symbol, 0, self.n)
+        at = np.arange(lo, hi)
+        for level in reversed(range(BITS)) if hi > lo else ():
+            bit = symbol >> (BITS - 1 - level) & 1
+            own = np.unpackbits(self.planes[level], count=self.n).view(bool)
+            at = np.flatnonzero(own if bit else ~own)[at - int(self.zeros[level]) if bit else at]
+        return np.sort(at)
+
     def decode(self) -> np.ndarray:
         """All symbols in order: the partitions are undone from the last plane to the first."""
         if not self.n:
@@ -135,25 +147,25 @@ def _build(path: str, end_id: int, shard_tokens: int):
         from pyspark import TaskContext
 
         part = TaskContext.get().partitionId()
-        encode, end = wordbpe.encoder(path), np.array([end_id], np.uint16)
+        encode = wordbpe.encoder(path)
         docs, sizes, data, total, seq = [], [], [], 0, 0
 
         def shard() -> pa.RecordBatch:
-            ids = np.concatenate(data)
+            ids, of = np.concatenate(data), pa.concat_arrays(docs)
             w = Wavelet.build(ids).to_bytes()
-            row = [part << 24 | seq, part, len(ids), np.array(docs, "<i8").tobytes(), np.array(sizes, "<i8").tobytes(), w["zeros"], w["planes"], w["ranks"]]
+            row = [part << 24 | seq, part, len(ids), of.null_count, of.fill_null(0).to_numpy().astype("<i8").tobytes(), np.concatenate(sizes).astype("<i8").tobytes(), w["zeros"], w["planes"], w["ranks"]]
             return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, _SHARD)], schema=_SHARD)
 
         for batch in batches:
-            for doc, ids in zip(batch.column(0).to_pylist(), encode(batch.column(1).to_pylist())):
-                docs.append(doc)
-                data += (ids, end)
-                sizes.append(len(ids) + 1)
-                total += sizes[-1]
-                if total >= shard_tokens:
-                    yield shard()
-                    docs, sizes, data, total, seq = [], [], [], 0, seq + 1
-        if docs:
+            ids, cuts = encode(batch.column(1), end_id)
+            docs.append(batch.column(0))
+            sizes.append(np.diff(cuts))
+            data.append(ids)
+            total += len(ids)
+            if total >= shard_tokens:
+                yield shard()
+                docs, sizes, data, total, seq = [], [], [], 0, seq + 1
+        if total:
             yield shard()
 
     return run
@@ -162,27 +174,43 @@ def _build(path: str, end_id: int, shard_tokens: int):
 def write_shards(docs: DataFrame, out: str, path: str, end_id: int = 1, partition_bytes: int = 12 << 20, shard_tokens: int = 2_000_000) -> None:
     """Write the ids of `docs` (doc_id, text) in ascending doc_id order as wavelet matrix files under `out`."""
     small_batches(docs.sparkSession)
-    texts = docs.filter("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    ordered = texts.repartitionByRange(partitions_for(texts, partition_bytes), "doc_id").sortWithinPartitions("doc_id", "text")
-    ordered.mapInArrow(tidy(_build(path, end_id, shard_tokens)), SHARD).write.option("compression", "zstd").parquet(out)
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
+    # rows of one id are told apart by their texts' hashes: the ranges' bounds are numbers, however long the texts
+    texts = texts.withColumn("hash", F.xxhash64("text"))
+    ordered = texts.repartitionByRange(partitions_for(texts, partition_bytes), "doc_id", "hash").sortWithinPartitions("doc_id", "hash", "text")
+    ordered.select("doc_id", "text").mapInArrow(tidy(_build(path, end_id, shard_tokens)), SHARD).write.option("compression", "zstd").parquet(out)
+
+
+def _load(row: dict) -> Wavelet:
+    return Wavelet.from_bytes(row["n"], row["zeros"], row["planes"], row["ranks"])
+
+
+def _owners(row: dict) -> tuple[pa.Array, np.ndarray]:
+    """The doc_id of each document of a shard, and where each document begins (and the last one ends)."""
+    sizes = np.frombuffer(row["sizes"], "<i8")
+    return pa.array(np.frombuffer(row["doc_ids"], "<i8"), mask=np.arange(len(sizes)) < row["nulls"]), np.concatenate(([0], np.cumsum(sizes)))
 
 
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     wordbpe.release()
     for batch in batches:
         for row in batch.to_pylist():
-            ids = Wavelet.from_bytes(row["n"], row["zeros"], row["planes"], row["ranks"]).decode().astype("<u4")
-            sizes = np.frombuffer(row["sizes"], "<i8")
-            cuts = np.concatenate(([0], np.cumsum(sizes)))
+            ids = _load(row).decode().astype("<u4")
+            doc, cuts = _owners(row)
             data = memoryview(ids.tobytes())
             crc = [zlib.crc32(data[4 * a : 4 * b]) for a, b in zip(cuts.tolist(), cuts[1:].tolist())]
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(sizes), row["shard"])), pa.array(np.frombuffer(row["doc_ids"], "<i8")), pa.array(cuts[:-1]), pa.array(sizes), pa.array(crc, pa.int64())], names=["shard", "doc_id", "at", "n_tokens", "ids_crc32"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(doc), row["shard"])), doc, pa.array(cuts[:-1]), pa.array(np.diff(cuts)), pa.array(crc, pa.int64())], names=["shard", "doc_id", "at", "n_tokens", "ids_crc32"])
 
 
-def read_documents(spark: SparkSession, path: str) -> DataFrame:
-    """doc_id, start, n_tokens and crc32 of the ids of every document, decoded from the files at `path`."""
-    files = spark.read.schema(SHARD).parquet(path)
-    # Offsets in two steps, so that no window holds more than the shards of one partition or the partitions.
+def _files(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(SHARD).parquet(path)
+
+
+def shard_bases(files: DataFrame) -> DataFrame:
+    """shard, n and base: the number of ids in all shards before.
+
+    Offsets in two steps, so that no window holds more than the shards of one partition or the partitions.
+    """
     parts = files.groupBy("part").agg(F.sum("n").alias("ids"))
     parts = parts.withColumn("group", F.expr("part div 4096"))
     groups = parts.groupBy("group").agg(F.sum("ids").alias("ids"))
@@ -192,5 +220,55 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
     parts = parts.withColumn("own", F.coalesce(F.sum("ids").over(before), F.lit(0))).join(groups, "group").select("part", (F.col("base") + F.col("own")).alias("base"))
     before = Window.partitionBy("part").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     shards = files.select("part", "shard", "n").withColumn("own", F.coalesce(F.sum("n").over(before), F.lit(0)))
-    shards = shards.join(parts, "part").select("shard", (F.col("base") + F.col("own")).alias("base"))
-    return files.mapInArrow(tidy(_read), DOCS).join(shards, "shard").select("doc_id", (F.col("base") + F.col("at")).alias("start"), "n_tokens", "ids_crc32")
+    return shards.join(parts, "part").select("shard", "n", (F.col("base") + F.col("own")).alias("base"))
+
+
+def read_documents(spark: SparkSession, path: str) -> DataFrame:
+    """doc_id, start, n_tokens and crc32 of the ids of every document, decoded from the files at `path`."""
+    files = _files(spark, path)
+    return files.mapInArrow(tidy(_read), DOCS).join(shard_bases(files), "shard").select("doc_id", (F.col("base") + F.col("at")).alias("start"), "n_tokens", "ids_crc32")
+
+
+def count(spark: SparkSession, path: str, symbols: list[int]) -> DataFrame:
+    """symbol and n: occurrences of each symbol in all files, by rank."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                w = _load(row)
+                yield pa.RecordBatch.from_arrays([pa.array(symbols, pa.int32()), pa.array([w.count(s) for s in symbols], pa.int64())], names=["symbol", "n"])
+
+    return _files(spark, path).mapInArrow(run, "symbol int, n long").groupBy("symbol").agg(F.sum("n").alias("n"))
+
+
+def access(spark: SparkSession, path: str, positions: DataFrame, bin_size: int = 1 << 21) -> DataFrame:
+    """at and id for each position `at` (from 0, over all files) of `positions`; those beyond the end have no row.
+
+    A position finds its shard by an equi-join of bins; each shard then answers what it is asked.
+    """
+    files = _files(spark, path)
+    shards = shard_bases(files).filter("n > 0").withColumn("bin", F.explode(F.expr(f"sequence(base div {bin_size}, (base + n - 1) div {bin_size})")))
+    asked = positions.select(F.col("at").cast("long").alias("at")).distinct().withColumn("bin", F.expr(f"at div {bin_size}"))
+    asked = asked.join(shards, "bin").filter("at >= base AND at < base + n").select("shard", "at", (F.col("at") - F.col("base")).alias("own"))
+
+    def run(table: pa.Table, asked: pa.Table) -> pa.Table:
+        w = _load(table.to_pylist()[0]) if table.num_rows else None
+        return pa.table({"at": asked.column("at"), "id": pa.array([w.access(i) for i in asked.column("own").to_pylist()], pa.int32())})
+
+    return _files(spark, path).groupBy("shard").cogroup(asked.groupBy("shard")).applyInArrow(run, "at long, id int")
+
+
+def locate(spark: SparkSession, path: str, symbol: int) -> DataFrame:
+    """doc_id and start (of its document), and at: the position in all files of each occurrence of the symbol."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                at = _load(row).locate(symbol)
+                doc, cuts = _owners(row)
+                of = np.searchsorted(cuts, at, side="right") - 1
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), row["shard"])), doc.take(pa.array(of)), pa.array(cuts[of]), pa.array(at)], names=["shard", "doc_id", "start", "at"])
+
+    files = _files(spark, path)
+    found = files.mapInArrow(run, "shard long, doc_id long, start long, at long").join(shard_bases(files), "shard")
+    return found.select("doc_id", (F.col("base") + F.col("start")).alias("start"), (F.col("base") + F.col("at")).alias("at"))

@@ -1,13 +1,16 @@
 """BPE encoding and decoding through a distinct-word table.
 
-1. Each task splits its texts and numbers the words of a block of documents; a document becomes its row of
-   word numbers (positions), and the block's words go out once each, by hash bucket.
-   The block also keeps the bucket of each number, so that replies need not repeat the numbers.
+1. Each task splits its texts in Arrow and numbers the words of a block of documents; a batch of documents becomes
+   one row of word numbers (positions), and the block's words go out once each, by hash bucket. The block also keeps
+   the bucket of each number, so that replies need not repeat the numbers. All of this is stored, bucketed by block.
 2. Words meet in their bucket, where each distinct word is encoded once; ids return to every block that asked.
-3. Blocks join their ids back by position; a bounded id-to-piece table decodes them.
+3. Blocks join their ids back by position, where their rows already lie (the stored side isn't shuffled again), and
+   join the ids with the table of pieces, which is as large as the vocabulary, to decode them.
 
-A word shared by all documents is one row for each block, so no key is hot. Null texts count as empty (no ids,
-empty decoded text); a null doc_id stays null; repeated rows give repeated results; other columns are ignored; an empty table gives none.
+A word shared by all documents is one row for each block, so no key is hot. The words are stored before anything
+meets, so nothing depends on the order in which a scan returns its rows. Null texts count as empty (no ids, empty
+decoded text); a null doc_id stays null; repeated rows give repeated results; other columns are ignored; an empty
+table gives none.
 """
 
 from __future__ import annotations
@@ -22,11 +25,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import wordbpe
-from .common import partitions_for, small_batches
+from .common import give_back, materialize_by, partitions_for, small_batches, tidy
 
-_PARTS = "block long, bucket int, doc_id long, data binary"
-_SCHEMA = pa.schema([("block", pa.int64()), ("bucket", pa.int32()), ("doc_id", pa.int64()), ("data", pa.binary())])
+#: bucket: of the words in data, or -1 for the word numbers of documents, or -2 for the buckets of a block's numbers
+_PARTS = "block long, bucket int, docs binary, sizes binary, data binary"
+_SCHEMA = pa.schema([("block", pa.int64()), ("bucket", pa.int32()), *((c, pa.binary()) for c in ("docs", "sizes", "data"))])
 RESULT = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
+_STEP = 200_000  # ids decoded at once
 
 
 class _Numbers(dict):
@@ -45,121 +50,123 @@ def _unpack(data: bytes) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view("<u4").reshape(-1)
 
 
-def _split(buckets: int, block_chars: int, words_out: bool):
-    """Rows of word numbers (bucket -1) with the block's buckets (-2), or else the block's words by bucket.
+def _rows(rows: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _SCHEMA)], schema=_SCHEMA)
 
-    Both are computed from the same scan, so that nothing but the shuffles is stored; a digest of the block's words
-    travels with either and is compared where they meet.
-    """
 
+def _split(buckets: int, block_chars: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import zlib
-
         from pyspark import TaskContext
 
         z = zstandard.ZstdCompressor(level=1)
         block = TaskContext.get().partitionId() << 32
         numbers, chars = _Numbers(), 0
 
-        def words() -> Iterator[pa.RecordBatch]:
-            if not numbers:
-                return
-            seen = hashlib.blake2b("\n".join(numbers).encode(), digest_size=16).digest()
-            of = np.fromiter((zlib.crc32(w.encode()) % buckets for w in numbers), np.uint32, len(numbers))
-            if words_out:
-                by: list[list[str]] = [[] for _ in range(buckets)]
-                for w, k in zip(numbers, of.tolist()):
-                    by[k].append(w)
-                rows = [(k, seen + z.compress("\n".join(ws).encode())) for k, ws in enumerate(by) if ws]
-            else:
-                rows = [(-2, seen + _pack(of, z))]
-            yield pa.RecordBatch.from_arrays([pa.array([block] * len(rows), pa.int64()), pa.array([k for k, _ in rows], pa.int32()), pa.nulls(len(rows), pa.int64()), pa.array([d for _, d in rows], pa.binary())], schema=_SCHEMA)
+        def words() -> pa.RecordBatch:
+            every = pa.array(list(numbers), pa.string())
+            of = (wordbpe.hashes(every) % np.uint64(buckets)).astype(np.uint32)
+            order = np.argsort(of, kind="stable")
+            cuts = np.searchsorted(of[order], np.arange(buckets + 1))
+            rows = [(block, -2, None, None, _pack(of, z))]
+            for k in np.flatnonzero(cuts[1:] > cuts[:-1]).tolist():
+                own = every.take(pa.array(order[cuts[k] : cuts[k + 1]])).to_pylist()
+                rows.append((block, k, None, None, z.compress("\n".join(own).encode())))
+            return _rows(rows)
 
         for batch in batches:
-            ids, data = [], []
-            get = numbers.__getitem__
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                ws = wordbpe.split(text)
-                n = np.fromiter(map(get, ws), np.uint32, len(ws))
-                chars += len(text)
-                if not words_out:
-                    ids.append(doc)
-                    data.append(_pack(n, z))
-            yield pa.RecordBatch.from_arrays([pa.array([block] * len(ids), pa.int64()), pa.array([-1] * len(ids), pa.int32()), pa.array(ids, pa.int64()), pa.array(data, pa.binary())], schema=_SCHEMA)
+            of, distinct, cuts = wordbpe.words_of(batch.column(1))
+            number = np.fromiter(map(numbers.__getitem__, distinct.to_pylist()), np.uint32, len(distinct))
+            doc = batch.column(0)
+            ids = doc.fill_null(0).to_numpy().astype("<i8").tobytes() + np.asarray(doc.is_null()).tobytes()
+            yield _rows([(block, -1, ids, _pack(np.diff(cuts), z), _pack(number[of], z))])
+            chars += batch.column(1).nbytes
             if chars >= block_chars:
-                yield from words()
+                yield words()
                 numbers, chars, block = _Numbers(), 0, block + 1
-        yield from words()
+        if numbers:
+            yield words()
 
     return run
 
 
 def _encode_bucket(path: str):
     def run(table: pa.Table) -> pa.Table:
-        t = wordbpe.load(path)
-        rows = table.column("data").to_pylist()
-        asked = [zstandard.decompress(d[16:]).decode().split("\n") for d in rows]
-        distinct = list({w for ws in asked for w in ws})
-        ids = dict(zip(distinct, wordbpe.encode_words(t, distinct)))
-        z, out = zstandard.ZstdCompressor(level=1), []
-        for row, ws in zip(rows, asked):
-            got = [ids[w] for w in ws]
-            size = np.array([len(x) // 2 for x in got], "<u4").tobytes()
-            out.append(row[:16] + z.compress(np.uint32(len(got)).tobytes() + size + b"".join(got)))
-        return pa.table({"block": table.column("block"), "bucket": table.column("bucket"), "doc_id": pa.nulls(len(out), pa.int64()), "data": pa.array(out, pa.binary())}, schema=_SCHEMA)
+        encoder = wordbpe.encoder(path)
+        asked = [pa.array(zstandard.decompress(d).decode().split("\n"), pa.string()) for d in table.column("data").to_pylist()]
+        words = pa.concat_arrays(asked).dictionary_encode()
+        size, ids = encoder.encode(words.dictionary)
+        at, of, z = np.cumsum(size) - size, words.indices.to_numpy(), zstandard.ZstdCompressor(level=1)
+        cuts = np.cumsum([0, *map(len, asked)])
+        parts = [of[a:b] for a, b in zip(cuts, cuts[1:])]
+        out = pa.table([table.column("block"), table.column("bucket"), pa.nulls(len(parts), pa.binary()), pa.array([_pack(size[p], z) for p in parts], pa.binary()), pa.array([z.compress(wordbpe.gather(ids, at[p], size[p]).tobytes()) for p in parts], pa.binary())], schema=_SCHEMA)
+        del asked, words, ids, parts
+        give_back()
+        return out
 
     return run
 
 
+class _Pieces:
+    """The id-to-piece table: each piece's bytes and a space."""
+
+    def __init__(self, path: str):
+        t = wordbpe.load(path)
+        every = [(t.id_to_token(i) or "").encode() + b" " for i in range(t.get_vocab_size(with_added_tokens=True))]
+        self.size = np.fromiter(map(len, every), np.int64, len(every))
+        self.at = np.cumsum(self.size) - self.size
+        self.flat = np.frombuffer(b"".join(every), np.uint8)
+
+    def digests(self, ids: np.ndarray, cuts: list[int]) -> list[str]:
+        """SHA-256 of each text's pieces, parted by spaces; a bounded number of ids is joined at once."""
+        out, h, d = [], hashlib.sha256(), 0
+        for lo in range(0, max(1, len(ids)), _STEP):
+            own = ids[lo : lo + _STEP]
+            hi, n = lo + len(own), self.size[own]
+            text = memoryview(wordbpe.gather(self.flat, self.at[own], n).tobytes())
+            ends = np.concatenate(([0], np.cumsum(n))).tolist()
+            while d + 1 < len(cuts) and cuts[d + 1] <= hi:
+                a, b = ends[max(cuts[d], lo) - lo], ends[cuts[d + 1] - lo]
+                h.update(text[a : max(a, b - 1)])
+                out.append(h.hexdigest())
+                h, d = hashlib.sha256(), d + 1
+            if d + 1 < len(cuts) and cuts[d] < hi:
+                h.update(text[ends[max(cuts[d], lo) - lo] :])
+        return out
+
+
 def _assemble(path: str):
     def run(docs: pa.Table, replies: pa.Table) -> pa.Table:
-        t = wordbpe.load(path)
-        piece = [t.id_to_token(i).encode() if t.id_to_token(i) is not None else b"" for i in range(t.get_vocab_size(with_added_tokens=True))]
-        rows = list(zip(docs.column("bucket").to_pylist(), docs.column("doc_id").to_pylist(), docs.column("data").to_pylist()))
-        seen, bucket_of = next(((d[:16], _unpack(d[16:])) for k, _, d in rows if k == -2), (b"", np.zeros(0, np.uint32)))
-        order = np.argsort(bucket_of, kind="stable")
-        size, data = [], []
-        for _, reply in sorted(zip(replies.column("bucket").to_pylist(), replies.column("data").to_pylist())):
-            if reply[:16] != seen:
-                raise ValueError("the rows of a partition changed their order between two scans")
-            raw = zstandard.decompress(reply[16:])
-            n = int.from_bytes(raw[:4], "little")
-            size.append(np.frombuffer(raw, "<u4", n, 4))
-            data.append(np.frombuffer(raw, "<u2", -1, 4 + 4 * n))
-        size = np.concatenate(size) if size else np.zeros(0, np.uint32)
-        if len(size) != len(order):
-            raise ValueError("a block got back another number of words than it sent")
-        ids = (np.concatenate(data) if data else np.zeros(0, np.uint16)).tolist()
-        cuts = np.concatenate(([0], np.cumsum(size, dtype=np.int64))).tolist()
-        word_ids: list[bytes] = [b""] * len(order)
-        word_text: list[bytes] = [b""] * len(order)
-        for number, a, b in zip(order.tolist(), cuts, cuts[1:]):
-            own = ids[a:b]
-            word_ids[number] = np.array(own, "<u4").tobytes()
-            word_text[number] = b" ".join([piece[i] for i in own])
-        full = all(word_ids)
+        pieces = _Pieces(path)
+        rows = list(zip(*(docs.column(c).to_pylist() for c in ("bucket", "docs", "sizes", "data"))))
+        bucket_of = next((_unpack(d) for k, _, _, d in rows if k == -2), np.zeros(0, np.uint32))
+        order = np.argsort(bucket_of, kind="stable")  # the block's numbers as the replies have them
+        back = sorted(zip(*(replies.column(c).to_pylist() for c in ("bucket", "sizes", "data"))))
+        got = np.concatenate([np.zeros(0, np.uint32), *(_unpack(s) for _, s, _ in back)]).astype(np.int64)
+        flat = np.concatenate([np.zeros(0, np.uint16), *(np.frombuffer(zstandard.decompress(d), "<u2") for _, _, d in back)])
+        at, size = np.zeros(len(order), np.int64), np.zeros(len(order), np.int64)
+        at[order], size[order] = np.cumsum(got) - got, got
         out = []
-        for k, doc, packed in rows:
-            if k == -2:
-                continue
-            numbers = _unpack(packed).tolist()
-            if not full:
-                numbers = [n for n in numbers if word_ids[n]]
-            encoded = b"".join(map(word_ids.__getitem__, numbers))
-            decoded = b" ".join(map(word_text.__getitem__, numbers))
-            out.append((doc, len(encoded) // 4, hashlib.sha256(encoded).hexdigest(), hashlib.sha256(decoded).hexdigest()))
-        cols = list(zip(*out)) if out else [[], [], [], []]
-        return pa.table([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.string()), pa.array(cols[3], pa.string())], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+        for _, doc, sizes, data in (r for r in rows if r[0] == -1):
+            number = _unpack(data)
+            n = len(doc) // 9
+            ids = wordbpe.gather(flat, at[number], size[number])
+            cuts = np.concatenate(([0], np.cumsum(size[number])))[np.concatenate(([0], np.cumsum(_unpack(sizes), dtype=np.int64)))].tolist()
+            raw = memoryview(ids.astype("<u4").tobytes())
+            sha = [hashlib.sha256(raw[4 * a : 4 * b]).hexdigest() for a, b in zip(cuts, cuts[1:])]
+            of = pa.array(np.frombuffer(doc, "<i8", n), mask=np.frombuffer(doc, bool, n, 8 * n))
+            out.append(pa.table([of, pa.array(np.diff(cuts), pa.int64()), pa.array(sha, pa.string()), pa.array(pieces.digests(ids, cuts), pa.string())], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]))
+        give_back()
+        empty = pa.table([pa.nulls(0, t) for t in (pa.int64(), pa.int64(), pa.string(), pa.string())], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+        return pa.concat_tables([empty, *out])
 
     return run
 
 
-def encode_decode(docs: DataFrame, path: str, block_chars: int = 32_000_000, bucket_bytes: int = 16 << 20) -> DataFrame:
+def encode_decode(docs: DataFrame, path: str, block_chars: int = 16_000_000, bucket_bytes: int = 8 << 20) -> DataFrame:
     """doc_id, n_tokens and digests of the ids and of the decoded text of every row of `docs` (doc_id, text)."""
     small_batches(docs.sparkSession)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
     buckets = partitions_for(texts, bucket_bytes, 8)
-    asked = texts.mapInArrow(_split(buckets, block_chars, True), _PARTS)
-    rows = texts.mapInArrow(_split(buckets, block_chars, False), _PARTS)
-    encoded = asked.groupBy("bucket").applyInArrow(_encode_bucket(path), _PARTS)
-    return rows.groupBy("block").cogroup(encoded.groupBy("block")).applyInArrow(_assemble(path), RESULT)
+    stored = materialize_by(texts.mapInArrow(tidy(_split(buckets, block_chars)), _PARTS), "op2-words", "block", buckets)
+    encoded = stored.filter("bucket >= 0").repartition(buckets, "bucket").groupBy("bucket").applyInArrow(_encode_bucket(path), _PARTS)
+    return stored.filter("bucket < 0").groupBy("block").cogroup(encoded.groupBy("block")).applyInArrow(_assemble(path), RESULT)

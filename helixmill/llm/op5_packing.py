@@ -97,15 +97,16 @@ def _pieces(path: str, end_id: int, capacity: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = wordbpe.encoder(path)
         for batch in batches:
-            rows = []
-            for doc, ids in zip(batch.column(0).to_pylist(), encode(batch.column(1).to_pylist())):
-                data = memoryview(np.append(ids, np.uint16(end_id)).astype("<u4").tobytes())
-                n = len(data) // 4
-                for k, start in enumerate(range(0, n, capacity)):
-                    stop = min(n, start + capacity)
-                    rows.append((doc, k, start, stop - start, zlib.crc32(data[4 * start : 4 * stop])))
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _PIECES)], schema=_PIECES)
+            ids, cuts = encode(batch.column(1), end_id)
+            size = np.diff(cuts)
+            many = -(-size // capacity)
+            doc = np.repeat(np.arange(len(size)), many)
+            piece = np.arange(len(doc)) - np.repeat(np.cumsum(many) - many, many)
+            start = piece * capacity
+            length = np.minimum(size[doc] - start, capacity)
+            data = memoryview(ids.astype("<u4").tobytes())
+            crc = [zlib.crc32(data[4 * a : 4 * (a + n)]) for a, n in zip((cuts[doc] + start).tolist(), length.tolist())]
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(doc)), *(pa.array(c, f.type) for c, f in zip((piece, start, length, crc), list(_PIECES)[1:]))], schema=_PIECES)
 
     return run
 

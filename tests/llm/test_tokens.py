@@ -1,10 +1,12 @@
 """Token operators against the tokenizers library: exact ids, round trips, packing."""
 
+import collections
 import hashlib
 import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -32,20 +34,30 @@ def ids():
     return [t.encode(x or "", add_special_tokens=False).ids for x in TEXTS]
 
 
+def encoded(e, texts, end=None):
+    ids, cuts = e(pa.array(texts, pa.string()), end)
+    return [x.tolist() for x in np.split(ids, cuts[1:-1])] if texts else []
+
+
 def test_encoder_equals_library(ids):
     e = wordbpe.Encoder(PATH)
     assert e.direct
-    assert [x.tolist() for x in e([t or "" for t in TEXTS])] == ids
+    texts = [t or "" for t in TEXTS]
+    assert encoded(e, texts) == encoded(e, texts) == ids
+    assert encoded(e, texts, 1) == [[*x, 1] for x in ids]
     tiny = wordbpe.Encoder(PATH, limit=2)
-    assert [x.tolist() for t in TEXTS for x in tiny([t or ""])] == ids
+    assert [encoded(tiny, [t])[0] for t in texts] == ids
+    assert encoded(e, []) == [] and encoded(e, ["", ""]) == [[], []]
+    whole = pa.array(["x", *texts, "y"]).slice(1, len(texts))
+    assert np.split(e(whole)[0], e(whole)[1][1:-1])[3].tolist() == ids[3]
 
 
 def test_encoder_on_random_text():
     rng = random.Random(5)
-    letters = "aB'dé.,! \n\t9Ωß<|>\x1c\u3000´é"
-    texts = ["".join(rng.choice(letters) for _ in range(rng.randrange(60))) for _ in range(400)]
+    letters = "aB'd\u00e9.,! \n\t9\u03a9\u00df<|>\x1c\u3000\u00b4e\u0301\u0130\u212a\u212b\xa0\x85\x0b\u00c9\u00d7\u00f7\u00de"
+    texts = ["".join(rng.choice(letters) for _ in range(rng.randrange(60))) for _ in range(600)]
     t = wordbpe.load(PATH)
-    assert [x.tolist() for x in wordbpe.Encoder(PATH)(texts)] == [t.encode(x, add_special_tokens=False).ids for x in texts]
+    assert encoded(wordbpe.Encoder(PATH), texts) == [t.encode(x, add_special_tokens=False).ids for x in texts]
 
 
 def test_wavelet_matrix():
@@ -58,6 +70,7 @@ def test_wavelet_matrix():
             assert w.access(int(i)) == ids[i] and w.rank(int(ids[i]), int(i)) == (ids[:i] == ids[i]).sum()
             assert w.select(int(ids[i]), w.rank(int(ids[i]), int(i))) == i
         if n:
+            assert w.locate(int(ids[0])).tolist() == np.flatnonzero(ids == ids[0]).tolist() and w.locate(49407).tolist() == np.flatnonzero(ids == 49407).tolist()
             assert w.count(int(ids[0])) == (ids == ids[0]).sum() and w.count(49407) == (ids == 49407).sum()
             with pytest.raises(IndexError):
                 w.select(int(ids[0]), n)
@@ -85,13 +98,32 @@ def test_empty_tables(spark, docs):
 
 
 def test_null_ids(spark):
-    docs = spark.createDataFrame([(None, "a b"), (2, "c")], "doc_id long, text string")
+    docs = spark.createDataFrame([(None, "a b"), (2, "c"), (None, "a b"), (None, None)], "doc_id long, text string")
     out = shared_dir(spark, "t1")
-    op1_wavelet.write_shards(docs, out, PATH)
-    assert [r.doc_id for r in op1_wavelet.read_documents(spark, out).collect()] == [2]
+    op1_wavelet.write_shards(docs, out, PATH, shard_tokens=1)
+    got = sorted(op1_wavelet.read_documents(spark, out).collect(), key=lambda r: r.start)
+    assert [r.doc_id for r in got] == [None, None, None, 2] and sorted(r.n_tokens for r in got[:3]) == [1, 3, 3]
+    assert [r.start for r in got] == np.cumsum([0, *(r.n_tokens for r in got)])[:-1].tolist()
     assert {r.doc_id for r in op2_bpe.encode_decode(docs, PATH).collect()} == {r.doc_id for r in op5_packing.best_fit(docs, PATH).collect()} == {None, 2}
 
 
+@pytest.mark.parametrize("shard_tokens", [50, 10**6])
+def test_lookups_over_files(spark, docs, ids, shard_tokens):
+    out = shared_dir(spark, "t1")
+    op1_wavelet.write_shards(docs, out, PATH, partition_bytes=100_000, shard_tokens=shard_tokens)
+    own = [*range(4), 3, *range(4, len(TEXTS))]
+    whole = [i for d in own for i in [*ids[d], 1]]
+    starts = np.cumsum([0, *(len(ids[d]) + 1 for d in own)])
+    asked = [0, 5, len(whole) - 1, len(whole), 7, 7, *range(100, 3000, 71)]
+    got = {r.at: r.id for r in op1_wavelet.access(spark, out, spark.createDataFrame([(i,) for i in asked], "at long"), bin_size=64).collect()}
+    assert got == {i: whole[i] for i in asked if i < len(whole)}
+    common = collections.Counter(whole).most_common(1)[0][0]
+    assert {r.symbol: r.n for r in op1_wavelet.count(spark, out, [1, common, 49406]).collect()} == {s: whole.count(s) for s in (1, common, 49406)}
+    for symbol in (1, common, 49406):
+        want = [(own[k], int(starts[k]), i) for i, s in enumerate(whole) if s == symbol for k in [int(np.searchsorted(starts, i, side="right")) - 1]]
+        assert sorted(map(tuple, op1_wavelet.locate(spark, out, symbol).collect())) == sorted(want)
+
+
 @pytest.mark.parametrize("block_chars", [10, 10**7])
 def test_encode_decode(docs, ids, block_chars):
     t = wordbpe.load(PATH)
