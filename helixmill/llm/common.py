@@ -24,10 +24,14 @@ def documents(spark: SparkSession, sf_dir: str, table: str = "documents") -> Dat
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A new folder for intermediate tables under spark.checkpoint.dir, which all executors share.
 
-    Only where that setting is absent (tests in local mode) a local temporary folder is used.
+    Where that setting is absent a local temporary folder is used in local mode (tests); elsewhere that is an error,
+    since executors would not see each other's files.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         app = spark.sparkContext.applicationId
         base = _OWN.get(app) or _OWN.setdefault(app, tempfile.mkdtemp(prefix="helixmill-"))
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
@@ -81,7 +85,10 @@ def partitions_for(df: DataFrame, each: int, least: int = 1) -> int:
 
 
 def small_batches(spark: SparkSession, rows: int = 500, size: int = 4 << 20) -> None:
-    """Arrow batches of few rows and bytes: texts may be long, and a batch is held whole by a Python worker."""
+    """Arrow batches of few rows and bytes: texts may be long, and a batch is held whole by a Python worker.
+
+    A setting of the session, since a plan takes it when it runs; every operator of this subpackage makes the same one.
+    """
     for name, value in (("maxRecordsPerBatch", rows), ("maxBytesPerBatch", size)):
         spark.conf.set(f"spark.sql.execution.arrow.{name}", str(value))
 

@@ -11,8 +11,8 @@ candidates.
 Queries and candidates meet in blocks (a stated query set against all rows); rows leave a block only as its best k.
 Components become floor(256 x) as whole numbers. Vectors that are null, or hold a null or non-finite component, and
 rows without vec_id take no part; vectors of unequal length are compared as if the shorter ended in zeros; an empty
-vector scores 0. A repeated query id asks once; repeated candidates are candidates of their own; a row with the
-query's own id is not its candidate. Ties go to the smaller vec_id. Other columns are ignored.
+vector scores 0. A repeated query id asks once, with the least of its vectors (component by component, in order);
+repeated candidates are candidates of their own; a row with the query's own id is not its candidate. Ties go to the smaller vec_id. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import materialize, small_batches
 
 SLICES = 4
 _NONE = np.iinfo(np.int64).min
@@ -127,8 +127,9 @@ def _meet(queries: DataFrame, candidates: DataFrame, n: int) -> DataFrame:
 
 def top_k(rows: DataFrame, is_query, k: int = 5, query_block: int = 1024, block: int = 4096) -> DataFrame:
     """query_id, rank, vec_id and score of the k best candidates of each row for which `is_query` holds."""
+    small_batches(rows.sparkSession)
     vectors = materialize(quantise(rows), "op10-vectors")
-    asked = vectors.filter(is_query).dropDuplicates(["vec_id"])
+    asked = vectors.filter(is_query).groupBy("vec_id").agg(F.min("v").alias("v"))
     n, n_q = -(-vectors.count() // block) or 1, -(-asked.count() // query_block) or 1
     candidates = materialize(blocks(vectors, n), "op10-blocks")
     out = "query_id long, vec_id long, score long"
@@ -144,7 +145,7 @@ SQL = """
 WITH v AS (SELECT vec_id, [CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE) FOR x IN embedding] AS q FROM embeddings
            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
 s AS (SELECT a.vec_id AS query_id, b.vec_id, CAST(list_dot_product(a.q, b.q) AS BIGINT) AS score
-      FROM v a JOIN v b ON a.vec_id != b.vec_id WHERE a.vec_id % 50 = 0),
+      FROM (SELECT vec_id, min(q) AS q FROM v GROUP BY vec_id) a JOIN v b ON a.vec_id != b.vec_id WHERE a.vec_id % 50 = 0),
 r AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM s)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 """

@@ -3,8 +3,8 @@
 Texts are cut into windows of WINDOW bytes; a forward and a backward gated recurrent layer read each window, a
 softmax layer labels every position, and a document's probabilities are the mean over the positions of all its
 windows. Training is backpropagation through time with Adam on windows of a bounded sample: at most SAMPLE
-documents of each language in expectation (those with the least hashes), one window each; the sample goes to the
-driver and its size does not grow with the input. Only text and lang of documents outside the held-out fold are
+documents of each language in expectation (those with the least hashes), one window each, and one for each doc_id
+however many rows it has; the sample goes to the driver and its size does not grow with the input. Only text and lang of documents outside the held-out fold are
 learned from; prediction sees the text alone.
 
 A text that is null or has no letter is `und` with score 0. Without any labelled training document every text is
@@ -205,7 +205,8 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> tuple[list[str], dict[str, np.
     share = F.create_map(*(F.lit(x) for lang, n in sorted(counts.items()) for x in (lang, min(1.0, sample / n))))
     draw = F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(1 << 30)) / F.lit(float(1 << 30))
     place = F.pmod(F.xxhash64("doc_id", F.lit(5)), F.greatest(F.lit(1), F.char_length("text") - TRAIN_BYTES)).cast("int") + 1
-    rows = known.filter(draw < share[F.col("lang")]).select("doc_id", "lang", F.substring("text", place, F.lit(4 * TRAIN_BYTES)).alias("t")).collect()
+    drawn = known.filter(draw < share[F.col("lang")]).select("doc_id", F.struct("lang", F.substring("text", place, F.lit(4 * TRAIN_BYTES)).alias("t")).alias("own"))
+    rows = drawn.groupBy("doc_id").agg(F.min("own").alias("own")).select("doc_id", "own.*").collect()
     langs = sorted(counts)
     windows, labels = [], []
     for row in sorted(rows, key=lambda r: (r.doc_id, r.lang, r.t)):
@@ -249,7 +250,8 @@ def keep(docs: DataFrame, model: tuple[list[str], dict | None]) -> DataFrame:
     """The rows of `docs`, with all their columns, whose text is in a known language: `und` is rejected.
     Where no network could be learned, only texts that are null or have no letter are.
 
-    The text itself decides, so the same network labels it in the scan; no join back is needed.
+    The text itself decides, so the same network labels it in the scan; no join back is needed. Repeated rows stay
+    or go together, rows without doc_id are judged like others; columns may have any names; an empty table stays empty.
     """
     small_batches(docs.sparkSession)
     langs, weights = model
@@ -257,11 +259,15 @@ def keep(docs: DataFrame, model: tuple[list[str], dict | None]) -> DataFrame:
         letters = F.udf(lambda t: any(map(str.isalpha, t)), "boolean")
         return docs.filter(F.col("text").isNotNull() & letters(F.coalesce(F.col("text"), F.lit(""))))
 
+    id_at, text_at = docs.columns.index("doc_id"), docs.columns.index("text")
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         predict = _predict(langs, weights)
         for batch in batches:
-            part = pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([False] * batch.num_rows), batch.column("text")], names=["doc_id", "held_out", "text"])
+            part = pa.RecordBatch.from_arrays([batch.column(id_at), pa.array([False] * batch.num_rows), batch.column(text_at)], names=["doc_id", "held_out", "text"])
             pred = next(predict(iter([part]))).column("lang_pred").to_pylist()
             yield batch.filter(pa.array([p != "und" for p in pred], pa.bool_()))
 
-    return docs.mapInArrow(tidy(run), docs.schema)
+    # names may hold dots, which a plan would take for fields
+    plain = docs.toDF(*(f"_{i}" for i in range(len(docs.columns))))
+    return plain.mapInArrow(tidy(run), plain.schema).toDF(*docs.columns)

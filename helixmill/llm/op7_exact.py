@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, partitions_for
+from .common import materialize, partitions_for, small_batches
 
 BITS = 3  # 8 runs meet in a merge
 SPACE = "[ \\t-\\r]+"
@@ -28,16 +28,21 @@ RUN = "node long, prefix long, keys binary, chars binary, ids binary, counts bin
 _RUN = pa.schema([("node", pa.int64()), ("prefix", pa.int64()), *((c, pa.binary()) for c in ("keys", "chars", "ids", "counts"))])
 
 
-def _reduce(keys: np.ndarray, chars: np.ndarray, ids: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, ...]:
-    """One entry for each key, in order: most characters, then the smallest id, null last; counts are summed.
+def _merge_runs(keys: np.ndarray, chars: np.ndarray, ids: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, ...]:
+    """One entry for each key of the runs that follow each other, in order: most characters, then the smallest id,
+    null last; counts are summed.
 
-    chars is twice the number of characters, and one more where there is an id.
+    The stable sort finds the sorted runs and merges them. chars is twice the number of characters, and one more
+    where there is an id.
     """
-    order = np.lexsort((ids, -chars))
-    order = order[np.argsort(keys[order], kind="stable")]
-    keys = keys[order]
+    order = np.argsort(keys, kind="stable")
+    keys, chars, ids = keys[order], chars[order], ids[order]
     at = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1]))) if len(keys) else np.zeros(0, np.int64)
-    return keys[at], chars[order][at], ids[order][at], np.add.reduceat(counts[order], at) if len(at) else counts[:0]
+    if not len(at):
+        return keys, chars, ids, counts
+    most = np.maximum.reduceat(chars, at)
+    best = np.repeat(most, np.diff(np.append(at, len(keys)))) == chars
+    return keys[at], most, np.minimum.reduceat(np.where(best, ids, np.iinfo(np.int64).max), at), np.add.reduceat(counts[order], at)
 
 
 def _row(node: int, prefix: int, run: tuple[np.ndarray, ...]) -> list:
@@ -65,11 +70,11 @@ def _make_run(table: pa.Table) -> pa.Table:
     """The sorted run of one block, cut for the first round."""
     keys = np.array(table.column("key").to_pylist(), "S40")
     chars, ids = (table.column(c).fill_null(0).to_numpy().astype("<i8") for c in ("chars", "doc_id"))
-    return _cut(table.column("block")[0].as_py(), 0, _reduce(keys, chars, ids, np.ones(len(keys), "<i8")), 0)
+    return _cut(table.column("block")[0].as_py(), 0, _merge_runs(keys, chars, ids, np.ones(len(keys), "<i8")), 0)
 
 
 def _merged(table: pa.Table) -> tuple[np.ndarray, ...]:
-    return _reduce(*(np.concatenate(x) for x in zip(*map(_arrays, table.to_pylist()))))
+    return _merge_runs(*(np.concatenate(x) for x in zip(*map(_arrays, table.to_pylist()))))
 
 
 def _merge(done: int):
@@ -93,6 +98,7 @@ def dedup(docs: DataFrame, block_bytes: int = 1 << 20, least_blocks: int = 64, n
 
     With `null_ids` rows without doc_id count and are returned (kept is null where either id is), else they are left out.
     """
+    small_batches(docs.sparkSession)
     text = F.coalesce(F.col("text"), F.lit(""))
     own = F.regexp_replace(text, SPACE, "")
     rows = (docs if null_ids else docs.filter("doc_id IS NOT NULL")).select(F.col("doc_id").cast("long").alias("doc_id"), (2 * F.char_length(text).cast("long") + F.col("doc_id").isNotNull().cast("long")).alias("chars"), own.alias("own"))
@@ -113,7 +119,11 @@ def dedup(docs: DataFrame, block_bytes: int = 1 << 20, least_blocks: int = 64, n
 
 
 def keep(docs: DataFrame) -> DataFrame:
-    """One row of `docs` for each text, with all columns: most characters, then the smallest doc_id, null last."""
+    """One row of `docs` for each text, with all columns: most characters, then the smallest doc_id, null last.
+
+    Null and empty texts, and those of white space only, are one text. Of rows that repeat that doc_id and text one
+    stays (the greatest text, which is the same). Columns may have any names; an empty table stays empty.
+    """
     found = dedup(docs.select("doc_id", "text"), null_ids=True).filter("doc_id <=> keep_id").select("text_sha256", F.col("keep_id").alias("__keep_id")).distinct()
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.sha2(F.regexp_replace(text, SPACE, ""), 256).alias("sha"), F.struct(F.char_length(text).alias("n"), text.alias("t")).alias("order"))

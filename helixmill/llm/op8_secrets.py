@@ -87,19 +87,36 @@ def scan(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(_joined(F.col("base")), 256).alias("base_sha256"), _joined(F.concat("base", "linked")).alias("spans"))
 
 
+_PIECE = 1024
+
+
+def _part(a: str, b: str) -> str:
+    """Code points a .. b of the text whose pieces of _PIECE code points are `_cut`: only those in question are read."""
+    i, j = f"cast({a} div {_PIECE} as int)", f"cast(({b} - 1) div {_PIECE} as int)"
+    inside = f"substring(_cut[{i}], cast({a} % {_PIECE} as int) + 1, cast({b} - {a} as int))"
+    across = f"concat(substring(_cut[{i}], cast({a} % {_PIECE} as int) + 1), array_join(slice(_cut, {i} + 2, {j} - {i} - 1), ''), substring(_cut[{j}], 1, cast({b} - {j} * {_PIECE} as int)))"
+    return f"CASE WHEN {b} <= {a} THEN '' WHEN {i} = {j} THEN {inside} ELSE {across} END"
+
+
 def redact(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
     """`docs` with every span in `text` replaced by its kind in brackets, and n_chars set to the new length.
 
-    Spans that overlap count as one, under the kind of the first. Null texts stay null.
+    Spans that overlap count as one, under the kind of the first. Null texts stay null, empty ones empty; rows
+    without spans, repeated rows and other columns, whatever their names, stay as they are; an empty table stays
+    empty. The text is cut into pieces once and joined once, so a long text with many spans costs no more a span.
     """
     spans = _found(docs, scope).select(F.col("key").alias("_k"), F.array_sort(F.concat("base", "linked")).alias("_spans")).filter(F.size("_spans") > 0).dropDuplicates(["_k"])
     names = "array(" + ", ".join(f"'[{k}]'" for k in ORDER) + ")"
-    step = f"""CASE WHEN s.start >= acc.pos
-        THEN named_struct('pos', s.stop, 'out', concat(acc.out, substring(_d.text, cast(acc.pos + 1 as int), cast(s.start - acc.pos as int)), {names}[s.ord]))
+    # what overlaps an earlier span goes; `pos` is where those before end
+    step = """CASE WHEN s.start >= acc.pos THEN named_struct('pos', s.stop, 'out', array_append(acc.out, named_struct('before', acc.pos, 'start', s.start, 'ord', s.ord)))
         ELSE named_struct('pos', greatest(acc.pos, s.stop), 'out', acc.out) END"""
-    masked = f"aggregate(_spans, named_struct('pos', 0L, 'out', ''), (acc, s) -> {step}, acc -> concat(acc.out, substring(_d.text, cast(acc.pos + 1 as int))))"
+    none = "cast(array() as array<struct<before:bigint,start:bigint,ord:int>>)"
     # the row travels as one struct, so that no column of it can clash with those added here
     out = docs.select(F.struct("*").alias("_d"), _row_key().alias("_k")).join(spans, "_k", "left")
+    out = out.withColumn("_kept", F.expr(f"aggregate(_spans, named_struct('pos', 0L, 'out', {none}), (acc, s) -> {step})"))
+    out = out.withColumn("_cut", F.when(F.col("_spans").isNotNull(), F.regexp_extract_all(F.col("_d.text"), F.lit(f"(?s).{{1,{_PIECE}}}"), F.lit(0))))
+    out = out.withColumn("_size", F.char_length("_d.text").cast("bigint"))
+    masked = f"concat(array_join(transform(_kept.out, s -> concat({_part('s.before', 's.start')}, {names}[s.ord])), ''), {_part('_kept.pos', '_size')})"
     out = out.withColumn("_text", F.when(F.col("_spans").isNull(), F.col("_d.text")).otherwise(F.expr(masked)))
     n_chars = F.when(F.col("_spans").isNull(), F.col("_d.n_chars")).otherwise(F.char_length("_text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else None
     new = {"text": F.col("_text"), "n_chars": n_chars}
