@@ -37,10 +37,10 @@ def gc_clamp(seq: Column | str) -> Column:
 
 
 def clip01(x: Column) -> Column:
-    """Clamp to [0, 1]; NaN stays."""
-    return F.when(F.isnan(x), x).when(x < 0, F.lit(0.0)).when(x > 1, F.lit(1.0)).otherwise(x)
+    """Clamp to [0, 1]; NaN stays (greatest and least take it for the largest number)."""
+    return F.when(F.isnan(x), x).otherwise(F.least(F.greatest(x, F.lit(0.0)), F.lit(1.0)))
 
 
 def linear_penalty(x: Column, good: float, bad: float) -> Column:
     """0 up to good, 1 from bad, linear between."""
-    return F.when(F.isnan(x), x).when(x <= good, F.lit(0.0)).when(x >= bad, F.lit(1.0)).otherwise((x - good) / (bad - good))
+    return clip01((x - good) / (bad - good))

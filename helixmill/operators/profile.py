@@ -25,6 +25,11 @@ def column_counts(msa: DataFrame) -> DataFrame:
     return unpivot(msa).groupBy("gene", "col").agg(*counts, F.count_if(F.col("base") == "-").alias("gap_count"), F.count("*").alias("n_rows"))
 
 
+def sanitized_counts(counts: DataFrame) -> DataFrame:
+    """Column counts of the sanitised alignment from those of the alignment: what is no base becomes a gap."""
+    return counts.withColumn("gap_count", F.col("n_rows") - sum(F.col(f"count_{b.lower()}") for b in BASES))
+
+
 def _entropy(counts: list[Column], total: Column) -> Column:
     part = lambda c: F.when((c > 0) & (total > 0), -(c / total) * F.log2(c / total)).otherwise(0.0)
     return sum((part(c) for c in counts[1:]), part(counts[0]))

@@ -10,7 +10,7 @@ from ..params import STRICT, Params
 from .coverage import COVERAGE_ORDER
 from .pairs import order_by
 
-#: Weights and scales of the final score.
+#: Weights and scales of the final score; fixed values.
 COVERAGE, PRIME3, SPECIFICITY, THERMO, AMPLICON = 0.42, 0.20, 0.18, 0.13, 0.07
 TM_BALANCE, GC, HAIRPIN, HOMODIMER, HETERODIMER = 0.30, 0.20, 0.17, 0.16, 0.17
 TM_DIFF_BAD, GC_DIFF_BAD, GC_TARGET, GC_DELTA_BAD, GOOD_TM, BAD_TM, RISK_BAD = 4.0, 20.0, 50.0, 20.0, 35.0, 55.0, 20.0
@@ -51,17 +51,14 @@ def score_pairs(coverage: DataFrame, metrics: DataFrame | None = None, specifici
     fallback = F.when(n > 0, 1.0 - clip01(F.col("failed_due_to_3prime_count") / n)).otherwise(0.0)
     cons = F.when(F.col("forward_cons").isNotNull() & F.col("reverse_cons").isNotNull(), clip01((F.col("forward_cons") + F.col("reverse_cons")) / 2.0)).otherwise(fallback)
     length = F.col("amplicon_length")
-    size = (
-        F.when(length.between(*PREFERRED), 0.0)
-        .when(length < PREFERRED[0], (PREFERRED[0] - length) / float(max(1, PREFERRED[0] - ALLOWED[0])))
-        .otherwise((length - PREFERRED[1]) / float(max(1, ALLOWED[1] - PREFERRED[1])))
-    )
+    # bases beyond the preferred range, as a share of those allowed; none are allowed below it, where each counts 1
+    size = F.greatest(F.lit(0), PREFERRED[0] - length, (length - PREFERRED[1]) / float(ALLOWED[1] - PREFERRED[1]))
     p = p.withColumns({
         "single_primer_3prime_conservation": cons, "tm_balance_score": 1.0 - clip01(F.col("tm_diff") / TM_DIFF_BAD),
         "gc_score": 1.0 - 0.5 * clip01(F.abs(F.col("gc_forward") - F.col("gc_reverse")) / GC_DIFF_BAD) - 0.5 * clip01(F.abs((F.col("gc_forward") + F.col("gc_reverse")) / 2.0 - GC_TARGET) / GC_DELTA_BAD),
         "hairpin_penalty": linear_penalty(hairpin, GOOD_TM, BAD_TM), "homodimer_penalty": linear_penalty(homodimer, GOOD_TM, BAD_TM),
         "heterodimer_penalty": linear_penalty(F.col("heterodimer_tm"), GOOD_TM, BAD_TM), "offtarget_penalty": F.when(F.col("risk").isNull(), 0.0).otherwise(clip01(F.col("risk") / RISK_BAD)),
-        "amplicon_size_penalty": clip01(size),
+        "amplicon_size_penalty": clip01(size.cast("double")),
     })
     thermo = clip01(TM_BALANCE * F.col("tm_balance_score") + GC * F.col("gc_score") + HAIRPIN * (1.0 - F.col("hairpin_penalty")) + HOMODIMER * (1.0 - F.col("homodimer_penalty")) + HETERODIMER * (1.0 - F.col("heterodimer_penalty")))
     quality = COVERAGE * clip01(F.col("pair_coverage_fraction")) + PRIME3 * F.col("single_primer_3prime_conservation") + SPECIFICITY * (1.0 - F.col("offtarget_penalty")) + THERMO * thermo + AMPLICON * (1.0 - F.col("amplicon_size_penalty"))

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from ..functions.sequences import reverse_complement
 from ..params import STRICT, Params
+from .joins import spread_join
+from .pairs import order_by
 
 
 def seed_hits(queries: DataFrame, subjects: DataFrame, params: Params = STRICT) -> DataFrame:
@@ -14,6 +16,9 @@ def seed_hits(queries: DataFrame, subjects: DataFrame, params: Params = STRICT)
 
     Words of word_size letters are joined on equality; the words of one query and subject on one diagonal make a
     hit from the first word to the last. Columns are those of a tabular hit; evalue and bitscore are null.
+
+    There are few different words, so each is frequent: the queries' words are broadcast where a count says that they
+    are few, else the subjects' words are salted; rows of a diagonal are combined before they are shuffled.
     """
     k = params.word_size
     words = lambda c: F.expr(f"transform(sequence(1, length({c}) - {k} + 1), i -> struct(i AS pos, substr({c}, i, {k}) AS word))")
@@ -22,7 +27,7 @@ def seed_hits(queries: DataFrame, subjects: DataFrame, params: Params = STRICT)
     qw = strands.select("query_id", "sstrand", "oriented", F.explode(words("oriented")).alias("w")).select("query_id", "sstrand", "oriented", F.col("w.pos").alias("qpos"), "w.word")
     s = subjects.select("subject_id", F.upper("seq").alias("seq")).filter(F.length("seq") >= k)
     sw = s.select("subject_id", F.explode(words("seq")).alias("w")).select("subject_id", F.col("w.pos").alias("spos"), "w.word").filter(F.col("word").rlike("^[ACGT]+$"))
-    d = qw.join(sw, "word").groupBy("query_id", "sstrand", "oriented", "subject_id", (F.col("spos") - F.col("qpos")).alias("diag")).agg(F.min("qpos").alias("a"), (F.max("qpos") + k - 1).alias("b"))
+    d = spread_join(sw, qw, ["word"]).groupBy("query_id", "sstrand", "oriented", "subject_id", (F.col("spos") - F.col("qpos")).alias("diag")).agg(F.min("qpos").alias("a"), (F.max("qpos") + k - 1).alias("b"))
     h = d.join(s, "subject_id").withColumns({"qo": F.expr("substring(oriented, a, b - a + 1)"), "so": F.expr("substring(seq, a + diag, b - a + 1)"), "n": F.expr("length(oriented)"), "align_len": F.expr("b - a + 1")})
     h = h.withColumn("mismatch", F.expr("size(filter(sequence(1, align_len), i -> substr(qo, i, 1) != substr(so, i, 1)))"))
     plus = F.col("sstrand") == "plus"
@@ -82,7 +87,12 @@ def single_specificity(primers: DataFrame, hits: DataFrame) -> DataFrame:
     return p.withColumn("off_target_risk_score", F.col("off_target_hits_count") + 5.0 * F.col("good_3prime_off_target_hits_count"))
 
 
-SINGLE_ORDER = [("good_3prime_off_target_hits_count", False), ("off_target_hits_count", False), ("off_target_risk_score", False)]
+SINGLE_ORDER = [("good_3prime_off_target_hits_count", False), ("off_target_hits_count", False), ("off_target_risk_score", False), ("ord", False)]
+
+
+def sorted_single(single: DataFrame) -> DataFrame:
+    """Primers by rising risk within each gene; equal ones in the order of `ord`."""
+    return single.orderBy("gene", *order_by(SINGLE_ORDER))
 
 
 def pair_specificity(pairs: DataFrame, hits: DataFrame, params: Params = STRICT) -> DataFrame:
@@ -97,4 +107,9 @@ def pair_specificity(pairs: DataFrame, hits: DataFrame, params: Params = STRICT)
     return out.withColumn("off_target_pair_risk_score", F.col("potential_off_target_amplicons_count") + 8.0 * F.col("good_3prime_off_target_amplicons_count"))
 
 
-PAIR_RISK_ORDER = [("good_3prime_off_target_amplicons_count", False), ("potential_off_target_amplicons_count", False), ("off_target_pair_risk_score", False)]
+PAIR_RISK_ORDER = [("good_3prime_off_target_amplicons_count", False), ("potential_off_target_amplicons_count", False), ("off_target_pair_risk_score", False), ("forward_seq", False), ("reverse_seq", False)]
+
+
+def sorted_pair_risk(risk: DataFrame) -> DataFrame:
+    """Pairs by rising risk; equal ones by their sequences, since each pair of sequences is one row."""
+    return risk.orderBy(*order_by(PAIR_RISK_ORDER))

@@ -15,6 +15,14 @@ def gene_list(spark: SparkSession, genes: str) -> DataFrame:
     return out
 
 
+def genes_of(lists: DataFrame, column: str = "genes") -> DataFrame:
+    """gene: the distinct items of many comma-separated lists; an empty item fails the job."""
+    item = F.explode(F.split(F.col(column), ",")).alias("item")
+    gene = F.trim("item")
+    bad = F.raise_error(F.lit("genes_of: an empty gene; separate gene names by single commas")).cast("string")
+    return lists.select(item).select(F.when(gene != "", gene).otherwise(bad).alias("gene")).distinct()
+
+
 def partition_name(column: str = "gene"):
     """A folder name: letters, digits and -_. are kept, others become _ ; two genes may share one."""
     return F.regexp_replace(F.trim(F.col(column)), r"[^\p{L}\p{N}\-_.]", "_")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import thermo as T
 from ..functions.sequences import gc_clamp, gc_percent, longest_run
 from ..params import STRICT, Params
+from .joins import spread
 
 
 def sequence_metrics(primers: DataFrame) -> DataFrame:
@@ -36,7 +37,7 @@ def override(screens: DataFrame, structure_tm: DataFrame) -> DataFrame:
 def primer_metrics(primers: DataFrame, params: Params = STRICT, structure_tm: DataFrame | None = None) -> DataFrame:
     """All metrics and passed_basic_filters. Screens run on distinct sequences. A NaN structure value passes."""
     rows = sequence_metrics(primers)
-    screens = structure_screens(rows.select("sequence").distinct())
+    screens = structure_screens(spread(rows.select("sequence"), "sequence").distinct())
     if structure_tm is not None:
         screens = override(screens, structure_tm)
     p = params

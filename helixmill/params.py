@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, replace
 
 GAP_MODES = ("ignore", "penalize", "hard_fail")
@@ -13,8 +14,41 @@ def require(ok: bool, what: str, where: str, fix: str) -> None:
         raise ValueError(f"{what} in {where}. {fix}")
 
 
+def _each(names: str, ok: Callable[..., bool], text: str) -> list[tuple]:
+    return [((n,), ok, text) for n in names.split()]
+
+
+def _number(x) -> bool:
+    return isinstance(x, (int, float)) and not isinstance(x, bool) and x == x
+
+
+def _whole(x) -> bool:
+    return isinstance(x, int) and not isinstance(x, bool)
+
+
+def _ordered(names: str) -> tuple:
+    return tuple(names.split()), lambda a, b: not (_number(a) and _number(b)) or a <= b, "the first may not be above the second"
+
+
+#: What each parameter must be: names, condition, text.
+RULES = [
+    *_each("window_size min_len max_len tail_len max_run min_amplicon max_amplicon preferred_min preferred_max word_size max_subjects min_hit_len hit_tail_len offtarget_min_amplicon offtarget_max_amplicon top_n", lambda x: _whole(x) and x > 0, "a whole number above 0"),
+    *_each("max_variable_positions max_high_gap_positions min_non_gap_count min_clamp max_clamp strong_3p_nt medium_3p_nt max_mismatches max_3p_mismatches max_gap_positions max_tail_mismatches", lambda x: _whole(x) and x >= 0, "a whole number from 0"),
+    *_each("top_quantile all_gap_score variability_threshold gap_fraction_threshold min_tail3_identity min_tail5_identity max_amplicon_gap_fraction", lambda x: _number(x) and 0 <= x <= 1, "a fraction from 0 to 1"),
+    *_each("min_gc max_gc min_hit_identity", lambda x: _number(x) and 0 <= x <= 100, "a percentage from 0 to 100"),
+    *_each("min_tm max_tm max_hairpin_tm max_homodimer_tm max_self_dimer_3p_tm max_heterodimer_tm", _number, "a number"),
+    *_each("gap_penalty strong_weight medium_weight base_weight max_weighted_score max_tm_diff", lambda x: _number(x) and x >= 0, "a number from 0"),
+    *_each("gap_mode", lambda x: x in GAP_MODES, f"one of {', '.join(GAP_MODES)}"),
+    *_each("unsuitable_char", lambda x: isinstance(x, str) and len(x) == 1, "one character"),
+    *_each("min_region_len", lambda x: x is None or _whole(x) and x > 0, "None or a whole number above 0"),
+    *map(_ordered, ("min_len max_len", "min_gc max_gc", "min_tm max_tm", "min_clamp max_clamp", "min_amplicon max_amplicon", "preferred_min preferred_max", "strong_3p_nt medium_3p_nt", "offtarget_min_amplicon offtarget_max_amplicon")),
+]
+
+
 @dataclass(frozen=True)
 class Params:
+    """The defaults are those of the strict preset."""
+
     # conserved regions
     window_size: int = 15
     top_quantile: float = 0.9
@@ -77,21 +111,16 @@ class Params:
     top_n: int = 20
 
     def __post_init__(self) -> None:
-        where = "Params"
-        require(self.window_size > 0, f"window_size={self.window_size}", where, "Use a positive number.")
-        require(0 <= self.top_quantile <= 1, f"top_quantile={self.top_quantile}", where, "Use a fraction from 0 to 1.")
-        require(0 < self.min_len <= self.max_len, f"lengths {self.min_len}..{self.max_len}", where, "Use 0 < min_len <= max_len.")
-        require(self.gap_mode in GAP_MODES, f"gap_mode={self.gap_mode!r}", where, f"Use one of {GAP_MODES}.")
-        require(0 < self.min_amplicon <= self.max_amplicon, "amplicon range", where, "Use 0 < min_amplicon <= max_amplicon.")
-        require(0 <= self.max_amplicon_gap_fraction <= 1, "max_amplicon_gap_fraction", where, "Use a fraction from 0 to 1.")
-        require(self.top_n > 0, f"top_n={self.top_n}", where, "Use a positive number.")
-        require(len(self.unsuitable_char) == 1, "unsuitable_char", where, "Use one character.")
+        wrong = [text for names, ok, text in RULES for text in [f"{', '.join(f'{n}={getattr(self, n)!r}' for n in names)}: {text}"] if not ok(*(getattr(self, n) for n in names))]
+        if wrong:
+            raise ValueError("Params: " + "; ".join(wrong))
 
     def with_(self, **changes) -> Params:
         return replace(self, **changes)
 
 
 STRICT = Params()
+#: The limits of the relaxed preset where they differ from the strict one's.
 RELAXED = Params(
     window_size=25, top_quantile=0.8, min_region_len=25, variability_threshold=0.15, gap_fraction_threshold=0.20, max_variable_positions=10,
     max_high_gap_positions=2, min_tail3_identity=0.85, min_tail5_identity=0.80, min_gc=35.0, max_gc=65.0, min_tm=54.0, max_tm=66.0, max_run=5,

@@ -6,27 +6,35 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.joins import spread
+
 COLUMNS = 240
 
 
+def _gene():
+    """A document's language; those without one are a gene of their own."""
+    return F.coalesce("lang", F.lit("none")).alias("gene")
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
 def msa(spark: SparkSession, sf_dir: str) -> DataFrame:
     """gene, seq_idx, id, aligned."""
-    docs = documents(spark, sf_dir).select("doc_id", F.col("lang").alias("gene"))
+    docs = documents(spark, sf_dir).select("doc_id", _gene())
     cols = f"sequence(0L, {COLUMNS - 1}L)"
     template = docs.select("gene").distinct().withColumn("template", F.expr(f"transform({cols}, c -> (instr('0123456789abcdef', substr(md5(concat(gene, ':', c)), 1, 1)) - 1) % 4)"))
     base = """transform(zip_with(template, transform({cols}, c -> struct(c AS c, (doc_id * 7919 + c * 104729 + doc_id * c * 31) % 997 AS r)), (b, x) -> struct(b AS b, x.c AS c, x.r AS r)), x ->
         CASE WHEN x.r % 211 = 1 THEN '-' WHEN x.r % 503 = 2 THEN 'N'
              ELSE substr('ACGT', cast((x.b + CASE WHEN (x.c % 40 >= 30 AND x.r % 100 < 40) OR x.r % 100 < 3 THEN 1 + x.r % 3 ELSE 0 END) % 4 as int) + 1, 1) END)""".format(cols=cols)
-    return docs.join(template, "gene").select("gene", F.col("doc_id").alias("seq_idx"), F.concat(F.lit("subj"), F.col("doc_id")).alias("id"), F.array_join(F.expr(base), "").alias("aligned"))
+    # a row is a few bytes here and 240 bases to compute
+    return spread(docs.join(template, "gene"), "doc_id").select("gene", F.col("doc_id").alias("seq_idx"), F.concat(F.lit("subj"), F.col("doc_id")).alias("id"), F.array_join(F.expr(base), "").alias("aligned"))
 
 
 def records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """gene, seq_idx, id, description, seq."""
-    d = documents(spark, sf_dir)
+    d = documents(spark, sf_dir).withColumn("gene", _gene())
     i = F.concat(F.lit("doc"), F.col("doc_id"))
-    description = F.concat(i, F.lit(" [gene="), F.col("lang"), F.lit("] "), F.col("source"), F.when(F.col("doc_id") % 17 == 0, F.lit(" partial=True")).otherwise(F.lit("")))
-    return d.select(F.col("lang").alias("gene"), F.col("doc_id").alias("seq_idx"), i.alias("id"), description.alias("description"), F.regexp_replace(F.upper("text"), "[^ACGTN]", "").alias("seq"))
+    description = F.concat(i, F.lit(" [gene="), F.col("gene"), F.lit("] "), F.col("source"), F.when(F.col("doc_id") % 17 == 0, F.lit(" partial=True")).otherwise(F.lit("")))
+    return d.select("gene", F.col("doc_id").alias("seq_idx"), i.alias("id"), description.alias("description"), F.regexp_replace(F.upper("text"), "[^ACGTN]", "").alias("seq"))

@@ -82,10 +82,10 @@ _COV_ORDER = "pair_coverage_fraction DESC, is_preferred_amplicon_range DESC, tm_
 _RANK = f"final_score DESC, pair_coverage_fraction DESC, single_primer_3prime_conservation DESC, offtarget_penalty, heterodimer_penalty, amplicon_size_penalty, {_COV_ORDER}"
 
 
-def _score(source: str, risk: str) -> str:
+def _score(source: str, risk: str, cons: str = "NULL") -> str:
     thermo = "0.30 * tm_balance_score + 0.20 * gc_score + 0.17 * (1 - hairpin_penalty) + 0.16 * (1 - homodimer_penalty) + 0.17 * (1 - heterodimer_penalty)"
     return f"""(SELECT *, round(100 * {_clip(f"0.42 * pair_coverage_fraction + 0.20 * single_primer_3prime_conservation + 0.18 * (1 - offtarget_penalty) + 0.13 * {_clip(thermo)} + 0.07 * (1 - amplicon_size_penalty)")}, 9) AS final_score FROM (
-      SELECT p.*, 1 - {_clip("failed_due_to_3prime_count::DOUBLE / total_sequences_count")} AS single_primer_3prime_conservation, 1 - {_clip("tm_diff / 4")} AS tm_balance_score,
+      SELECT p.*, coalesce({cons}, 1 - {_clip("failed_due_to_3prime_count::DOUBLE / total_sequences_count")}) AS single_primer_3prime_conservation, 1 - {_clip("tm_diff / 4")} AS tm_balance_score,
         1 - 0.5 * {_clip("abs(gc_forward - gc_reverse) / 20")} - 0.5 * {_clip("abs((gc_forward + gc_reverse) / 2 - 50) / 20")} AS gc_score,
         {_pen("greatest(f.hairpin_tm, r.hairpin_tm)")} AS hairpin_penalty, {_pen("greatest(f.homodimer_tm, r.homodimer_tm)")} AS homodimer_penalty, {_pen("heterodimer_tm")} AS heterodimer_penalty,
         {_clip(f"{risk} / 20.0")} AS offtarget_penalty, {_clip("CASE WHEN amplicon_length BETWEEN 40 AND 120 THEN 0 WHEN amplicon_length < 40 THEN 40 - amplicon_length ELSE (amplicon_length - 120) / 100.0 END")} AS amplicon_size_penalty
@@ -120,11 +120,12 @@ def _tables() -> dict[str, str]:
     amb = "CASE WHEN length(seq) = 0 THEN 1.0 ELSE length(regexp_replace(seq, '[ACGT]', '', 'g'))::DOUBLE / length(seq) END"
     generic = lambda skip: f"SELECT gene, col, base, count(*) AS n, min(seq_idx) AS first FROM h WHERE base NOT IN ({skip}) GROUP BY ALL"
     return {
+        "docs": "(SELECT doc_id, text, source, coalesce(lang, 'none') AS lang FROM documents)",
         "h": """(SELECT gene, seq_idx, col, CASE WHEN r % 211 = 1 THEN '-' WHEN r % 503 = 2 THEN 'N' ELSE substr('ACGT', ((b + CASE WHEN (col % 40 >= 30 AND r % 100 < 40) OR r % 100 < 3 THEN 1 + r % 3 ELSE 0 END) % 4)::INT + 1, 1) END AS base
-          FROM (SELECT lang AS gene, doc_id AS seq_idx, c::INT AS col, (doc_id * 7919 + c * 104729 + doc_id * c * 31) % 997 AS r, (strpos('0123456789abcdef', substr(md5(lang || ':' || c::VARCHAR), 1, 1)) - 1) % 4 AS b FROM documents, range(240) t(c)))""",
+          FROM (SELECT lang AS gene, doc_id AS seq_idx, c::INT AS col, (doc_id * 7919 + c * 104729 + doc_id * c * 31) % 997 AS r, (strpos('0123456789abcdef', substr(md5(lang || ':' || c::VARCHAR), 1, 1)) - 1) % 4 AS b FROM docs, range(240) t(c)))""",
         "m": "(SELECT gene, seq_idx, string_agg(base, '' ORDER BY col) AS aligned FROM h GROUP BY gene, seq_idx)",
         "rec": """(SELECT lang AS gene, doc_id AS seq_idx, 'doc' || doc_id AS id, 'doc' || doc_id || ' [gene=' || lang || '] ' || source || CASE WHEN doc_id % 17 = 0 THEN ' partial=True' ELSE '' END AS description,
-          regexp_replace(upper(text), '[^ACGTN]', '', 'g') AS seq FROM documents)""",
+          regexp_replace(upper(text), '[^ACGTN]', '', 'g') AS seq FROM docs)""",
         "st": f"""(SELECT r.gene, any_value(med) AS median_len, quantile_cont(abs(length(seq) - med), 0.5) AS mad, any_value(p90) AS amb_p90
           FROM rec r JOIN (SELECT gene, quantile_cont(length(seq), 0.5) AS med, quantile_cont({amb}, 0.9) AS p90 FROM rec GROUP BY gene) q ON q.gene = r.gene GROUP BY r.gene)""",
         "lim": "(SELECT *, greatest(1, trunc(median_len - 4 * (mad * 1.4826))::BIGINT) AS min_len, CASE WHEN mad > 0 THEN trunc(median_len + 4 * (mad * 1.4826))::BIGINT ELSE trunc(median_len)::BIGINT END AS max_len FROM st)",
@@ -152,6 +153,7 @@ def _tables() -> dict[str, str]:
         "pr": "(SELECT gene, primer_seq AS sequence, orientation, window_start AS msa_start, window_end AS msa_end, ord FROM win)",
         "sq": """(SELECT gene, sequence, orientation, msa_start, msa_end, ord, CAST(length(sequence) AS INT) AS length, length(regexp_replace(sequence, '[^GC]', '', 'g')) * 100.0::DOUBLE / length(sequence) AS gc_percent,
           CAST(list_max([length(r) FOR r IN regexp_extract_all(sequence, 'A+|C+|G+|T+')]) AS INT) AS max_homopolymer_run, CAST(length(regexp_replace(right(sequence, 2), '[^GC]', '', 'g')) AS INT) AS gc_clamp_last2_count, gc_clamp_last2_count BETWEEN 1 AND 2 AS has_gc_clamp FROM pr)""",
+        "solved": "(SELECT DISTINCT sequence, 10.0::DOUBLE AS hairpin_tm, length(sequence) * 2.0::DOUBLE AS homodimer_tm, CASE WHEN sequence LIKE '%C' THEN 50.0::DOUBLE END AS self_dimer_3p_tm FROM pr WHERE sequence LIKE 'A%')",
         "dist": "(SELECT DISTINCT sequence FROM pr)",
         "s_tm": f"(SELECT sequence, {_tm('sequence', f'sequence = {_rc("sequence")}')} AS tm FROM dist)",
         "s_ho": _runs("dist", "sequence", "sequence", _rc("sequence"), "[ACGT]{2,}", 0, "1000000", _tm("r", "false"), "homodimer_tm"),
@@ -200,6 +202,7 @@ def _tables() -> dict[str, str]:
             JOIN hits f ON f.query_id = forward_seq JOIN hits r ON r.query_id = reverse_seq AND r.subject_id = f.subject_id AND r.sstrand != f.sstrand AND greatest(f.sstart, f.send, r.sstart, r.send) - least(f.sstart, f.send, r.sstart, r.send) + 1 BETWEEN 60 AND 150 GROUP BY ALL) USING (forward_seq, reverse_seq))""",
         "scored": _score("pc", "0.0"),
         "scored_risk": _score("(SELECT * FROM pc JOIN (SELECT forward_seq, reverse_seq, off_target_pair_risk_score FROM risk) USING (forward_seq, reverse_seq))", "off_target_pair_risk_score"),
+        "scored_supplied": _score("pc", "0.0", "(CASE WHEN gc_forward >= 50 AND gc_reverse >= 50 THEN (gc_forward / 100 + gc_reverse / 100) / 2 END)"),
         "top": _top("scored", "'offtarget:not_checked'"),
         "top_risk": _top("scored_risk", "'offtarget_amplicons=' || k.potential_off_target_amplicons_count || '; offtarget_amplicons_good3p=' || k.good_3prime_off_target_amplicons_count || '; offtarget_risk=' || printf('%.3f', k.off_target_pair_risk_score)"),
     }
@@ -263,6 +266,26 @@ def _finals() -> dict[str, str]:
               (SELECT count(*) FROM fil WHERE gene = g.gene) AS filtered, (SELECT count(*) FROM pairs WHERE gene = g.gene) AS pairs FROM (SELECT DISTINCT gene FROM m UNION ALL SELECT 'none') g)""",
         "gene_partitions": "SELECT DISTINCT gene, regexp_replace(gene || ' / ' || id, '[^\\p{L}\\p{N}\\-_.]', '_', 'g') AS folder FROM rec",
         "fasta_roundtrip": "SELECT id, description, length(seq) AS n, md5(seq) AS seq_md5 FROM rec WHERE length(seq) > 0",
+        "regions_json_array_roundtrip": "SELECT gene, region_index, start_col, end_col, mean_score FROM reg",
+        "report_sink_roundtrip": f"SELECT gene, md5(line) AS line_md5, count(*) AS n FROM (SELECT gene, unnest(string_split({_lines()}, chr(10))) AS line FROM top) GROUP BY ALL",
+        "report_text": f"""SELECT g.gene, CASE WHEN n IS NULL THEN 'No primer pairs passed final ranking.' || chr(10) ELSE 'Top primer pairs: ' || n || chr(10) || chr(10) || body || chr(10) END AS text
+            FROM (SELECT DISTINCT gene FROM m) g LEFT JOIN (SELECT gene, count(*) AS n, string_agg({_lines()}, chr(10) || chr(10) ORDER BY rank) AS body FROM top GROUP BY gene) USING (gene)""",
+        "min_region_len": "SELECT gene, CAST(row_number() OVER (PARTITION BY gene ORDER BY start_col) - 1 AS INT) AS region_index, start_col, end_col, mean_score FROM reg WHERE end_col - start_col >= 16",
+        "structure_override": """SELECT gene, sequence, orientation, msa_start, msa_end, hairpin_tm, homodimer_tm, self_dimer_3p_tm, length BETWEEN 18 AND 25 AND gc_percent BETWEEN 30 AND 70 AND tm BETWEEN 48 AND 70 AND max_homopolymer_run <= 5
+            AND gc_clamp_last2_count BETWEEN 0 AND 2 AND hairpin_tm <= 47 AND homodimer_tm <= 47 AND self_dimer_3p_tm <= 45 AS passed_basic_filters
+            FROM (SELECT q.*, s.tm, coalesce(o.hairpin_tm, s.hairpin_tm) AS hairpin_tm, coalesce(o.homodimer_tm, s.homodimer_tm) AS homodimer_tm, coalesce(o.self_dimer_3p_tm, o.homodimer_tm, s.self_dimer_3p_tm) AS self_dimer_3p_tm
+                  FROM sq q JOIN screen s USING (sequence) LEFT JOIN solved o USING (sequence))""",
+        "primer_violations": "SELECT gene, sequence, orientation, msa_start, msa_end + msa_start % 3 AS msa_end FROM pr WHERE msa_start % 3 > 0",
+        "gene_list": "SELECT DISTINCT trim(unnest(string_split(gene || ' , ' || id, ','))) AS gene FROM rec",
+        "orientation_split": "SELECT gene, orientation, count(*) AS n FROM pr GROUP BY ALL",
+        "pair_order": """SELECT gene, CAST(row_number() OVER (PARTITION BY gene ORDER BY is_preferred_amplicon_range DESC, round(tm_diff, 9), round(heterodimer_tm, 9), round(gc_balance_abs_diff, 9), f_ord, r_ord) AS INT) AS position, f_ord, r_ord FROM pairs""",
+        "pair_violations": """SELECT * FROM (SELECT gene, f_ord, r_ord, CASE WHEN fs < 0 THEN 'negative forward start' WHEN forward_end <= fs THEN 'empty forward primer' WHEN forward_end > 240 THEN 'forward primer beyond the alignment' WHEN length(forward_seq) != forward_end - fs THEN 'forward length differs'
+            WHEN reverse_start < 0 THEN 'negative reverse start' WHEN re <= reverse_start THEN 'empty reverse primer' WHEN re > 240 THEN 'reverse primer beyond the alignment' WHEN length(reverse_seq) != re - reverse_start THEN 'reverse length differs' END AS reason
+            FROM (SELECT *, forward_start - (f_ord % 7) * 20 AS fs, reverse_end + (r_ord % 3) * 30 AS re FROM pairs)) WHERE reason IS NOT NULL""",
+        "single_risk_order": """SELECT gene, ord, CAST(row_number() OVER (PARTITION BY gene ORDER BY g, n, n + 5 * g, ord) AS INT) AS position, n + 5.0::DOUBLE * g AS off_target_risk_score FROM (SELECT f.gene, f.ord, coalesce(n, 0) AS n, coalesce(g, 0) AS g
+            FROM fil f LEFT JOIN (SELECT query_id, count(*) AS n, count(*) FILTER (has_good_3prime_match) AS g FROM hits GROUP BY query_id) ON query_id = f.sequence)""",
+        "pair_risk_order": "SELECT forward_seq, reverse_seq, CAST(row_number() OVER (ORDER BY good_3prime_off_target_amplicons_count, potential_off_target_amplicons_count, off_target_pair_risk_score, forward_seq, reverse_seq) AS INT) AS position FROM risk",
+        "pair_scores_supplied": "SELECT gene, forward_seq, reverse_seq, f_ord, r_ord, single_primer_3prime_conservation, final_score FROM scored_supplied",
         "alignment_roundtrip": "SELECT gene, 'subj' || seq_idx AS id, md5(aligned) AS aligned_md5 FROM m",
         "regions_json_roundtrip": "SELECT * FROM reg",
         "pairs_csv_tsv_json_roundtrip": tops,
@@ -275,7 +298,8 @@ _COVER = "weighted_mismatch_score_sum coverage_fraction"
 #: Columns of doubles, which both sides round to six decimals.
 _DOUBLES = {
     "ambiguous_fraction": "fraction", "robust_length_stats": "median_len mad amb_p90", "column_profile": _PROFILE, "sanitized_profile": _PROFILE, "generic_column_metrics": "identity entropy",
-    "conservation_score": "score", "window_mean": "window_mean", "conserved_regions": "mean_score", "regions_json_roundtrip": "mean_score",
+    "conservation_score": "score", "window_mean": "window_mean", "conserved_regions": "mean_score", "regions_json_roundtrip": "mean_score", "regions_json_array_roundtrip": "mean_score", "min_region_len": "mean_score",
+    "structure_override": "hairpin_tm homodimer_tm self_dimer_3p_tm", "single_risk_order": "off_target_risk_score", "pair_scores_supplied": "single_primer_3prime_conservation final_score",
     "window_candidates": "mean_conservativity min_conservativity tail3_identity tail5_identity", "sequence_metrics": "gc_percent", "nn_tm": "tm", "homodimer_screen": "homodimer_tm",
     "self_dimer_3p": "self_dimer_3p_tm", "hairpin_screen": "hairpin_tm", "primer_filters": "tm", "single_coverage": _COVER, "single_coverage_ignore": _COVER, "single_coverage_hardfail": _COVER,
     "primer_pairs": "tm_forward tm_reverse gc_forward gc_reverse tm_diff gc_balance_abs_diff gc_balance_mean heterodimer_tm", "heterodimer_screen": "heterodimer_tm", "pair_coverage": "pair_coverage_fraction",

@@ -29,8 +29,12 @@ def _round(df: DataFrame, digits: int = 6) -> DataFrame:
 
 
 def _folder(spark: SparkSession, name: str) -> str:
-    """A new folder where spark.checkpoint.dir says, or a temporary one where nothing is set (tests)."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="helixmill-")
+    """A new folder where spark.checkpoint.dir says, or, in local mode alone, a temporary one where nothing is set."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        base = tempfile.mkdtemp(prefix="helixmill-")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
@@ -42,22 +46,27 @@ def _stored(df: DataFrame, name: str) -> DataFrame:
 
 
 class Assay:
-    """The tables of one run, built lazily from the alignment; nothing runs before an action."""
+    """The tables of one run, made from the alignment as they are asked for. What several others read is stored:
+    asking for it writes it."""
 
     def __init__(self, spark: SparkSession, sf_dir: str, params: Params = WIDE):
         self.spark, self.sf_dir, self.params = spark, sf_dir, params
 
     @cached_property
     def msa(self) -> DataFrame:
-        return fixtures.msa(self.spark, self.sf_dir)
+        return _stored(coverage.number_rows(fixtures.msa(self.spark, self.sf_dir)), "msa")
 
     @cached_property
     def records(self) -> DataFrame:
         return fixtures.records(self.spark, self.sf_dir)
 
+    @cached_property
+    def counts(self) -> DataFrame:
+        return _stored(profile.column_counts(self.msa), "counts")
+
     @cached_property
     def profile(self) -> DataFrame:
-        return _stored(profile.column_profile(self.msa, self.params), "profile")
+        return profile.from_counts(self.counts, self.params)
 
     @cached_property
     def consensus(self) -> DataFrame:
@@ -65,7 +74,7 @@ class Assay:
 
     @cached_property
     def scores(self) -> DataFrame:
-        return profile.conservation(profile.column_profile(profile.sanitize(self.msa), self.params), self.params)
+        return profile.conservation(profile.from_counts(profile.sanitized_counts(self.counts), self.params), self.params)
 
     @cached_property
     def regions(self) -> DataFrame:
@@ -93,11 +102,16 @@ class Assay:
 
     @cached_property
     def coverage(self) -> DataFrame:
-        return _stored(coverage.pair_coverage(self.pairs, coverage.primer_masks(self.filtered, self.msa, self.params), self.msa, self.params), "coverage")
+        masks = _stored(coverage.primer_masks(self.filtered, self.msa, self.params, self.masks), "masks")
+        return _stored(coverage.pair_coverage(self.pairs, masks, self.msa, self.params), "coverage")
+
+    @cached_property
+    def masks(self) -> DataFrame:
+        return _stored(coverage.window_masks(self.filtered, self.msa), "windows")
 
     def single(self, mode: str | None = None) -> DataFrame:
         p = self.params.with_(gap_mode=mode) if mode else self.params
-        return _stored(self.filtered.select(*coverage.KEY, "ord").join(coverage.single_coverage(self.filtered, self.msa, p), coverage.KEY), "single")
+        return _stored(self.filtered.select(*coverage.KEY, "ord").join(coverage.single_coverage(self.filtered, self.msa, p, self.masks), coverage.KEY), "single")
 
     @cached_property
     def subjects(self) -> DataFrame:
@@ -171,6 +185,38 @@ _SINGLE = ["gene", "sequence", "orientation", "msa_start", "msa_end", "ord", "ma
 _HIT = ["query_id", "subject_id", "sstrand", "pident", "align_len", "mismatch", "qstart", "qend", "sstart", "send", "qlen", "qseq", "sseq"]
 
 
+def _regions_array(a: Assay) -> DataFrame:
+    """Regions as one JSON array for each gene, read back by the array scan."""
+    path = _folder(a.spark, "arrays")
+    item = F.struct("gene", "region_index", "start_col", "end_col", "mean_score")
+    a.regions.groupBy(F.col("gene").alias("part")).agg(F.to_json(F.sort_array(F.collect_list(item))).alias("value")).write.partitionBy("part").text(path)
+    return tables.read_regions_json(a.spark, path)
+
+
+def _report_sink(a: Assay) -> DataFrame:
+    """The report of each gene written as text, and its lines counted as they are read back."""
+    path = _folder(a.spark, "report")
+    tables.write_report(report.report_lines(a.top), path)
+    return a.spark.read.text(path).select("gene", F.md5("value").alias("line_md5")).groupBy("gene", "line_md5").agg(F.count("*").alias("n"))
+
+
+def _solved(a: Assay) -> DataFrame:
+    """Structure temperatures that stand in for solved ones: of primers that begin with A; some without a 3' value."""
+    own = a.primers.select("sequence").distinct().filter("sequence LIKE 'A%'")
+    return own.select("sequence", F.lit(10.0).alias("hairpin_tm"), (F.length("sequence") * 2.0).alias("homodimer_tm"), F.when(F.col("sequence").like("%C"), F.lit(50.0)).alias("self_dimer_3p_tm"))
+
+
+def _orientations(a: Assay) -> DataFrame:
+    """Primers of either side by their number, from orientations in upper and lower case."""
+    forward, reverse = pairs.split_orientation(a.primers.withColumn("orientation", F.when(F.col("msa_start") % 2 == 0, F.upper("orientation")).otherwise(F.col("orientation"))))
+    return forward.unionByName(reverse).groupBy("gene", "orientation").agg(F.count("*").alias("n"))
+
+
+def _supplied(a: Assay) -> DataFrame:
+    """3' conservation that stands in for a measured one, of sequences of at least half G and C."""
+    return a.filtered.filter("gc_percent >= 50").select("gene", "sequence", (F.col("gc_percent") / 100.0).alias("conservation")).distinct()
+
+
 def _screens(a: Assay, column: str, expr: str) -> DataFrame:
     return a.primers.select("sequence").distinct().withColumn(column, F.expr(expr))
 
@@ -187,7 +233,7 @@ _QUERIES: dict[str, Callable[[Assay], DataFrame]] = {
     "consensus": lambda a: a.consensus,
     "generic_column_metrics": lambda a: profile.generic_column_metrics(a.msa),
     "aligned_consensus": lambda a: profile.aligned_consensus(a.msa),
-    "sanitized_profile": lambda a: profile.column_profile(profile.sanitize(a.msa)),
+    "sanitized_profile": lambda a: profile.column_profile(profile.sanitize(a.msa), a.params),
     "conservation_score": lambda a: a.scores,
     "window_mean": lambda a: regions.window_mean(a.scores, a.params),
     "conserved_regions": lambda a: a.regions,
@@ -222,6 +268,19 @@ _QUERIES: dict[str, Callable[[Assay], DataFrame]] = {
     "gene_partitions": lambda a: a.records.select("gene", F.concat("gene", F.lit(" / "), "id").alias("name")).select("gene", status.partition_name("name").alias("folder")).distinct(),
     "fasta_roundtrip": _fasta_roundtrip,
     "alignment_roundtrip": _alignment_roundtrip,
+    "regions_json_array_roundtrip": _regions_array,
+    "report_sink_roundtrip": _report_sink,
+    "report_text": lambda a: report.report(a.msa, a.top),
+    "min_region_len": lambda a: regions.conserved_regions(a.scores, a.params.with_(min_region_len=16)),
+    "structure_override": lambda a: thermo.primer_metrics(a.primers, a.params, _solved(a)).select("gene", "sequence", "orientation", "msa_start", "msa_end", "hairpin_tm", "homodimer_tm", "self_dimer_3p_tm", "passed_basic_filters"),
+    "primer_violations": lambda a: coverage.violations(a.primers.withColumn("msa_end", F.col("msa_end") + F.pmod("msa_start", F.lit(3))), a.msa).select("gene", "sequence", "orientation", "msa_start", "msa_end"),
+    "gene_list": lambda a: status.genes_of(a.records.select(F.concat("gene", F.lit(" , "), "id").alias("genes"))),
+    "orientation_split": _orientations,
+    "pair_order": lambda a: pairs.ranked(_round(a.pairs, 9), pairs.PAIR_ORDER, ["gene"]).select("gene", "position", "f_ord", "r_ord"),
+    "pair_violations": lambda a: coverage.pair_violations(a.pairs.withColumns({"forward_start": F.col("forward_start") - F.pmod("f_ord", F.lit(7)).cast("int") * 20, "reverse_end": F.col("reverse_end") + F.pmod("r_ord", F.lit(3)).cast("int") * 30}), a.msa).select("gene", "f_ord", "r_ord", "reason"),
+    "single_risk_order": lambda a: pairs.ranked(specificity.single_specificity(a.filtered.select("gene", "sequence", "orientation", "msa_start", "msa_end", "ord"), a.hits), specificity.SINGLE_ORDER, ["gene"]).select("gene", "ord", "position", "off_target_risk_score"),
+    "pair_risk_order": lambda a: pairs.ranked(a.pair_risk, specificity.PAIR_RISK_ORDER).select("forward_seq", "reverse_seq", "position"),
+    "pair_scores_supplied": lambda a: scoring.score_pairs(a.coverage, a.filtered, conservation_3p=_supplied(a)).select("gene", "forward_seq", "reverse_seq", "f_ord", "r_ord", "single_primer_3prime_conservation", "final_score"),
     "regions_json_roundtrip": _regions_roundtrip,
     "pairs_csv_tsv_json_roundtrip": _pairs_roundtrip,
     "hit_table_scan": _hit_scan,

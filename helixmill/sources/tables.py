@@ -13,8 +13,9 @@ _TYPES = {"pident": "double", "evalue": "double", "bitscore": "double"} | {c: "i
 
 
 def read_regions_json(spark: SparkSession, path: str) -> DataFrame:
-    """Regions from JSON arrays or lines; a bad item fails the scan, an empty table is an error."""
-    out = spark.read.schema("gene string, region_index int, start_col int, end_col int, mean_score double").option("mode", "FAILFAST").option("multiLine", not path.endswith(".jsonl")).json(path)
+    """Regions from files of one JSON array each, or lines (.jsonl); a bad item fails the scan, an empty table is an error."""
+    out = spark.read.schema(REGIONS).option("mode", "FAILFAST").option("multiLine", not path.endswith(".jsonl")).json(path)
+    out = out.select("gene", "region_index", "start_col", "end_col", "mean_score")
     require(bool(out.head(1)), "no regions", "read_regions_json", "Give at least one region.")
     bad = out.filter("start_col IS NULL OR end_col IS NULL OR mean_score IS NULL").head(1)
     require(not bad, f"region {bad[:1]}", "read_regions_json", "Give start_col, end_col and mean_score.")

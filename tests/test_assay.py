@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from helixmill.functions import thermo as T
 from helixmill.functions.sequences import ambiguous_fraction, clip01, gc_clamp, gc_percent, linear_penalty, longest_run, reverse_complement
-from helixmill.operators import candidates, coverage, pairs, profile, records, regions, report, scoring, specificity, status, thermo
+from helixmill.operators import candidates, coverage, joins, pairs, profile, records, regions, report, scoring, specificity, status, thermo
 from helixmill.params import RELAXED, STRICT, Params
 
 
@@ -21,7 +21,8 @@ def msa(spark, seqs, gene="g"):
 
 def test_params():
     assert RELAXED.gap_mode == "penalize" and STRICT.gap_mode == "hard_fail"
-    for bad in ({"gap_mode": "x"}, {"top_n": 0}, {"min_len": 9, "max_len": 8}, {"window_size": 0}):
+    bad_values = ({"gap_mode": "x"}, {"top_n": 0}, {"min_len": 9, "max_len": 8}, {"window_size": 0}, {"min_gc": 70.0, "max_gc": 60.0}, {"top_quantile": 1.5}, {"max_mismatches": -1}, {"max_tm": float("nan")}, {"unsuitable_char": "NN"}, {"min_region_len": 0}, {"word_size": 7.5}, {"gap_penalty": -1.0})
+    for bad in bad_values:
         with pytest.raises(ValueError):
             Params(**bad)
 
@@ -138,6 +139,69 @@ def test_pairs_and_their_coverage(spark):
     assert pairs.candidate_pairs(p, STRICT.with_(max_amplicon=60)).count() == 0 and pairs.candidate_pairs(p, STRICT.with_(max_tm_diff=0.1)).count() == 0
 
 
+def test_amplicon_gaps_by_prefix_sums(spark):
+    rows = ["A" * 18 + "-" * g + "C" * (32 - g) + "G" * 18 for g in (0, 8, 9, 17, 18, 32)] + ["A" * 60, "-" * 68]
+    m = msa(spark, rows)
+    pair = spark.createDataFrame([("g", 0, 68), ("g", 10, 60), ("g", 20, 44)], "gene string, forward_start int, reverse_end int")
+    got = {(r.forward_start, i) for r in coverage.unfit_amplicons(pair, m).collect() for i in range(coverage.WORD) if r.unfit >> i & 1}
+    want = {(a, i) for a, b in ((0, 68), (10, 60), (20, 44)) for i, s in enumerate(rows) if not s[a:b] or s[a:b].count("-") / len(s[a:b]) > STRICT.max_amplicon_gap_fraction}
+    assert got == want
+
+
+def test_rows_that_share_an_index(spark):
+    """Numbered rows are told apart whatever their seq_idx, also beyond one mask word."""
+    m = coverage.number_rows(spark.createDataFrame([("g", 1, "ACGTACGT")] * 130 + [("g", None, "TTTTTTTT")] * 3, "gene string, seq_idx long, aligned string").repartition(3))
+    p = spark.createDataFrame([("g", "ACGTACGT", "forward", 0, 8, 1)], "gene string, sequence string, orientation string, msa_start int, msa_end int, ord long")
+    got = coverage.single_coverage(p, m).first()
+    assert (got.matched_sequences_count, got.n_rows) == (130, 133)
+    ok = coverage.primer_masks(p, m).agg(F.sum(F.bit_count("ok"))).first()[0]
+    assert ok == 130
+
+
+def test_pair_coordinates(spark):
+    m = msa(spark, ["A" * 80])
+    rows = [(0, 4, 40, 44), (-1, 3, 40, 44), (4, 4, 40, 44), (0, 4, 77, 81), (0, 5, 40, 44), (0, 4, 40, 43)]
+    pair = spark.createDataFrame([("g", "ACGT", "ACGT", *r, 1.0) for r in rows], "gene string, forward_seq string, reverse_seq string, forward_start int, forward_end int, reverse_start int, reverse_end int, tm_diff double")
+    assert sorted(r.reason for r in coverage.pair_violations(pair, m).collect()) == ["empty forward primer", "forward length differs", "negative forward start", "reverse length differs", "reverse primer beyond the alignment"]
+    p = _primers(spark, [("ACGT", "forward", 0, 4, 60.0, 50.0, 1), ("ACGT", "reverse", 40, 44, 60.0, 50.0, 2)])
+    masks = coverage.primer_masks(p, m)
+    assert coverage.pair_coverage(pair.limit(1), masks, m).count() == 1
+    with pytest.raises(Exception, match="pair_coverage: "):
+        coverage.pair_coverage(pair, masks, m).collect()
+
+
+def test_orientations(spark):
+    p = _primers(spark, [("ACGT", "Forward", 0, 4, 60.0, 50.0, 1), ("ACGT", "REVERSE", 50, 54, 60.0, 50.0, 2)])
+    assert [x.count() for x in pairs.split_orientation(p)] == [1, 1] and pairs.candidate_pairs(p).count() == 1
+    assert pairs.candidate_pairs(p.filter("ord = 1")).count() == 0
+    with pytest.raises(Exception, match="orientation up"):
+        pairs.candidate_pairs(p.withColumn("orientation", F.lit("up"))).collect()
+
+
+def test_orders(spark):
+    pair = spark.createDataFrame([("g", False, 0.1, 1.0, 0.0, 1, 1), ("g", True, 0.5, 1.0, 0.0, 1, 2), ("g", True, 0.1, float("nan"), 0.0, 1, 3), ("g", True, 0.1, 1.0, 2.0, 1, 5), ("g", True, 0.1, 1.0, 2.0, 1, 4)], "gene string, is_preferred_amplicon_range boolean, tm_diff double, heterodimer_tm double, gc_balance_abs_diff double, f_ord long, r_ord long")
+    assert [r.r_ord for r in pairs.sorted_pairs(pair).collect()] == [4, 5, 3, 2, 1]
+    assert [r.r_ord for r in pairs.ranked(pair, pairs.PAIR_ORDER, ["gene"]).orderBy("position").collect()] == [4, 5, 3, 2, 1]
+    single = spark.createDataFrame([("g", 1, 0, 5.0, 1), ("g", 0, 9, 9.0, 2), ("g", 0, 3, 3.0, 4), ("g", 0, 3, 3.0, 3)], "gene string, good_3prime_off_target_hits_count long, off_target_hits_count long, off_target_risk_score double, ord long")
+    assert [r.ord for r in specificity.sorted_single(single).collect()] == [3, 4, 2, 1]
+    risk = spark.createDataFrame([("b", "x", 1, 9, 17.0), ("b", "a", 0, 2, 2.0), ("a", "x", 0, 2, 2.0), ("c", "x", 0, 1, 1.0)], "forward_seq string, reverse_seq string, good_3prime_off_target_amplicons_count long, potential_off_target_amplicons_count long, off_target_pair_risk_score double")
+    assert [(r.forward_seq, r.reverse_seq) for r in specificity.sorted_pair_risk(risk).collect()] == [("c", "x"), ("a", "x"), ("b", "a"), ("b", "x")]
+
+
+def test_salted_join_is_the_join(spark):
+    big = spark.range(400).withColumn("k", F.when(F.col("id") < 300, 1).otherwise(F.col("id") % 7))
+    small = spark.createDataFrame([(k, k * 10 + i) for k in range(6) for i in range(3)], "k long, v long")
+    want = rows(big.join(small, "k"), "id", "v")
+    for most in (0, 100):
+        assert rows(joins.spread_join(big, small, ["k"], most=most, salts=5), "id", "v") == want
+
+
+def test_sanitised_counts(spark):
+    m = msa(spark, ["AN-.acR", "CCCCNNA"])
+    cols = ["col", "count_a", "count_c", "gap_count", "n_rows"]
+    assert rows(profile.sanitized_counts(profile.column_counts(m)), *cols) == rows(profile.column_counts(profile.sanitize(m)), *cols)
+
+
 def test_binned_join_is_the_plain_join(spark):
     items = [("ACGT", o, s, s + 4, 60.0, 50.0, s) for s in range(0, 700, 7) for o in ("forward", "reverse")]
     p = _primers(spark, items)
@@ -185,6 +249,9 @@ def test_status(spark):
     assert rows(status.gene_list(spark, "a, b"), "gene") == [("a",), ("b",)]
     with pytest.raises(ValueError):
         status.gene_list(spark, "a,,b")
+    assert rows(status.genes_of(spark.createDataFrame([("a, b",), ("b , c",)], "genes string")), "gene") == [("a",), ("b",), ("c",)]
+    with pytest.raises(Exception, match="empty gene"):
+        status.genes_of(spark.createDataFrame([("a,,b",)], "genes string")).collect()
     g = spark.createDataFrame([("a",), ("b/c",)], "gene string")
     assert rows(g.select(status.partition_name().alias("p")), "p") == [("a",), ("b_c",)]
     f = status.funnel(g, [("one", g), ("two", g.filter("gene = 'a'"))])
