@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.sequences import ambiguous_fraction
@@ -26,17 +26,30 @@ def gene_header(records: DataFrame, gene: str | None = None) -> DataFrame:
     return records.filter((F.col("gene") != "") & F.regexp_like(_header(), pattern))
 
 
-
-
 def is_partial() -> Column:
     return F.contains("description", F.lit("partial=True"))
 
 
+def exact_percentile(rows: DataFrame, key: str, value: str, share: float, out: str) -> DataFrame:
+    """key and out: the percentile of `value` by linear interpolation at (n - 1) share, null values aside.
+
+    Equal values are counted first, and a running count finds the two places: the values of a key are sorted, with
+    spill, but never held in memory.
+    """
+    counts = rows.filter(F.col(value).isNotNull()).groupBy(key, value).agg(F.count("*").alias("_n"))
+    upto = F.sum("_n").over(Window.partitionBy(key).orderBy(value))
+    placed = counts.select(key, value, upto.alias("upto"), F.sum("_n").over(Window.partitionBy(key)).alias("total"))
+    place = (F.col("total") - 1) * F.lit(share)
+    low, high = (F.min(F.when(F.col("upto") > at, F.col(value))) for at in (F.floor(place), F.ceil(place)))
+    found = placed.groupBy(key).agg(low.alias("low"), high.alias("high"), F.first(place - F.floor(place)).alias("part"))
+    return found.select(key, (F.col("low") + (F.col("high") - F.col("low")) * F.col("part")).alias(out))
+
+
 def length_statistics(records: DataFrame) -> DataFrame:
     """Per gene: median length, MAD, robust limits and the 90th percentile of the ambiguous fraction."""
     base = records.select("gene", F.length("seq").alias("n"), ambiguous_fraction("seq").alias("amb"))
-    first = base.groupBy("gene").agg(F.percentile("n", 0.5).alias("median_len"), F.percentile("amb", 0.9).alias("amb_p90"))
-    spread = base.join(first, "gene").groupBy("gene").agg(F.percentile(F.abs(F.col("n") - F.col("median_len")), 0.5).alias("mad"))
+    first = exact_percentile(base, "gene", "n", 0.5, "median_len").join(exact_percentile(base, "gene", "amb", 0.9, "amb_p90"), "gene")
+    spread = exact_percentile(base.join(first, "gene").select("gene", F.abs(F.col("n") - F.col("median_len")).alias("away")), "gene", "away", 0.5, "mad")
     sigma = F.col("mad") * SIGMA
     low = F.greatest(F.lit(1), (F.col("median_len") - 4 * sigma).cast("bigint"))
     high = F.when(sigma > 0, (F.col("median_len") + 4 * sigma).cast("bigint")).otherwise(F.col("median_len").cast("bigint"))

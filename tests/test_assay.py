@@ -56,6 +56,17 @@ def test_record_filters(spark):
     assert records.auto_filter(r.limit(0)).count() == 0
 
 
+def test_exact_percentile(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(2)
+    values = {"a": rng.integers(0, 9, 41).tolist(), "b": [5], "c": rng.normal(size=30).tolist()}
+    df = spark.createDataFrame([(g, float(v)) for g, vs in values.items() for v in vs] + [("a", None)], "gene string, v double")
+    for share in (0.0, 0.5, 0.9, 1.0):
+        got = dict(rows(records.exact_percentile(df, "gene", "v", share, "p"), "gene", "p"))
+        assert all(abs(got[g] - np.quantile(vs, share)) < 1e-12 for g, vs in values.items())
+
+
 def test_profile_ties_gaps_and_symbols(spark):
     p = profile.column_profile(msa(spark, ["AN-.a", "CN-.t", "AA-RG", "CA-AC"])).orderBy("col").collect()
     assert [x.consensus_base for x in p] == ["A", "A", "N", "A", "A"]
