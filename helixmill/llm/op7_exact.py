@@ -122,13 +122,19 @@ def keep(docs: DataFrame) -> DataFrame:
     """One row of `docs` for each text, with all columns: most characters, then the smallest doc_id, null last.
 
     Null and empty texts, and those of white space only, are one text. Of rows that repeat that doc_id and text one
-    stays (the greatest text, which is the same). Columns may have any names; an empty table stays empty.
+    stays (by hashes of text and row). Columns may have any names; an empty table stays empty. The choice is made on
+    digests and hashes; then each row meets it by its own hashes, so texts are shuffled once and a text that many
+    rows share is spread.
     """
     found = dedup(docs.select("doc_id", "text"), null_ids=True).filter("doc_id <=> keep_id").select("text_sha256", F.col("keep_id").alias("__keep_id")).distinct()
     text = F.coalesce(F.col("text"), F.lit(""))
-    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.sha2(F.regexp_replace(text, SPACE, ""), 256).alias("sha"), F.struct(F.char_length(text).alias("n"), text.alias("t")).alias("order"))
-    kept = rows.join(found, (F.col("sha") == F.col("text_sha256")) & F.col("row.doc_id").cast("long").eqNullSafe(F.col("__keep_id")))
-    return kept.groupBy("sha").agg(F.max_by("row", "order").alias("row")).select("row.*")
+    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
+    hashed = [F.col(f"`{c}`") for c, kind in docs.dtypes if "map<" not in kind]  # Spark hashes no maps
+    rows = docs.select(row.alias("row"), F.sha2(F.regexp_replace(text, SPACE, ""), 256).alias("sha"), F.xxhash64(text).alias("h"), F.xxhash64(*hashed).alias("r"))
+    light = rows.select("sha", "h", "r", F.col("row.doc_id").cast("long").alias("id"), F.char_length(F.coalesce("row.text", F.lit(""))).alias("n"))
+    own = light.join(found, (F.col("sha") == F.col("text_sha256")) & F.col("id").eqNullSafe(F.col("__keep_id")))
+    best = materialize(own.groupBy("sha").agg(F.max(F.struct("n", "h", "r")).alias("best")).select("sha", "best.h", "best.r"), "op7-best")
+    return rows.join(best, ["sha", "h", "r"]).groupBy("sha", "h", "r").agg(F.first("row").alias("row")).select("row.*")
 
 
 SQL = r"""

@@ -55,6 +55,8 @@ def test_exact_dedup(spark):
     assert op7_exact.dedup(table(spark, [(None, "a"), (1, "a")]), least_blocks=5).collect()[0].group_size == 1
     kept = op7_exact.keep(table(spark, rows))
     assert sorted(r.doc_id for r in kept.collect()) == [1, 4, 6, 8, 10] and "block" in kept.columns
+    other = op7_exact.keep(table(spark, rows).withColumn("m", F.create_map(F.lit("k"), F.col("doc_id"))))
+    assert sorted((r.doc_id, r.m["k"]) for r in other.collect()) == [(d, d) for d in (1, 4, 6, 8, 10)]
 
 
 def test_merged_runs():
