@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import thermo as T
 from ..params import STRICT, Params
 from .joins import spread
+from .places import placed
 
 PAIR_ORDER = [("is_preferred_amplicon_range", True), ("tm_diff", False), ("heterodimer_tm", False), ("gc_balance_abs_diff", False), ("f_ord", False), ("r_ord", False)]
 
@@ -19,8 +20,11 @@ def order_by(keys: list[tuple[str, bool]]) -> list:
 
 def ranked(rows: DataFrame, keys: list[tuple[str, bool]], by: list[str] | None = None, out: str = "position") -> DataFrame:
     """Add the place of each row in the given order, from 1, within `by` (or overall); a stable sort is one whose last
-    keys say the order of the input (f_ord and r_ord of pairs, ord of primers)."""
-    return rows.withColumn(out, F.row_number().over(Window.partitionBy(*(by or [F.lit(0)])).orderBy(*order_by(keys))))
+    keys say the order of the input (f_ord and r_ord of pairs, ord of primers).
+
+    Places are counted by ranges of the order (places.placed), so `rows` should be a stored table.
+    """
+    return placed(rows, by or [], order_by(keys), out).withColumn(out, (F.col(out) + 1).cast("int"))
 
 
 def sorted_pairs(pairs: DataFrame) -> DataFrame:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable
 from functools import cached_property
 
@@ -15,6 +13,7 @@ from ..functions.sequences import ambiguous_fraction, reverse_complement
 from ..operators import candidates, coverage, pairs, profile, records, regions, report, scoring, specificity, status, thermo
 from ..params import STRICT, Params
 from ..sources import fasta, tables
+from ..storage import folder, stored
 from . import fixtures, oracle
 
 
@@ -28,23 +27,6 @@ def _round(df: DataFrame, digits: int = 6) -> DataFrame:
     return df.select(*(F.round(c, digits).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes))
 
 
-def _folder(spark: SparkSession, name: str) -> str:
-    """A new folder where spark.checkpoint.dir says, or, in local mode alone, a temporary one where nothing is set."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        base = tempfile.mkdtemp(prefix="helixmill-")
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
-def _stored(df: DataFrame, name: str) -> DataFrame:
-    """A stage written to the shared folder and read back: what follows plans from a scan, not from all before it."""
-    path = _folder(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 class Assay:
     """The tables of one run, made from the alignment as they are asked for. What several others read is stored:
     asking for it writes it."""
@@ -54,7 +36,7 @@ class Assay:
 
     @cached_property
     def msa(self) -> DataFrame:
-        return _stored(coverage.number_rows(fixtures.msa(self.spark, self.sf_dir)), "msa")
+        return stored(coverage.number_rows(fixtures.msa(self.spark, self.sf_dir)), "msa")
 
     @cached_property
     def records(self) -> DataFrame:
@@ -62,7 +44,7 @@ class Assay:
 
     @cached_property
     def counts(self) -> DataFrame:
-        return _stored(profile.column_counts(self.msa), "counts")
+        return stored(profile.column_counts(self.msa), "counts")
 
     @cached_property
     def profile(self) -> DataFrame:
@@ -78,7 +60,7 @@ class Assay:
 
     @cached_property
     def regions(self) -> DataFrame:
-        return _stored(regions.conserved_regions(self.scores, self.params), "regions")
+        return stored(regions.conserved_regions(self.scores, self.params), "regions")
 
     @cached_property
     def windows(self) -> DataFrame:
@@ -86,11 +68,11 @@ class Assay:
 
     @cached_property
     def primers(self) -> DataFrame:
-        return _stored(candidates.single_primers(self.windows, self.consensus), "primers")
+        return stored(candidates.single_primers(self.windows, self.consensus), "primers")
 
     @cached_property
     def metrics(self) -> DataFrame:
-        return _stored(thermo.primer_metrics(self.primers, self.params), "metrics")
+        return stored(thermo.primer_metrics(self.primers, self.params), "metrics")
 
     @cached_property
     def filtered(self) -> DataFrame:
@@ -98,20 +80,20 @@ class Assay:
 
     @cached_property
     def pairs(self) -> DataFrame:
-        return _stored(pairs.primer_pairs(self.filtered, self.params), "pairs")
+        return stored(pairs.primer_pairs(self.filtered, self.params), "pairs")
 
     @cached_property
     def coverage(self) -> DataFrame:
-        masks = _stored(coverage.primer_masks(self.filtered, self.msa, self.params, self.masks), "masks")
-        return _stored(coverage.pair_coverage(self.pairs, masks, self.msa, self.params), "coverage")
+        masks = stored(coverage.primer_masks(self.filtered, self.msa, self.params, self.masks), "masks")
+        return stored(coverage.pair_coverage(self.pairs, masks, self.msa, self.params), "coverage")
 
     @cached_property
     def masks(self) -> DataFrame:
-        return _stored(coverage.window_masks(self.filtered, self.msa), "windows")
+        return stored(coverage.window_masks(self.filtered, self.msa), "windows")
 
     def single(self, mode: str | None = None) -> DataFrame:
         p = self.params.with_(gap_mode=mode) if mode else self.params
-        return _stored(self.filtered.select(*coverage.KEY, "ord").join(coverage.single_coverage(self.filtered, self.msa, p, self.masks), coverage.KEY), "single")
+        return stored(self.filtered.select(*coverage.KEY, "ord").join(coverage.single_coverage(self.filtered, self.msa, p, self.masks), coverage.KEY), "single")
 
     @cached_property
     def subjects(self) -> DataFrame:
@@ -120,29 +102,29 @@ class Assay:
     @cached_property
     def hits(self) -> DataFrame:
         found = specificity.max_subjects(specificity.seed_hits(self.filtered.select("sequence"), self.subjects, self.params), self.params)
-        return _stored(specificity.classify(found, self.params), "hits")
+        return stored(specificity.classify(found, self.params), "hits")
 
     @cached_property
     def pair_risk(self) -> DataFrame:
-        return _stored(specificity.pair_specificity(self.pairs, self.hits, self.params), "pair_risk")
+        return stored(specificity.pair_specificity(self.pairs, self.hits, self.params), "pair_risk")
 
     @cached_property
     def scored(self) -> DataFrame:
-        return _stored(scoring.score_pairs(self.coverage, self.filtered), "scored")
+        return stored(scoring.score_pairs(self.coverage, self.filtered), "scored")
 
     @cached_property
     def top(self) -> DataFrame:
-        return _stored(scoring.top_pairs(self.scored, self.single(), self.filtered, params=self.params), "top")
+        return stored(scoring.top_pairs(self.scored, self.single(), self.filtered, params=self.params), "top")
 
 
 def _fasta_roundtrip(a: Assay) -> DataFrame:
-    path = _folder(a.spark, "fasta")
+    path = folder(a.spark, "fasta")
     fasta.write_fasta(records.non_empty(a.records), path)
     return fasta.read_fasta(a.spark, path).select("id", "description", F.length("seq").alias("n"), F.md5("seq").alias("seq_md5"))
 
 
 def _alignment_roundtrip(a: Assay) -> DataFrame:
-    path = _folder(a.spark, "alignment")
+    path = folder(a.spark, "alignment")
     fasta.write_fasta(a.msa.select(F.concat("id", F.lit(" gene="), "gene").alias("description"), F.lower("aligned").alias("seq")), path)
     back = fasta.read_alignment(a.spark, path).withColumn("gene", F.substring_index("description", "gene=", -1))
     fasta.check_alignment(back)
@@ -150,7 +132,7 @@ def _alignment_roundtrip(a: Assay) -> DataFrame:
 
 
 def _regions_roundtrip(a: Assay) -> DataFrame:
-    path = _folder(a.spark, "regions")
+    path = folder(a.spark, "regions")
     tables.write_regions_json(a.regions, path)
     return tables.read_regions_lines(a.spark, path)
 
@@ -158,7 +140,7 @@ def _regions_roundtrip(a: Assay) -> DataFrame:
 def _pairs_roundtrip(a: Assay) -> DataFrame:
     out = None
     for kind in ("csv", "tsv", "json"):
-        path = _folder(a.spark, kind)
+        path = folder(a.spark, kind)
         if kind == "json":
             tables.write_json(a.top, path)
             back = a.spark.read.schema(a.top.schema).json(path)
@@ -172,7 +154,7 @@ def _pairs_roundtrip(a: Assay) -> DataFrame:
 
 def _hit_scan(a: Assay) -> DataFrame:
     """Hits written as tabular lines, with a broken copy of each line of the first subject, and read back."""
-    path = _folder(a.spark, "hits")
+    path = folder(a.spark, "hits")
     h = a.hits.withColumns({"evalue": F.lit(0.0), "bitscore": F.lit(0.0), "sstrand": F.upper("sstrand")})
     lines = F.concat_ws("\t", *(F.col(c).cast("string") for c in tables.HITS))
     good = h.select(lines.alias("value"))
@@ -187,7 +169,7 @@ _HIT = ["query_id", "subject_id", "sstrand", "pident", "align_len", "mismatch",
 
 def _regions_array(a: Assay) -> DataFrame:
     """Regions as one JSON array for each gene, read back by the array scan."""
-    path = _folder(a.spark, "arrays")
+    path = folder(a.spark, "arrays")
     item = F.struct("gene", "region_index", "start_col", "end_col", "mean_score")
     a.regions.groupBy(F.col("gene").alias("part")).agg(F.to_json(F.sort_array(F.collect_list(item))).alias("value")).write.partitionBy("part").text(path)
     return tables.read_regions_json(a.spark, path)
@@ -195,7 +177,7 @@ def _regions_array(a: Assay) -> DataFrame:
 
 def _report_sink(a: Assay) -> DataFrame:
     """The report of each gene written as text, and its lines counted as they are read back."""
-    path = _folder(a.spark, "report")
+    path = folder(a.spark, "report")
     tables.write_report(report.report_lines(a.top), path)
     return a.spark.read.text(path).select("gene", F.md5("value").alias("line_md5")).groupBy("gene", "line_md5").agg(F.count("*").alias("n"))
 
@@ -278,7 +260,7 @@ _QUERIES: dict[str, Callable[[Assay], DataFrame]] = {
     "orientation_split": _orientations,
     "pair_order": lambda a: pairs.ranked(_round(a.pairs, 9), pairs.PAIR_ORDER, ["gene"]).select("gene", "position", "f_ord", "r_ord"),
     "pair_violations": lambda a: coverage.pair_violations(a.pairs.withColumns({"forward_start": F.col("forward_start") - F.pmod("f_ord", F.lit(7)).cast("int") * 20, "reverse_end": F.col("reverse_end") + F.pmod("r_ord", F.lit(3)).cast("int") * 30}), a.msa).select("gene", "f_ord", "r_ord", "reason"),
-    "single_risk_order": lambda a: pairs.ranked(specificity.single_specificity(a.filtered.select("gene", "sequence", "orientation", "msa_start", "msa_end", "ord"), a.hits), specificity.SINGLE_ORDER, ["gene"]).select("gene", "ord", "position", "off_target_risk_score"),
+    "single_risk_order": lambda a: pairs.ranked(stored(specificity.single_specificity(a.filtered.select("gene", "sequence", "orientation", "msa_start", "msa_end", "ord"), a.hits), "single_risk"), specificity.SINGLE_ORDER, ["gene"]).select("gene", "ord", "position", "off_target_risk_score"),
     "pair_risk_order": lambda a: pairs.ranked(a.pair_risk, specificity.PAIR_RISK_ORDER).select("forward_seq", "reverse_seq", "position"),
     "pair_scores_supplied": lambda a: scoring.score_pairs(a.coverage, a.filtered, conservation_3p=_supplied(a)).select("gene", "forward_seq", "reverse_seq", "f_ord", "r_ord", "single_primer_3prime_conservation", "final_score"),
     "regions_json_roundtrip": _regions_roundtrip,
