@@ -69,9 +69,9 @@ def same(a: str, b: str, columns: list[str]) -> Column:
     return out
 
 
-def placed(rows: DataFrame, by: list[str], order: list, out: str = "place", each: int = EACH) -> DataFrame:
-    """Add the place of each row, from 0, in the given order within `by` (or overall)."""
+def placed(rows: DataFrame, by: list[str], order: list, out: str = "place", each: int = EACH, total: str | None = None) -> DataFrame:
+    """Add the place of each row, from 0, in the given order within `by` (or overall), and as `total` the group's rows."""
     ranged = ranges(rows, by, order, each)
     starts = offsets(ranged, by)
     found = ranged.alias("a").join(starts.alias("b"), (F.col("a._part") == F.col("b._part")) & same("a", "b", by))
-    return found.select("a.*", (F.col("_pos") - F.col("_first") + F.col("_rows")).alias(out)).drop("_part", "_pos")
+    return found.select("a.*", (F.col("_pos") - F.col("_first") + F.col("_rows")).alias(out), *([F.col("_all").alias(total)] if total else [])).drop("_part", "_pos")

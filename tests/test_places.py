@@ -20,6 +20,7 @@ def test_places_equal_those_of_a_sort(spark):
     d = spark.range(1000).select(F.expr("nullif(id % 3, 2)").alias("g"), F.expr("if(id % 3 = 0, 7, (id * 7919) % 1000)").alias("v"))
     check(places.placed(d, ["g"], [F.col("v").desc()], each=50).collect(), "g", lambda r: -r.v)
     check(places.placed(d, [], [F.col("v")], each=50).collect(), None, lambda r: r.v)
+    assert {(r.g, r.total) for r in places.placed(d, ["g"], [F.col("v")], total="total").collect()} == {(0, 334), (1, 333), (None, 333)}
     for by in ([], ["g"]):
         assert places.placed(d.limit(0), by, [F.col("v")]).count() == 0
 
