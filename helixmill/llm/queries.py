@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import op1_wavelet, op2_bpe, op3_chains, op4_urls, op5_packing, op6_language, op7_exact, op8_secrets, op9_minhash, op10_topk, op11_merkle
+from . import op1_wavelet, op2_bpe, op3_chains, op4_urls, op5_packing, op6_language, op7_exact, op8_secrets, op9_minhash, op10_topk, op11_merkle, op12_runs
 from .common import documents, shared_dir
 
 TOKENIZER = "word_bpe_49k.json"
@@ -67,8 +67,12 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op11_merkle.manifest(documents(spark, sf_dir))
 
 
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op12_runs.runs(documents(spark, sf_dir), plant=True)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_wavelet_ids, op2_bpe_roundtrip, op3_fuzzy_passages, op4_url_verdicts, op5_best_fit, op6_language_id, op7_exact_dedup, op8_secret_spans, op9_near_classes, op10_top_scores, op11_merkle_manifest)}
+    return {f.__name__: f for f in (op1_wavelet_ids, op2_bpe_roundtrip, op3_fuzzy_passages, op4_url_verdicts, op5_best_fit, op6_language_id, op7_exact_dedup, op8_secret_spans, op9_near_classes, op10_top_scores, op11_merkle_manifest, op12_periodic_runs)}
 
 
 def oracle_sql() -> dict[str, str]:
