@@ -75,3 +75,15 @@ def placed(rows: DataFrame, by: list[str], order: list, out: str = "place", each
     starts = offsets(ranged, by)
     found = ranged.alias("a").join(starts.alias("b"), (F.col("a._part") == F.col("b._part")) & same("a", "b", by))
     return found.select("a.*", (F.col("_pos") - F.col("_first") + F.col("_rows")).alias(out), *([F.col("_all").alias(total)] if total else [])).drop("_part", "_pos")
+
+
+def summed(rows: DataFrame, by: list[str], order: list, sums: tuple[str, ...], each: int = EACH) -> DataFrame:
+    """As placed, with `total`, and for each whole-number column c of `sums` its sum over the rows before (`c_before`)
+    and over the group (`c_all`). Sums within a range are made range by range."""
+    ranged = ranges(rows, by, order, each)
+    starts = offsets(ranged, by, sums)
+    found = ranged.alias("a").join(starts.alias("b"), (F.col("a._part") == F.col("b._part")) & same("a", "b", by)).select("a.*", *(F.col(f"b.{c}") for c in starts.columns if c != "_part" and c not in by))
+    before = Window.partitionBy("_part", *by).orderBy("_pos").rowsBetween(Window.unboundedPreceding, -1)
+    out = found.withColumns({f"{c}_before": (F.coalesce(F.sum(c).over(before), F.lit(0)) + F.col(f"_rows_{c}")).cast("long") for c in sums})
+    out = out.withColumns({"place": F.col("_pos") - F.col("_first") + F.col("_rows"), "total": F.col("_all")} | {f"{c}_all": F.col(f"_all_{c}").cast("long") for c in sums})
+    return out.drop("_part", "_pos", *(c for c in starts.columns if c not in by))

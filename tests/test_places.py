@@ -41,3 +41,7 @@ def test_running_sums(spark):
             first = min(x.v for x in rows if x._part == r._part and (not by or x.g == r.g))
             own = [x for x in range(300) if not by or x % 2 == r.g]
             assert r._all_v == sum(own) and r._rows_v == sum(x for x in own if x < first)
+
+        for r in places.summed(d, by, [F.col("v")], ("v",), each=40).collect():
+            own = [x for x in range(300) if not by or x % 2 == r.g]
+            assert (r.v_before, r.v_all, r.place, r.total) == (sum(x for x in own if x < r.v), sum(own), own.index(r.v), len(own))
