@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import op1_wavelet, op2_bpe, op3_chains, op4_urls, op5_packing, op6_language, op7_exact, op8_secrets, op9_minhash, op10_topk, op11_merkle, op12_runs
+from . import op1_wavelet, op2_bpe, op3_chains, op4_urls, op5_packing, op6_language, op7_exact, op8_secrets, op9_minhash, op10_topk, op11_merkle, op12_runs, op13_mixing
 from .common import documents, shared_dir
 
 TOKENIZER = "word_bpe_49k.json"
@@ -71,9 +71,13 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op12_runs.runs(documents(spark, sf_dir), plant=True)
 
 
+def op13_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op13_mixing.mix(documents(spark, sf_dir))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_wavelet_ids, op2_bpe_roundtrip, op3_fuzzy_passages, op4_url_verdicts, op5_best_fit, op6_language_id, op7_exact_dedup, op8_secret_spans, op9_near_classes, op10_top_scores, op11_merkle_manifest, op12_periodic_runs)}
+    return {f.__name__: f for f in (op1_wavelet_ids, op2_bpe_roundtrip, op3_fuzzy_passages, op4_url_verdicts, op5_best_fit, op6_language_id, op7_exact_dedup, op8_secret_spans, op9_near_classes, op10_top_scores, op11_merkle_manifest, op12_periodic_runs, op13_source_mix)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_url_verdicts": op4_urls.SQL, "op7_exact_dedup": op7_exact.SQL, "op8_secret_spans": op8_secrets.SQL, "op10_top_scores": op10_topk.SQL, "op11_merkle_manifest": op11_merkle.SQL}
+    return {"op4_url_verdicts": op4_urls.SQL, "op7_exact_dedup": op7_exact.SQL, "op8_secret_spans": op8_secrets.SQL, "op10_top_scores": op10_topk.SQL, "op11_merkle_manifest": op11_merkle.SQL, "op13_source_mix": op13_mixing.SQL}
