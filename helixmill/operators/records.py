@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.sequences import ambiguous_fraction
+from ..storage import stored
+from .places import EACH, summed
 
 SIGMA = 1.4826
 
@@ -30,26 +32,38 @@ def is_partial() -> Column:
     return F.contains("description", F.lit("partial=True"))
 
 
-def exact_percentile(rows: DataFrame, key: str, value: str, share: float, out: str) -> DataFrame:
+def exact_percentile(rows: DataFrame, key: str | list[str], value: str, share: float | Column, out: str, each: int = EACH) -> DataFrame:
     """key and out: the percentile of `value` by linear interpolation at (n - 1) share, null values aside.
 
-    Equal values are counted first, and a running count finds the two places: the values of a key are sorted, with
-    spill, but never held in memory.
+    Equal values are counted, the counts are summed along ranges of (key, value), and the two rows that hold the
+    places in question are taken; so one key may have any number of values. `share` may depend on the key.
     """
-    counts = rows.filter(F.col(value).isNotNull()).groupBy(key, value).agg(F.count("*").alias("_n"))
-    upto = F.sum("_n").over(Window.partitionBy(key).orderBy(value))
-    placed = counts.select(key, value, upto.alias("upto"), F.sum("_n").over(Window.partitionBy(key)).alias("total"))
-    place = (F.col("total") - 1) * F.lit(share)
-    low, high = (F.min(F.when(F.col("upto") > at, F.col(value))) for at in (F.floor(place), F.ceil(place)))
-    found = placed.groupBy(key).agg(low.alias("low"), high.alias("high"), F.first(place - F.floor(place)).alias("part"))
-    return found.select(key, (F.col("low") + (F.col("high") - F.col("low")) * F.col("part")).alias(out))
+    by = [key] if isinstance(key, str) else key
+    counts = rows.filter(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count("*").alias("_n"))
+    s = summed(stored(counts, "counts"), by, [F.col(value)], ("_n",), each)
+    at = (F.col("_n_all") - 1) * (F.lit(share) if isinstance(share, float) else share)
+    holds = lambda x: (F.col("_n_before") <= x) & (x < F.col("_n_before") + F.col("_n"))
+    s = s.withColumn("_at", at).filter(holds(F.floor("_at")) | holds(F.ceil("_at")))
+    low, high = F.min(value), F.max(value)
+    return s.groupBy(*by).agg((low + (high - low) * F.first(F.col("_at") - F.floor("_at"))).alias(out))
 
 
 def length_statistics(records: DataFrame) -> DataFrame:
     """Per gene: median length, MAD, robust limits and the 90th percentile of the ambiguous fraction."""
-    base = records.select("gene", F.length("seq").alias("n"), ambiguous_fraction("seq").alias("amb"))
-    first = exact_percentile(base, "gene", "n", 0.5, "median_len").join(exact_percentile(base, "gene", "amb", 0.9, "amb_p90"), "gene")
-    spread = exact_percentile(base.join(first, "gene").select("gene", F.abs(F.col("n") - F.col("median_len")).alias("away")), "gene", "away", 0.5, "mad")
+    return _statistics(_measured(records))
+
+
+def _measured(records: DataFrame) -> DataFrame:
+    """What statistics and filters need of each record, a few bytes, stored: texts are read and cleaned once."""
+    own = records.select("gene", "seq_idx", F.length("seq").cast("double").alias("n"), ambiguous_fraction("seq").alias("amb"), is_partial().alias("partial"), F.sha2(F.upper("seq"), 256).alias("text"))
+    return stored(own, "measured")
+
+
+def _statistics(measured: DataFrame) -> DataFrame:
+    both = measured.select("gene", F.inline(F.array(F.struct(F.lit("n").alias("kind"), F.col("n").alias("v")), F.struct(F.lit("amb").alias("kind"), F.col("amb").alias("v")))))
+    found = exact_percentile(both, ["gene", "kind"], "v", F.when(F.col("kind") == "n", 0.5).otherwise(0.9), "p")
+    first = stored(found.groupBy("gene").agg(F.max(F.when(F.col("kind") == "n", F.col("p"))).alias("median_len"), F.max(F.when(F.col("kind") == "amb", F.col("p"))).alias("amb_p90")), "medians")
+    spread = exact_percentile(measured.join(first, "gene").select("gene", F.abs(F.col("n") - F.col("median_len")).alias("away")), "gene", "away", 0.5, "mad")
     sigma = F.col("mad") * SIGMA
     low = F.greatest(F.lit(1), (F.col("median_len") - 4 * sigma).cast("bigint"))
     high = F.when(sigma > 0, (F.col("median_len") + 4 * sigma).cast("bigint")).otherwise(F.col("median_len").cast("bigint"))
@@ -65,9 +79,11 @@ def exact_dedupe(records: DataFrame) -> DataFrame:
 def auto_filter(records: DataFrame) -> DataFrame:
     """Drop partial records, lengths outside the robust limits, ambiguous ones, then repeats.
 
-    Statistics come from all records, before any filter.
+    Statistics come from all records, before any filter; they, the filters and the search for repeats read what
+    `_measured` has stored, and the records themselves meet only the list of those that stay.
     """
-    stats = length_statistics(records)
-    n = F.length("seq")
-    kept = records.join(stats, "gene").filter(~is_partial() & n.between(F.col("min_len"), F.col("max_len")) & (ambiguous_fraction("seq") <= F.col("amb_p90")))
-    return exact_dedupe(kept.select(records.columns))
+    measured = _measured(records)
+    stats = _statistics(measured)
+    kept = measured.join(stats, "gene").filter(~F.col("partial") & F.col("n").between(F.col("min_len"), F.col("max_len")) & (F.col("amb") <= F.col("amb_p90")))
+    first = kept.groupBy("gene", "text").agg(F.min("seq_idx").alias("seq_idx"))
+    return records.join(stored(first.select("gene", "seq_idx"), "first"), ["gene", "seq_idx"], "left_semi")
