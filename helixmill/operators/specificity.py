@@ -95,14 +95,28 @@ def sorted_single(single: DataFrame) -> DataFrame:
     return single.orderBy("gene", *order_by(SINGLE_ORDER))
 
 
+def near_hits(hits: DataFrame, forward: DataFrame, reverse: DataFrame, params: Params = STRICT) -> DataFrame:
+    """forward_seq, reverse_seq and good of the off-target hits on opposite strands that bound an amplicon.
+
+    An interval join: hits lie in bins of a subject as wide as the longest amplicon, so two that bound one lie in the
+    same bin or in neighbours. The work follows the hits and the amplicons found, not the squares of the hits in a
+    subject, and a long subject is spread over its bins.
+    """
+    off = hits.filter("is_off_target").select(F.upper("query_id").alias("seq"), "subject_id", "sstrand", F.least("sstart", "send").alias("lo"), F.greatest("sstart", "send").alias("hi"), F.col("has_good_3prime_match").alias("good"))
+    bin_ = F.expr(f"lo div {params.offtarget_max_amplicon}")
+    side = lambda s, own: off.join(own.select(F.col(f"{s}_seq").alias("seq")).distinct(), "seq", "left_semi").select("subject_id", *(F.col(c).alias(f"{s}_{c}") for c in ("seq", "sstrand", "lo", "hi", "good")), bin_.alias("bin"))
+    f = side("forward", forward)
+    r = side("reverse", reverse).withColumn("bin", F.explode(F.array(F.col("bin") - 1, F.col("bin"), F.col("bin") + 1)))
+    span = F.greatest("forward_hi", "reverse_hi") - F.least("forward_lo", "reverse_lo") + 1
+    met = f.join(r, ["subject_id", "bin"]).filter((F.col("forward_sstrand") != F.col("reverse_sstrand")) & span.between(params.offtarget_min_amplicon, params.offtarget_max_amplicon))
+    return met.select("forward_seq", "reverse_seq", (F.col("forward_good") | F.col("reverse_good")).alias("good"))
+
+
 def pair_specificity(pairs: DataFrame, hits: DataFrame, params: Params = STRICT) -> DataFrame:
     """forward_seq, reverse_seq, off-target amplicons and risk of every distinct pair of sequences."""
     keys = pairs.select(F.upper("forward_seq").alias("forward_seq"), F.upper("reverse_seq").alias("reverse_seq")).distinct()
-    off = hits.filter("is_off_target")
-    side = lambda c, a: off.select(F.col("query_id").alias(c), "subject_id", F.col("sstrand").alias(f"{a}_strand"), F.least("sstart", "send").alias(f"{a}_lo"), F.greatest("sstart", "send").alias(f"{a}_hi"), F.col("has_good_3prime_match").alias(f"{a}_good"))
-    span = F.greatest("f_hi", "r_hi") - F.least("f_lo", "r_lo") + 1
-    j = keys.join(side("forward_seq", "f"), "forward_seq").join(side("reverse_seq", "r"), ["reverse_seq", "subject_id"]).filter((F.col("f_strand") != F.col("r_strand")) & span.between(params.offtarget_min_amplicon, params.offtarget_max_amplicon))
-    by = j.groupBy("forward_seq", "reverse_seq").agg(F.count("*").alias("potential_off_target_amplicons_count"), F.count_if(F.col("f_good") | F.col("r_good")).alias("good_3prime_off_target_amplicons_count"))
+    met = near_hits(hits, keys, keys, params)
+    by = met.groupBy("forward_seq", "reverse_seq").agg(F.count("*").alias("potential_off_target_amplicons_count"), F.count_if("good").alias("good_3prime_off_target_amplicons_count"))
     out = keys.join(by, ["forward_seq", "reverse_seq"], "left").fillna(0)
     return out.withColumn("off_target_pair_risk_score", F.col("potential_off_target_amplicons_count") + 8.0 * F.col("good_3prime_off_target_amplicons_count"))
 

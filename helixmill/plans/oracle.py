@@ -146,7 +146,7 @@ def _tables() -> dict[str, str]:
         "win": """(SELECT gene, region_index, s AS window_start, s + n AS window_end, n AS length, template_seq, list_sum(i) / n AS mean_conservativity, list_min(i) AS min_conservativity, CAST(len([x FOR x IN i IF 1 - x > 0.1]) AS INT) AS n_variable_positions,
             CAST(len([x FOR x IN g IF x > 0.1]) AS INT) AS n_high_gap_positions, o AS orientation, round(CASE WHEN o = 'forward' THEN list_sum(i[-3:]) ELSE list_sum(i[:3]) END / 3, 12) AS tail3_identity,
             round(CASE WHEN o = 'forward' THEN list_sum(i[-5:]) ELSE list_sum(i[:5]) END / 5, 12) AS tail5_identity, CASE WHEN o = 'forward' THEN template_seq ELSE reverse(translate(template_seq, 'ACGT', 'TGCA')) END AS primer_seq,
-            ((region_index::BIGINT * 1000 + n) * 10000000 + s) * 2 + CASE WHEN o = 'reverse' THEN 1 ELSE 0 END AS ord
+            ((region_index::BIGINT * 1024 + n) * 2147483648 + s) * 2 + CASE WHEN o = 'reverse' THEN 1 ELSE 0 END AS ord
           FROM (SELECT *, substr(consensus, s + 1, n) AS template_seq, ids[s + 1 : s + n] AS i, gs[s + 1 : s + n] AS g, unnest(['forward', 'reverse']) AS o
                 FROM (SELECT *, unnest(range(start_col, end_col - n + 1))::INT AS s FROM (SELECT reg.*, n::INT AS n FROM reg, range(18, 26) t(n)) WHERE end_col - start_col >= n) JOIN cons USING (gene) JOIN arr USING (gene))
           WHERE NOT contains(template_seq, 'N') AND n_variable_positions <= 6 AND n_high_gap_positions <= 0 AND tail3_identity >= 0.95 AND tail5_identity >= 0.90)""",

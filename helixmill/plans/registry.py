@@ -64,11 +64,11 @@ class Assay:
 
     @cached_property
     def windows(self) -> DataFrame:
-        return candidates.window_candidates(self.consensus, self.profile, self.regions, self.params)
+        return candidates.window_candidates(self.profile, self.regions, self.params)
 
     @cached_property
     def primers(self) -> DataFrame:
-        return stored(candidates.single_primers(self.windows, self.consensus), "primers")
+        return stored(candidates.single_primers(self.windows), "primers")
 
     @cached_property
     def metrics(self) -> DataFrame:

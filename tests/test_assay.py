@@ -96,15 +96,14 @@ def test_region_violations(spark):
 def test_candidates(spark):
     m = msa(spark, ["ACGTTGCAAC"] * 3)
     prof = profile.column_profile(m)
-    cons = profile.consensus(prof)
     reg = spark.createDataFrame([("g", 0, 0, 6), ("g", 1, 3, 9)], "gene string, region_index int, start_col int, end_col int")
     p = Params(min_len=5, max_len=6)
-    w = candidates.window_candidates(cons, prof, reg, p)
+    w = candidates.window_candidates(prof, reg, p)
     assert w.count() == 12 and rows(w.filter("region_index = 0 AND length = 6"), "orientation", "primer_seq", "mean_conservativity") == [("forward", "ACGTTG", 1.0), ("reverse", "CAACGT", 1.0)]
-    got = candidates.single_primers(w, cons).orderBy("ord").collect()
+    got = candidates.single_primers(w).orderBy("ord").collect()
     assert [x.sequence for x in got[:3]] == ["ACGTT", "AACGT", "CGTTG"] and len(got) == 12
     odd = msa(spark, ["ACGTNGCAAC", "ACGTNGCAAC"])
-    assert candidates.window_candidates(profile.consensus(profile.column_profile(odd)), profile.column_profile(odd), reg, p).filter("window_start < 5 AND window_end > 4").count() == 0
+    assert candidates.window_candidates(profile.column_profile(odd), reg, p).filter("window_start < 5 AND window_end > 4").count() == 0
 
 
 def test_nan_structure_passes_but_nan_tm_fails(spark):
