@@ -31,6 +31,7 @@ WEIGHTS = (5, 2, 1)
 TIMES = 3
 BLOCK = 64  # words
 SHARD = 4096  # slots
+SLOTS = 500_000  # of a task
 SEED = "mix"
 SPACE = "\\x20\\x09-\\x0D"
 FEW = 50_000  # sources that are broadcast
@@ -90,7 +91,10 @@ def slots(sources: DataFrame, shard: int = SHARD) -> DataFrame:
     """shard, key, number, blocks, j: all slots of the mix, those of a source numbered from 0 to its quota."""
     drawn = materialize(summed(draws(sources, shard), ["key"], [F.col("shard")], ("n",)), "op13-counts")
     kept = F.greatest(F.lit(0), F.least(F.col("n"), F.col("quota") - F.col("n_before")))
-    drawn = drawn.withColumn("kept", kept)
+    # a row here stands for up to `shard` slots
+    parts = int(sources.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(parts, (sources.agg(F.sum("quota")).first()[0] or 0) // SLOTS)
+    drawn = drawn.withColumn("kept", kept).repartition(parts, "shard", "key")
     own = drawn.filter("kept > 0").select("shard", "key", "number", "blocks", F.explode(F.expr("sequence(n_before, n_before + kept - 1)")).alias("j"))
     over = drawn.filter("n > kept").select("shard", "key", F.explode(F.expr("sequence(1L, n - kept)")).alias("i"))
     had = drawn.groupBy("key").agg(F.sum("kept").alias("had"))
