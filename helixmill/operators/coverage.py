@@ -64,10 +64,11 @@ def window_masks(primers: DataFrame, msa: DataFrame) -> DataFrame:
 def violations(primers: DataFrame, msa: DataFrame) -> DataFrame:
     """Primers whose coordinates, length or letters don't fit the alignment."""
     bad = (F.col("msa_start") < 0) | (F.col("msa_end") <= F.col("msa_start")) | (F.col("msa_end") > F.coalesce("aln_len", F.lit(0))) | (F.length("sequence") != F.col("msa_end") - F.col("msa_start")) | ~F.col("sequence").rlike("^[ACGT]+$")
-    return primers.join(_sizes(msa), "gene", "left").filter(bad).drop("aln_len", "total_sequences_count")
+    return primers.join(alignment_sizes(msa), "gene", "left").filter(bad).drop("aln_len", "total_sequences_count")
 
 
-def _sizes(msa: DataFrame) -> DataFrame:
+def alignment_sizes(msa: DataFrame) -> DataFrame:
+    """gene, aln_len and total_sequences_count: the longest row and the number of rows."""
     return msa.groupBy("gene").agg(F.max(F.length("aligned")).alias("aln_len"), F.count("*").alias("total_sequences_count"))
 
 
@@ -82,7 +83,7 @@ def _pair_fault() -> Column:
 
 def pair_violations(pairs: DataFrame, msa: DataFrame) -> DataFrame:
     """Pairs whose coordinates don't fit the alignment or their sequences, with the first reason."""
-    return pairs.join(_sizes(msa), "gene", "left").withColumn("reason", _pair_fault()).filter("reason IS NOT NULL").drop("aln_len", "total_sequences_count")
+    return pairs.join(alignment_sizes(msa), "gene", "left").withColumn("reason", _pair_fault()).filter("reason IS NOT NULL").drop("aln_len", "total_sequences_count")
 
 
 def single_coverage(primers: DataFrame, msa: DataFrame, params: Params = STRICT, masks: DataFrame | None = None) -> DataFrame:
@@ -144,7 +145,7 @@ def pair_coverage(pairs: DataFrame, masks: DataFrame, msa: DataFrame, params: Pa
     """Add the counts of rows that each pair matches or fails; pairs that overlap themselves are dropped. A pair
     whose coordinates don't fit fails the job. `masks`: primer_masks of the same rows."""
     fault = _pair_fault()
-    checked = pairs.join(_sizes(msa), "gene").withColumn("total_sequences_count", F.when(fault.isNull(), F.col("total_sequences_count")).otherwise(F.raise_error(F.concat(F.lit("pair_coverage: "), fault)).cast("bigint")))
+    checked = pairs.join(alignment_sizes(msa), "gene").withColumn("total_sequences_count", F.when(fault.isNull(), F.col("total_sequences_count")).otherwise(F.raise_error(F.concat(F.lit("pair_coverage: "), fault)).cast("bigint")))
     pairs = checked.filter("total_sequences_count > 0 AND forward_end <= reverse_start").drop("aln_len")
     side = lambda o, s: masks.filter(F.col("orientation") == o).select("gene", F.col("sequence").alias(f"{s}_seq"), F.col("msa_start").alias(f"{s}_start"), F.col("msa_end").alias(f"{s}_end"), "word", F.col("ok").alias(f"{s}_ok"), F.col("bad3").alias(f"{s}_bad3"))
     keys = pairs.select("gene", "forward_seq", "forward_start", "forward_end", "reverse_seq", "reverse_start", "reverse_end").distinct()

@@ -258,6 +258,7 @@ def _finals() -> dict[str, str]:
         "pair_specificity": "SELECT * FROM risk",
         "pair_scores": "SELECT gene, forward_seq, reverse_seq, f_ord, r_ord, single_primer_3prime_conservation, tm_balance_score, gc_score, hairpin_penalty, homodimer_penalty, heterodimer_penalty, offtarget_penalty, amplicon_size_penalty, final_score FROM scored",
         "top_pairs": "SELECT * FROM top",
+        "top_pairs_pruned": "SELECT * FROM top",
         "offtarget_summary": "SELECT gene, rank, forward_sequence, reverse_sequence, offtarget_summary, final_score FROM top_risk",
         "report_lines": f"SELECT gene, rank, {_lines()} AS text FROM top",
         "gene_reports": "SELECT g.gene, CASE WHEN n IS NULL THEN 2 ELSE 2 + n * 7 END AS lines FROM (SELECT DISTINCT gene FROM m) g LEFT JOIN (SELECT gene, count(*) AS n FROM top GROUP BY gene) USING (gene)",
@@ -296,6 +297,7 @@ def _finals() -> dict[str, str]:
 _PROFILE = "gap_fraction identity entropy"
 _COVER = "weighted_mismatch_score_sum coverage_fraction"
 #: Columns of doubles, which both sides round to six decimals.
+_TOP = "tm_forward tm_reverse gc_forward gc_reverse forward_coverage reverse_coverage pair_coverage forward_hairpin_tm reverse_hairpin_tm forward_homodimer_tm reverse_homodimer_tm heterodimer_tm final_score"
 _DOUBLES = {
     "ambiguous_fraction": "fraction", "robust_length_stats": "median_len mad amb_p90", "column_profile": _PROFILE, "sanitized_profile": _PROFILE, "generic_column_metrics": "identity entropy",
     "conservation_score": "score", "window_mean": "window_mean", "conserved_regions": "mean_score", "regions_json_roundtrip": "mean_score", "regions_json_array_roundtrip": "mean_score", "min_region_len": "mean_score",
@@ -305,8 +307,8 @@ _DOUBLES = {
     "primer_pairs": "tm_forward tm_reverse gc_forward gc_reverse tm_diff gc_balance_abs_diff gc_balance_mean heterodimer_tm", "heterodimer_screen": "heterodimer_tm", "pair_coverage": "pair_coverage_fraction",
     "seed_hits": "pident", "single_specificity": "off_target_risk_score", "pair_specificity": "off_target_pair_risk_score",
     "pair_scores": "single_primer_3prime_conservation tm_balance_score gc_score hairpin_penalty homodimer_penalty heterodimer_penalty offtarget_penalty amplicon_size_penalty final_score",
-    "top_pairs": "tm_forward tm_reverse gc_forward gc_reverse forward_coverage reverse_coverage pair_coverage forward_hairpin_tm reverse_hairpin_tm forward_homodimer_tm reverse_homodimer_tm heterodimer_tm final_score",
-    "offtarget_summary": "final_score", "pairs_csv_tsv_json_roundtrip": "final_score",
+    "top_pairs": _TOP,
+    "top_pairs_pruned": _TOP, "offtarget_summary": "final_score", "pairs_csv_tsv_json_roundtrip": "final_score",
 }
 
 

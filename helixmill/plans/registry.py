@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import thermo as T
 from ..functions.sequences import ambiguous_fraction, reverse_complement
-from ..operators import candidates, coverage, pairs, profile, records, regions, report, scoring, specificity, status, thermo
+from ..operators import candidates, coverage, pairs, profile, pruning, records, regions, report, scoring, specificity, status, thermo
 from ..params import STRICT, Params
 from ..sources import fasta, tables
 from ..storage import folder, stored
@@ -82,10 +82,13 @@ class Assay:
     def pairs(self) -> DataFrame:
         return stored(pairs.primer_pairs(self.filtered, self.params), "pairs")
 
+    @cached_property
+    def primer_masks(self) -> DataFrame:
+        return stored(coverage.primer_masks(self.filtered, self.msa, self.params, self.masks), "masks")
+
     @cached_property
     def coverage(self) -> DataFrame:
-        masks = stored(coverage.primer_masks(self.filtered, self.msa, self.params, self.masks), "masks")
-        return stored(coverage.pair_coverage(self.pairs, masks, self.msa, self.params), "coverage")
+        return stored(coverage.pair_coverage(self.pairs, self.primer_masks, self.msa, self.params), "coverage")
 
     @cached_property
     def masks(self) -> DataFrame:
@@ -243,6 +246,7 @@ _QUERIES: dict[str, Callable[[Assay], DataFrame]] = {
     "pair_specificity": lambda a: a.pair_risk,
     "pair_scores": lambda a: a.scored.select("gene", "forward_seq", "reverse_seq", "f_ord", "r_ord", "single_primer_3prime_conservation", "tm_balance_score", "gc_score", "hairpin_penalty", "homodimer_penalty", "heterodimer_penalty", "offtarget_penalty", "amplicon_size_penalty", "final_score"),
     "top_pairs": lambda a: a.top,
+    "top_pairs_pruned": lambda a: pruning.pruned_top_pairs(a.filtered, a.primer_masks, a.msa, a.single(), a.params),
     "offtarget_summary": lambda a: scoring.top_pairs(scoring.score_pairs(a.coverage, a.filtered, a.pair_risk), a.single(), a.filtered, a.pair_risk, a.params).select("gene", "rank", "forward_sequence", "reverse_sequence", "offtarget_summary", "final_score"),
     "report_lines": lambda a: report.report_lines(a.top),
     "gene_reports": lambda a: report.report(a.msa, a.top).select("gene", F.size(F.split("text", "\n")).alias("lines")),
