@@ -11,17 +11,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..params import STRICT, Params
+from ..params import STRICT, Params, Scoring
 from ..storage import stored
 from .coverage import KEY, alignment_sizes, pair_coverage
 from .pairs import candidate_pairs, heterodimer_screen
 from .places import placed
-from .scoring import GOOD_TM, score_pairs, top_pairs
+from .scoring import score_pairs, top_pairs
 
 FIRST, GROWTH = 4, 8  # the first round in units of top_n, and how rounds grow
 
 
-def bounds(candidates: DataFrame, masks: DataFrame, msa: DataFrame, metrics: DataFrame | None = None, specificity: DataFrame | None = None, conservation_3p: DataFrame | None = None) -> DataFrame:
+def bounds(candidates: DataFrame, masks: DataFrame, msa: DataFrame, metrics: DataFrame | None = None, specificity: DataFrame | None = None, conservation_3p: DataFrame | None = None, scoring: Scoring = Scoring()) -> DataFrame:
     """Add `bound`, which the final score of a candidate pair can't pass, from counts of its primers alone."""
     counts = masks.groupBy(KEY).agg(F.sum(F.bit_count("ok")).alias("ok"), F.sum(F.bit_count("bad3")).alias("bad3"))
     pseudo = candidates
@@ -30,12 +30,12 @@ def bounds(candidates: DataFrame, masks: DataFrame, msa: DataFrame, metrics: Dat
         pseudo = pseudo.join(own, ["gene", f"{side}_seq", f"{side}_start", f"{side}_end"])
     pseudo = pseudo.join(alignment_sizes(msa), "gene").withColumns({
         "pair_coverage_fraction": F.least("forward_ok", "reverse_ok") / F.col("total_sequences_count"),
-        "failed_due_to_3prime_count": F.greatest("forward_bad3", "reverse_bad3"), "heterodimer_tm": F.lit(GOOD_TM),
+        "failed_due_to_3prime_count": F.greatest("forward_bad3", "reverse_bad3"), "heterodimer_tm": F.lit(scoring.heterodimer_good),
     })
-    return score_pairs(pseudo, metrics, specificity, conservation_3p).withColumnRenamed("final_score", "bound").select(*candidates.columns, "bound")
+    return score_pairs(pseudo, metrics, specificity, conservation_3p, scoring).withColumnRenamed("final_score", "bound").select(*candidates.columns, "bound")
 
 
-def pruned_scores(primers: DataFrame, masks: DataFrame, msa: DataFrame, params: Params = STRICT, specificity: DataFrame | None = None, conservation_3p: DataFrame | None = None, dedupe: bool = False) -> tuple[DataFrame, DataFrame]:
+def pruned_scores(primers: DataFrame, masks: DataFrame, msa: DataFrame, params: Params = STRICT, specificity: DataFrame | None = None, conservation_3p: DataFrame | None = None, dedupe: bool = False, scoring: Scoring = Scoring()) -> tuple[DataFrame, DataFrame]:
     """Scored pairs among which are the best top_n of each gene and all that repeat their sequences; and gene, pairs,
     screened: how many candidates there were, and how many were screened and counted.
 
@@ -44,13 +44,13 @@ def pruned_scores(primers: DataFrame, masks: DataFrame, msa: DataFrame, params:
     """
     found = candidate_pairs(primers, params).filter("forward_end <= reverse_start")
     columns = found.columns
-    queue = stored(bounds(found, masks, msa, primers, specificity, conservation_3p), "bounds")
+    queue = stored(bounds(found, masks, msa, primers, specificity, conservation_3p, scoring), "bounds")
     queue = stored(placed(queue, ["gene"], [F.desc("bound"), F.col("f_ord"), F.col("r_ord")]), "queue")
 
     def screened(rows: DataFrame) -> DataFrame:
         rows = stored(rows.select(columns), "round")
         fit = rows.join(heterodimer_screen(rows), ["forward_seq", "reverse_seq"]).filter((F.col("heterodimer_tm") <= params.max_heterodimer_tm) | F.isnan("heterodimer_tm"))
-        return stored(score_pairs(pair_coverage(fit, masks, msa, params), primers, specificity, conservation_3p), "scores")
+        return stored(score_pairs(pair_coverage(fit, masks, msa, params), primers, specificity, conservation_3p, scoring), "scores")
 
     begin, end = 0, FIRST * params.top_n
     scores, limit, done = None, None, None
@@ -79,7 +79,7 @@ def pruned_scores(primers: DataFrame, masks: DataFrame, msa: DataFrame, params:
     return scores, total.join(used, "gene")
 
 
-def pruned_top_pairs(primers: DataFrame, masks: DataFrame, msa: DataFrame, single_coverage: DataFrame, params: Params = STRICT, specificity: DataFrame | None = None, conservation_3p: DataFrame | None = None, dedupe: bool = False) -> DataFrame:
+def pruned_top_pairs(primers: DataFrame, masks: DataFrame, msa: DataFrame, single_coverage: DataFrame, params: Params = STRICT, specificity: DataFrame | None = None, conservation_3p: DataFrame | None = None, dedupe: bool = False, scoring: Scoring = Scoring()) -> DataFrame:
     """scoring.top_pairs of all pairs, from the scores of those that may be among the best."""
-    scores, _ = pruned_scores(primers, masks, msa, params, specificity, conservation_3p, dedupe)
+    scores, _ = pruned_scores(primers, masks, msa, params, specificity, conservation_3p, dedupe, scoring)
     return top_pairs(scores, single_coverage, primers, specificity, params, dedupe)

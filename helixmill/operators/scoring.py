@@ -6,15 +6,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.sequences import clip01, linear_penalty
-from ..params import STRICT, Params
+from ..params import STRICT, Params, Scoring
 from .coverage import COVERAGE_ORDER
 from .pairs import order_by
 
-#: Weights and scales of the final score; fixed values.
-COVERAGE, PRIME3, SPECIFICITY, THERMO, AMPLICON = 0.42, 0.20, 0.18, 0.13, 0.07
-TM_BALANCE, GC, HAIRPIN, HOMODIMER, HETERODIMER = 0.30, 0.20, 0.17, 0.16, 0.17
-TM_DIFF_BAD, GC_DIFF_BAD, GC_TARGET, GC_DELTA_BAD, GOOD_TM, BAD_TM, RISK_BAD = 4.0, 20.0, 50.0, 20.0, 35.0, 55.0, 20.0
-PREFERRED, ALLOWED = (40, 120), (40, 220)
 RANK = [("final_score", True), ("pair_coverage_fraction", True), ("single_primer_3prime_conservation", True), ("offtarget_penalty", False), ("heterodimer_penalty", False), ("amplicon_size_penalty", False)]
 
 
@@ -25,7 +20,7 @@ def last_by(df: DataFrame, keys: list[str], order: list) -> DataFrame:
     return df.withColumn("_last", last).filter("_last").drop("_last")
 
 
-def score_pairs(coverage: DataFrame, metrics: DataFrame | None = None, specificity: DataFrame | None = None, conservation_3p: DataFrame | None = None) -> DataFrame:
+def score_pairs(coverage: DataFrame, metrics: DataFrame | None = None, specificity: DataFrame | None = None, conservation_3p: DataFrame | None = None, scoring: Scoring = Scoring()) -> DataFrame:
     """Add penalties and final_score to pair coverage.
 
     metrics(gene, sequence, hairpin_tm, homodimer_tm), specificity(forward_seq, reverse_seq,
@@ -44,24 +39,25 @@ def score_pairs(coverage: DataFrame, metrics: DataFrame | None = None, specifici
         else:
             p = p.join(conservation_3p.select("gene", F.col("sequence").alias(f"{side}_seq"), F.col("conservation").alias(f"{side}_cons")), ["gene", f"{side}_seq"], "left")
     p = p.withColumn("risk", none) if specificity is None else p.join(specificity.select("forward_seq", "reverse_seq", F.col("off_target_pair_risk_score").alias("risk")), ["forward_seq", "reverse_seq"], "left")
+    c = scoring
     both = F.col("forward_hairpin").isNotNull() & F.col("reverse_hairpin").isNotNull()
-    hairpin = F.when(both, F.greatest("forward_hairpin", "reverse_hairpin")).otherwise(GOOD_TM)
-    homodimer = F.when(both, F.greatest("forward_homodimer", "reverse_homodimer")).otherwise(GOOD_TM)
+    hairpin = F.when(both, F.greatest("forward_hairpin", "reverse_hairpin")).otherwise(c.hairpin_good)
+    homodimer = F.when(both, F.greatest("forward_homodimer", "reverse_homodimer")).otherwise(c.homodimer_good)
     n = F.col("total_sequences_count")
     fallback = F.when(n > 0, 1.0 - clip01(F.col("failed_due_to_3prime_count") / n)).otherwise(0.0)
     cons = F.when(F.col("forward_cons").isNotNull() & F.col("reverse_cons").isNotNull(), clip01((F.col("forward_cons") + F.col("reverse_cons")) / 2.0)).otherwise(fallback)
     length = F.col("amplicon_length")
-    # bases beyond the preferred range, as a share of those allowed; none are allowed below it, where each counts 1
-    size = F.greatest(F.lit(0), PREFERRED[0] - length, (length - PREFERRED[1]) / float(ALLOWED[1] - PREFERRED[1]))
+    # bases beyond the preferred range, as a share of those allowed there; where none are allowed each counts 1
+    size = F.greatest(F.lit(0), (c.preferred_min - length) / float(max(1, c.preferred_min - c.allowed_min)), (length - c.preferred_max) / float(max(1, c.allowed_max - c.preferred_max)))
     p = p.withColumns({
-        "single_primer_3prime_conservation": cons, "tm_balance_score": 1.0 - clip01(F.col("tm_diff") / TM_DIFF_BAD),
-        "gc_score": 1.0 - 0.5 * clip01(F.abs(F.col("gc_forward") - F.col("gc_reverse")) / GC_DIFF_BAD) - 0.5 * clip01(F.abs((F.col("gc_forward") + F.col("gc_reverse")) / 2.0 - GC_TARGET) / GC_DELTA_BAD),
-        "hairpin_penalty": linear_penalty(hairpin, GOOD_TM, BAD_TM), "homodimer_penalty": linear_penalty(homodimer, GOOD_TM, BAD_TM),
-        "heterodimer_penalty": linear_penalty(F.col("heterodimer_tm"), GOOD_TM, BAD_TM), "offtarget_penalty": F.when(F.col("risk").isNull(), 0.0).otherwise(clip01(F.col("risk") / RISK_BAD)),
+        "single_primer_3prime_conservation": cons, "tm_balance_score": 1.0 - clip01(F.col("tm_diff") / c.tm_diff_bad),
+        "gc_score": 1.0 - 0.5 * clip01(F.abs(F.col("gc_forward") - F.col("gc_reverse")) / c.gc_diff_bad) - 0.5 * clip01(F.abs((F.col("gc_forward") + F.col("gc_reverse")) / 2.0 - c.gc_target) / c.gc_delta_bad),
+        "hairpin_penalty": linear_penalty(hairpin, c.hairpin_good, c.hairpin_bad), "homodimer_penalty": linear_penalty(homodimer, c.homodimer_good, c.homodimer_bad),
+        "heterodimer_penalty": linear_penalty(F.col("heterodimer_tm"), c.heterodimer_good, c.heterodimer_bad), "offtarget_penalty": F.when(F.col("risk").isNull(), 0.0).otherwise(clip01(F.col("risk") / c.risk_bad)),
         "amplicon_size_penalty": clip01(size.cast("double")),
     })
-    thermo = clip01(TM_BALANCE * F.col("tm_balance_score") + GC * F.col("gc_score") + HAIRPIN * (1.0 - F.col("hairpin_penalty")) + HOMODIMER * (1.0 - F.col("homodimer_penalty")) + HETERODIMER * (1.0 - F.col("heterodimer_penalty")))
-    quality = COVERAGE * clip01(F.col("pair_coverage_fraction")) + PRIME3 * F.col("single_primer_3prime_conservation") + SPECIFICITY * (1.0 - F.col("offtarget_penalty")) + THERMO * thermo + AMPLICON * (1.0 - F.col("amplicon_size_penalty"))
+    thermo = clip01(c.tm_balance * F.col("tm_balance_score") + c.gc * F.col("gc_score") + c.hairpin * (1.0 - F.col("hairpin_penalty")) + c.homodimer * (1.0 - F.col("homodimer_penalty")) + c.heterodimer * (1.0 - F.col("heterodimer_penalty")))
+    quality = c.coverage * clip01(F.col("pair_coverage_fraction")) + c.prime3 * F.col("single_primer_3prime_conservation") + c.specificity * (1.0 - F.col("offtarget_penalty")) + c.thermo * thermo + c.amplicon * (1.0 - F.col("amplicon_size_penalty"))
     return p.withColumn("final_score", F.round(100.0 * clip01(quality), 9)).drop("forward_hairpin", "reverse_hairpin", "forward_homodimer", "reverse_homodimer", "forward_cons", "reverse_cons", "risk")
 
 

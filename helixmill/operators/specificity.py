@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -11,11 +13,16 @@ from .joins import spread_join
 from .pairs import order_by
 
 
+#: The published parameters of ungapped scores of 1 and -3 for random DNA.
+LAMBDA, K = 1.374, 0.711
+
+
 def seed_hits(queries: DataFrame, subjects: DataFrame, params: Params = STRICT) -> DataFrame:
     """Ungapped hits of queries(sequence) in subjects(subject_id, seq), on both strands.
 
     Words of word_size letters are joined on equality; the words of one query and subject on one diagonal make a
-    hit from the first word to the last. Columns are those of a tabular hit; evalue and bitscore are null.
+    hit from the first word to the last. Columns are those of a tabular hit; evalue and bitscore are those of an
+    ungapped score (with_evalues), from the letters of all subjects.
 
     There are few different words, so each is frequent: the queries' words are broadcast where a count says that they
     are few, else the subjects' words are salted; rows of a diagonal are combined before they are shuffled.
@@ -31,13 +38,27 @@ def seed_hits(queries: DataFrame, subjects: DataFrame, params: Params = STRICT)
     h = d.join(s, "subject_id").withColumns({"qo": F.expr("substring(oriented, a, b - a + 1)"), "so": F.expr("substring(seq, a + diag, b - a + 1)"), "n": F.expr("length(oriented)"), "align_len": F.expr("b - a + 1")})
     h = h.withColumn("mismatch", F.expr("size(filter(sequence(1, align_len), i -> substr(qo, i, 1) != substr(so, i, 1)))"))
     plus = F.col("sstrand") == "plus"
-    return h.select(
+    letters = subjects.agg(F.sum(F.length("seq"))).first()[0] or 0
+    return with_evalues(h.select(
         "query_id", "subject_id", "sstrand", ((F.col("align_len") - F.col("mismatch")) * 100.0 / F.col("align_len")).alias("pident"), "align_len", "mismatch", F.lit(0).alias("gaps"),
         F.when(plus, F.col("a")).otherwise(F.expr("n - b + 1")).alias("qstart"), F.when(plus, F.col("b")).otherwise(F.expr("n - a + 1")).alias("qend"),
         F.when(plus, F.expr("a + diag")).otherwise(F.expr("b + diag")).alias("sstart"), F.when(plus, F.expr("b + diag")).otherwise(F.expr("a + diag")).alias("send"),
-        F.lit(None).cast("double").alias("evalue"), F.lit(None).cast("double").alias("bitscore"), F.col("n").alias("qlen"),
+        F.col("n").alias("qlen"),
         F.when(plus, F.col("qo")).otherwise(reverse_complement("qo")).alias("qseq"), F.when(plus, F.col("so")).otherwise(reverse_complement("so")).alias("sseq"),
-    )
+    ), letters)
+
+
+def with_evalues(hits: DataFrame, letters: int) -> DataFrame:
+    """Add bitscore and evalue of ungapped hits: a match counts 1, a mismatch -3; `letters` is the size of what was
+    searched."""
+    score = F.col("align_len") - 4 * F.col("mismatch")
+    bits = (LAMBDA * score - math.log(K)) / math.log(2.0)
+    return hits.withColumns({"bitscore": bits, "evalue": F.col("qlen") * float(letters) * F.pow(F.lit(2.0), -bits)})
+
+
+def evalue_filter(hits: DataFrame, params: Params = STRICT) -> DataFrame:
+    """Hits at or below the limit; hits without an e-value stay."""
+    return hits.filter(F.col("evalue").isNull() | (F.col("evalue") <= params.max_evalue))
 
 
 def quality_filter(hits: DataFrame, params: Params = STRICT) -> DataFrame:

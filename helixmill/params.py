@@ -8,10 +8,10 @@ from dataclasses import dataclass, replace
 GAP_MODES = ("ignore", "penalize", "hard_fail")
 
 
-def require(ok: bool, what: str, where: str, fix: str) -> None:
-    """Driver-side argument check: what is wrong, where, and how to mend it."""
+def require(ok: bool, message: str) -> None:
+    """A check on the driver."""
     if not ok:
-        raise ValueError(f"{what} in {where}. {fix}")
+        raise ValueError(message)
 
 
 def _each(names: str, ok: Callable[..., bool], text: str) -> list[tuple]:
@@ -37,7 +37,7 @@ RULES = [
     *_each("top_quantile all_gap_score variability_threshold gap_fraction_threshold min_tail3_identity min_tail5_identity max_amplicon_gap_fraction", lambda x: _number(x) and 0 <= x <= 1, "a fraction from 0 to 1"),
     *_each("min_gc max_gc min_hit_identity", lambda x: _number(x) and 0 <= x <= 100, "a percentage from 0 to 100"),
     *_each("min_tm max_tm max_hairpin_tm max_homodimer_tm max_self_dimer_3p_tm max_heterodimer_tm", _number, "a number"),
-    *_each("gap_penalty strong_weight medium_weight base_weight max_weighted_score max_tm_diff", lambda x: _number(x) and x >= 0, "a number from 0"),
+    *_each("gap_penalty strong_weight medium_weight base_weight max_weighted_score max_tm_diff max_evalue", lambda x: _number(x) and x >= 0, "a number from 0"),
     *_each("gap_mode", lambda x: x in GAP_MODES, f"one of {', '.join(GAP_MODES)}"),
     *_each("unsuitable_char", lambda x: isinstance(x, str) and len(x) == 1, "one character"),
     *_each("min_region_len", lambda x: x is None or _whole(x) and x > 0, "None or a whole number above 0"),
@@ -45,6 +45,63 @@ RULES = [
 ]
 
 
+#: As RULES, for the scores.
+SCORE_RULES = [
+    *_each("coverage prime3 specificity thermo amplicon tm_balance gc hairpin homodimer heterodimer", lambda x: _number(x) and 0 <= x <= 1, "a weight from 0 to 1"),
+    *_each("tm_diff_bad gc_diff_bad gc_delta_bad risk_bad", lambda x: _number(x) and x > 0, "a number above 0"),
+    *_each("gc_target hairpin_good hairpin_bad homodimer_good homodimer_bad heterodimer_good heterodimer_bad", _number, "a number"),
+    *_each("preferred_min preferred_max allowed_min allowed_max", lambda x: _whole(x) and x > 0, "a whole number above 0"),
+    *(((f"{kind}_good", f"{kind}_bad"), lambda a, b: not (_number(a) and _number(b)) or a < b, "the good temperature must be below the bad one") for kind in ("hairpin", "homodimer", "heterodimer")),
+    *map(_ordered, ("preferred_min preferred_max", "allowed_min preferred_min", "preferred_max allowed_max")),
+]
+
+
+def _check(own, rules: list[tuple]) -> None:
+    wrong = [f"{', '.join(f'{n}={getattr(own, n)!r}' for n in names)}: {text}" for names, ok, text in rules if not ok(*(getattr(own, n) for n in names))]
+    require(not wrong, f"{type(own).__name__}: " + "; ".join(wrong))
+
+
+@dataclass(frozen=True)
+class Scoring:
+    """Weights and scales of the final score. The defaults."""
+
+    # parts of the score
+    coverage: float = 0.42
+    prime3: float = 0.20
+    specificity: float = 0.18
+    thermo: float = 0.13
+    amplicon: float = 0.07
+    # parts of the thermodynamic score
+    tm_balance: float = 0.30
+    gc: float = 0.20
+    hairpin: float = 0.17
+    homodimer: float = 0.16
+    heterodimer: float = 0.17
+    # where a part is worst, or what it is measured from
+    tm_diff_bad: float = 4.0
+    gc_diff_bad: float = 20.0
+    gc_target: float = 50.0
+    gc_delta_bad: float = 20.0
+    hairpin_good: float = 35.0
+    hairpin_bad: float = 55.0
+    homodimer_good: float = 35.0
+    homodimer_bad: float = 55.0
+    heterodimer_good: float = 35.0
+    heterodimer_bad: float = 55.0
+    risk_bad: float = 20.0
+    # amplicon lengths
+    preferred_min: int = 40
+    preferred_max: int = 120
+    allowed_min: int = 40
+    allowed_max: int = 220
+
+    def __post_init__(self) -> None:
+        _check(self, SCORE_RULES)
+
+    def with_(self, **changes) -> Scoring:
+        return replace(self, **changes)
+
+
 @dataclass(frozen=True)
 class Params:
     """The defaults are those of the strict preset."""
@@ -107,13 +164,12 @@ class Params:
     max_tail_mismatches: int = 1
     offtarget_min_amplicon: int = 60
     offtarget_max_amplicon: int = 150
+    max_evalue: float = 1000.0
     # output
     top_n: int = 20
 
     def __post_init__(self) -> None:
-        wrong = [text for names, ok, text in RULES for text in [f"{', '.join(f'{n}={getattr(self, n)!r}' for n in names)}: {text}"] if not ok(*(getattr(self, n) for n in names))]
-        if wrong:
-            raise ValueError("Params: " + "; ".join(wrong))
+        _check(self, RULES)
 
     def with_(self, **changes) -> Params:
         return replace(self, **changes)

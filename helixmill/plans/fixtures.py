@@ -7,8 +7,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.joins import spread
+from ..params import Scoring
 
 COLUMNS = 240
+#: Other weights and scales than the defaults.
+WEIGHTED = Scoring(coverage=0.3, prime3=0.25, specificity=0.15, thermo=0.2, amplicon=0.1, tm_balance=0.4, gc=0.1, tm_diff_bad=3.0, gc_target=45.0, hairpin_good=20.0, hairpin_bad=50.0, preferred_min=60, preferred_max=100, allowed_max=180)
 
 
 def _gene():

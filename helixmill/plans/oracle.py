@@ -5,6 +5,9 @@ from __future__ import annotations
 import math
 
 from ..functions.thermo import LOOP, NA, MG, DNTP, OLIGO, R, STACK, SYMMETRY, TERMINAL_AT, TERMINAL_GC
+from ..operators.specificity import K, LAMBDA
+from ..params import Scoring
+from . import fixtures
 
 _NA = (NA + 120.0 * (MG - DNTP) ** 0.5) / 1000.0
 
@@ -70,10 +73,6 @@ def _clip(x: str) -> str:
     return f"least(1, greatest(0, {x}))"
 
 
-def _pen(x: str) -> str:
-    return _clip(f"(({x}) - 35) / 20")
-
-
 def _fixed(x: str, digits: int) -> str:
     return f"printf('%.{digits}f', round_even({x}, {digits}))"
 
@@ -82,13 +81,15 @@ _COV_ORDER = "pair_coverage_fraction DESC, is_preferred_amplicon_range DESC, tm_
 _RANK = f"final_score DESC, pair_coverage_fraction DESC, single_primer_3prime_conservation DESC, offtarget_penalty, heterodimer_penalty, amplicon_size_penalty, {_COV_ORDER}"
 
 
-def _score(source: str, risk: str, cons: str = "NULL") -> str:
-    thermo = "0.30 * tm_balance_score + 0.20 * gc_score + 0.17 * (1 - hairpin_penalty) + 0.16 * (1 - homodimer_penalty) + 0.17 * (1 - heterodimer_penalty)"
-    return f"""(SELECT *, round(100 * {_clip(f"0.42 * pair_coverage_fraction + 0.20 * single_primer_3prime_conservation + 0.18 * (1 - offtarget_penalty) + 0.13 * {_clip(thermo)} + 0.07 * (1 - amplicon_size_penalty)")}, 9) AS final_score FROM (
-      SELECT p.*, coalesce({cons}, 1 - {_clip("failed_due_to_3prime_count::DOUBLE / total_sequences_count")}) AS single_primer_3prime_conservation, 1 - {_clip("tm_diff / 4")} AS tm_balance_score,
-        1 - 0.5 * {_clip("abs(gc_forward - gc_reverse) / 20")} - 0.5 * {_clip("abs((gc_forward + gc_reverse) / 2 - 50) / 20")} AS gc_score,
-        {_pen("greatest(f.hairpin_tm, r.hairpin_tm)")} AS hairpin_penalty, {_pen("greatest(f.homodimer_tm, r.homodimer_tm)")} AS homodimer_penalty, {_pen("heterodimer_tm")} AS heterodimer_penalty,
-        {_clip(f"{risk} / 20.0")} AS offtarget_penalty, {_clip("CASE WHEN amplicon_length BETWEEN 40 AND 120 THEN 0 WHEN amplicon_length < 40 THEN 40 - amplicon_length ELSE (amplicon_length - 120) / 100.0 END")} AS amplicon_size_penalty
+def _score(source: str, risk: str, cons: str = "NULL", w: Scoring = Scoring()) -> str:
+    pen = lambda x, kind: _clip(f"(({x}) - {getattr(w, f'{kind}_good')}) / {getattr(w, f'{kind}_bad') - getattr(w, f'{kind}_good')}")
+    thermo = f"{w.tm_balance} * tm_balance_score + {w.gc} * gc_score + {w.hairpin} * (1 - hairpin_penalty) + {w.homodimer} * (1 - homodimer_penalty) + {w.heterodimer} * (1 - heterodimer_penalty)"
+    size = f"CASE WHEN amplicon_length < {w.preferred_min} THEN ({w.preferred_min} - amplicon_length) / {float(max(1, w.preferred_min - w.allowed_min))} WHEN amplicon_length > {w.preferred_max} THEN (amplicon_length - {w.preferred_max}) / {float(max(1, w.allowed_max - w.preferred_max))} ELSE 0 END"
+    return f"""(SELECT *, round(100 * {_clip(f"{w.coverage} * pair_coverage_fraction + {w.prime3} * single_primer_3prime_conservation + {w.specificity} * (1 - offtarget_penalty) + {w.thermo} * {_clip(thermo)} + {w.amplicon} * (1 - amplicon_size_penalty)")}, 9) AS final_score FROM (
+      SELECT p.*, coalesce({cons}, 1 - {_clip("failed_due_to_3prime_count::DOUBLE / total_sequences_count")}) AS single_primer_3prime_conservation, 1 - {_clip(f"tm_diff / {w.tm_diff_bad}")} AS tm_balance_score,
+        1 - 0.5 * {_clip(f"abs(gc_forward - gc_reverse) / {w.gc_diff_bad}")} - 0.5 * {_clip(f"abs((gc_forward + gc_reverse) / 2 - {w.gc_target}) / {w.gc_delta_bad}")} AS gc_score,
+        {pen("greatest(f.hairpin_tm, r.hairpin_tm)", "hairpin")} AS hairpin_penalty, {pen("greatest(f.homodimer_tm, r.homodimer_tm)", "homodimer")} AS homodimer_penalty, {pen("heterodimer_tm", "heterodimer")} AS heterodimer_penalty,
+        {_clip(f"{risk} / {w.risk_bad}")} AS offtarget_penalty, {_clip(size)} AS amplicon_size_penalty
       FROM {source} p JOIN screen f ON f.sequence = p.forward_seq JOIN screen r ON r.sequence = p.reverse_seq))"""
 
 
@@ -193,7 +194,9 @@ def _tables() -> dict[str, str]:
             CAST(CASE WHEN sstrand = 'plus' THEN b ELSE length(oriented) - a + 1 END AS INT) AS qend, CAST(CASE WHEN sstrand = 'plus' THEN a + diag ELSE b + diag END AS INT) AS sstart, CAST(CASE WHEN sstrand = 'plus' THEN b + diag ELSE a + diag END AS INT) AS send,
             CAST(length(oriented) AS INT) AS qlen, CASE WHEN sstrand = 'plus' THEN qo ELSE {_rc('qo')} END AS qseq, CASE WHEN sstrand = 'plus' THEN so ELSE {_rc('so')} END AS sseq
           FROM (SELECT *, len([i FOR i IN range(1, n + 1) IF substr(qo, i, 1) != substr(so, i, 1)]) AS mm FROM (SELECT d.*, b - a + 1 AS n, substr(oriented, a, b - a + 1) AS qo, substr(seq, a + diag, b - a + 1) AS so FROM diag d JOIN sub USING (subject_id))))""",
-        "few": "(SELECT * FROM hits0 SEMI JOIN (SELECT query_id, subject_id FROM (SELECT query_id, subject_id, max(align_len - mismatch) AS best FROM hits0 GROUP BY ALL) QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY best DESC, subject_id) <= 500) USING (query_id, subject_id))",
+        "rated": f"(SELECT *, qlen * (SELECT sum(length(seq)) FROM sub)::DOUBLE * pow(2::DOUBLE, -bitscore) AS evalue FROM (SELECT *, ({LAMBDA}::DOUBLE * (align_len - 4 * mismatch) - {math.log(K)!r}::DOUBLE) / {math.log(2.0)!r}::DOUBLE AS bitscore FROM hits0))",
+        "near": "(SELECT * EXCLUDE (bitscore, evalue) FROM rated WHERE evalue <= 1000)",
+        "few": "(SELECT * FROM near SEMI JOIN (SELECT query_id, subject_id FROM (SELECT query_id, subject_id, max(align_len - mismatch) AS best FROM near GROUP BY ALL) QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY best DESC, subject_id) <= 500) USING (query_id, subject_id))",
         "hits": """(SELECT *, true AS is_off_target, qend = qlen AND tail_covered >= 5 AND tail_mismatches <= 1 AS has_good_3prime_match FROM (
           SELECT *, CAST(len([i FOR i IN range(1, length(qseq) + 1) IF qstart + i - 1 > qlen - 5]) AS INT) AS tail_covered,
             CAST(len([i FOR i IN range(1, length(qseq) + 1) IF qstart + i - 1 > qlen - 5 AND substr(qseq, i, 1) != substr(sseq, i, 1)]) AS INT) AS tail_mismatches FROM few WHERE pident >= 80 AND align_len >= 12))""",
@@ -203,6 +206,7 @@ def _tables() -> dict[str, str]:
         "scored": _score("pc", "0.0"),
         "scored_risk": _score("(SELECT * FROM pc JOIN (SELECT forward_seq, reverse_seq, off_target_pair_risk_score FROM risk) USING (forward_seq, reverse_seq))", "off_target_pair_risk_score"),
         "scored_supplied": _score("pc", "0.0", "(CASE WHEN gc_forward >= 50 AND gc_reverse >= 50 THEN (gc_forward / 100 + gc_reverse / 100) / 2 END)"),
+        "scored_weighted": _score("pc", "0.0", w=fixtures.WEIGHTED),
         "top": _top("scored", "'offtarget:not_checked'"),
         "top_risk": _top("scored_risk", "'offtarget_amplicons=' || k.potential_off_target_amplicons_count || '; offtarget_amplicons_good3p=' || k.good_3prime_off_target_amplicons_count || '; offtarget_risk=' || printf('%.3f', k.off_target_pair_risk_score)"),
     }
@@ -215,6 +219,8 @@ def _finals() -> dict[str, str]:
     amb = "CASE WHEN length(seq) = 0 THEN 1.0 ELSE length(regexp_replace(seq, '[ACGT]', '', 'g'))::DOUBLE / length(seq) END"
     kept = f"SELECT r.* FROM rec r JOIN lim USING (gene) WHERE NOT contains(description, 'partial=True') AND length(seq) BETWEEN min_len AND max_len AND {amb} <= amb_p90"
     first = lambda t: f"SELECT gene, min(seq_idx) AS seq_idx FROM ({t}) GROUP BY gene, seq"
+    everyone = "(SELECT DISTINCT gene FROM m UNION ALL SELECT 'none at all')"
+    files = " UNION ALL ".join(f"SELECT '{kind}' AS kind, g.gene, coalesce({head} || string_agg(forward_sequence || '{sep}' || reverse_sequence, ';' ORDER BY rank), '') AS fields FROM {everyone} g LEFT JOIN top USING (gene) GROUP BY g.gene" for kind, sep, head in (("csv", ",", "'forward_sequence,reverse_sequence;'"), ("tsv", "\t", "'forward_sequence\treverse_sequence;'"), ("json", ",", "''")))
     tops = ", ".join(f"SELECT '{k}' AS kind, gene, rank, forward_sequence, reverse_sequence, amplicon_length, offtarget_summary, final_score FROM top" for k in ("csv", "tsv", "json")).replace(", SELECT '", " UNION ALL SELECT '")
     return {
         "header_gene_filter": "SELECT gene, seq_idx, id FROM rec WHERE length(seq) > 0 AND regexp_matches(id || ' ' || description, '(?i)\\bgene\\s*=\\s*en\\b')",
@@ -250,6 +256,11 @@ def _finals() -> dict[str, str]:
         "heterodimer_screen": "SELECT * FROM het",
         "pair_coverage": "SELECT gene, forward_seq, reverse_seq, forward_start, reverse_end, f_ord, r_ord, fully_matched_sequences_count, failed_forward_count, failed_reverse_count, failed_due_to_3prime_count, total_sequences_count, pair_coverage_fraction FROM pc",
         "seed_hits": "SELECT * FROM hits0",
+        "hit_evalues": "SELECT query_id, subject_id, sstrand, qstart, sstart, bitscore, evalue FROM rated WHERE evalue <= 1000",
+        "pair_scores_weighted": "SELECT gene, forward_seq, reverse_seq, f_ord, r_ord, tm_balance_score, gc_score, hairpin_penalty, amplicon_size_penalty, final_score FROM scored_weighted",
+        "gene_reasons": """SELECT gene, rows, coalesce(n, 0) AS regions, CASE WHEN n IS NULL THEN 'regions' ELSE 'ok' END AS status, CASE WHEN n IS NULL THEN 'no conserved region of at least 22 columns' END AS reason
+          FROM (SELECT gene, count(*) AS rows FROM m GROUP BY gene) LEFT JOIN (SELECT gene, count(*) AS n FROM reg WHERE end_col - start_col >= 22 GROUP BY gene) USING (gene)""",
+        "table_files": f"SELECT * FROM ({files})",
         "max_subjects": "SELECT query_id, count(*) AS hits, count(DISTINCT subject_id) AS subjects, max(subject_id) AS last_subject FROM few GROUP BY query_id",
         "tail_mismatch": "SELECT query_id, subject_id, sstrand, qstart, sstart, tail_mismatches, tail_covered, has_good_3prime_match, is_off_target FROM hits",
         "target_subjects": "SELECT query_id, count(*) FILTER (subject_id != 'subj7' AND NOT contains(subject_id, 'j1')) AS off_target, count(*) AS hits FROM hits0 WHERE pident >= 80 AND align_len >= 12 GROUP BY query_id",
@@ -271,6 +282,8 @@ def _finals() -> dict[str, str]:
         "report_sink_roundtrip": f"SELECT gene, md5(line) AS line_md5, count(*) AS n FROM (SELECT gene, unnest(string_split({_lines()}, chr(10))) AS line FROM top) GROUP BY ALL",
         "report_text": f"""SELECT g.gene, CASE WHEN n IS NULL THEN 'No primer pairs passed final ranking.' || chr(10) ELSE 'Top primer pairs: ' || n || chr(10) || chr(10) || body || chr(10) END AS text
             FROM (SELECT DISTINCT gene FROM m) g LEFT JOIN (SELECT gene, count(*) AS n, string_agg({_lines()}, chr(10) || chr(10) ORDER BY rank) AS body FROM top GROUP BY gene) USING (gene)""",
+        "report_files": f"""SELECT g.gene, CASE WHEN n IS NULL THEN 'No primer pairs passed final ranking.' || chr(10) ELSE 'Top primer pairs: ' || n || chr(10) || chr(10) || body || chr(10) END AS text
+            FROM {everyone} g LEFT JOIN (SELECT gene, count(*) AS n, string_agg({_lines()}, chr(10) || chr(10) ORDER BY rank) AS body FROM top GROUP BY gene) USING (gene)""",
         "min_region_len": "SELECT gene, CAST(row_number() OVER (PARTITION BY gene ORDER BY start_col) - 1 AS INT) AS region_index, start_col, end_col, mean_score FROM reg WHERE end_col - start_col >= 16",
         "structure_override": """SELECT gene, sequence, orientation, msa_start, msa_end, hairpin_tm, homodimer_tm, self_dimer_3p_tm, length BETWEEN 18 AND 25 AND gc_percent BETWEEN 30 AND 70 AND tm BETWEEN 48 AND 70 AND max_homopolymer_run <= 5
             AND gc_clamp_last2_count BETWEEN 0 AND 2 AND hairpin_tm <= 47 AND homodimer_tm <= 47 AND self_dimer_3p_tm <= 45 AS passed_basic_filters
@@ -305,7 +318,7 @@ _DOUBLES = {
     "window_candidates": "mean_conservativity min_conservativity tail3_identity tail5_identity", "sequence_metrics": "gc_percent", "nn_tm": "tm", "homodimer_screen": "homodimer_tm",
     "self_dimer_3p": "self_dimer_3p_tm", "hairpin_screen": "hairpin_tm", "primer_filters": "tm", "single_coverage": _COVER, "single_coverage_ignore": _COVER, "single_coverage_hardfail": _COVER,
     "primer_pairs": "tm_forward tm_reverse gc_forward gc_reverse tm_diff gc_balance_abs_diff gc_balance_mean heterodimer_tm", "heterodimer_screen": "heterodimer_tm", "pair_coverage": "pair_coverage_fraction",
-    "seed_hits": "pident", "single_specificity": "off_target_risk_score", "pair_specificity": "off_target_pair_risk_score",
+    "seed_hits": "pident", "hit_evalues": "bitscore evalue", "pair_scores_weighted": "tm_balance_score gc_score hairpin_penalty amplicon_size_penalty final_score", "single_specificity": "off_target_risk_score", "pair_specificity": "off_target_pair_risk_score",
     "pair_scores": "single_primer_3prime_conservation tm_balance_score gc_score hairpin_penalty homodimer_penalty heterodimer_penalty offtarget_penalty amplicon_size_penalty final_score",
     "top_pairs": _TOP,
     "top_pairs_pruned": _TOP, "offtarget_summary": "final_score", "pairs_csv_tsv_json_roundtrip": "final_score",

@@ -11,10 +11,11 @@ from pyspark.sql import functions as F
 from ..functions import thermo as T
 from ..functions.sequences import ambiguous_fraction, reverse_complement
 from ..operators import candidates, coverage, pairs, profile, pruning, records, regions, report, scoring, specificity, status, thermo
-from ..params import STRICT, Params
+from ..params import STRICT, Params, Scoring
 from ..sources import fasta, tables
 from ..storage import folder, stored
 from . import fixtures, oracle
+from .design import Design
 
 
 #: The derived alignments are random DNA, of which few primers are as good as the strict preset asks; the queries
@@ -27,98 +28,17 @@ def _round(df: DataFrame, digits: int = 6) -> DataFrame:
     return df.select(*(F.round(c, digits).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes))
 
 
-class Assay:
-    """The tables of one run, made from the alignment as they are asked for. What several others read is stored:
-    asking for it writes it."""
+class Assay(Design):
+    """The tables of a run over the derived alignments of a folder of tables."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str, params: Params = WIDE):
-        self.spark, self.sf_dir, self.params = spark, sf_dir, params
-
-    @cached_property
-    def msa(self) -> DataFrame:
-        return stored(coverage.number_rows(fixtures.msa(self.spark, self.sf_dir)), "msa")
+    def __init__(self, spark: SparkSession, sf_dir: str, params: Params = WIDE, weights: Scoring = Scoring()):
+        super().__init__(spark, fixtures.msa(spark, sf_dir), params, weights)
+        self.sf_dir = sf_dir
 
     @cached_property
     def records(self) -> DataFrame:
         return fixtures.records(self.spark, self.sf_dir)
 
-    @cached_property
-    def counts(self) -> DataFrame:
-        return stored(profile.column_counts(self.msa), "counts")
-
-    @cached_property
-    def profile(self) -> DataFrame:
-        return profile.from_counts(self.counts, self.params)
-
-    @cached_property
-    def consensus(self) -> DataFrame:
-        return profile.consensus(self.profile)
-
-    @cached_property
-    def scores(self) -> DataFrame:
-        return profile.conservation(profile.from_counts(profile.sanitized_counts(self.counts), self.params), self.params)
-
-    @cached_property
-    def regions(self) -> DataFrame:
-        return stored(regions.conserved_regions(self.scores, self.params), "regions")
-
-    @cached_property
-    def windows(self) -> DataFrame:
-        return candidates.window_candidates(self.profile, self.regions, self.params)
-
-    @cached_property
-    def primers(self) -> DataFrame:
-        return stored(candidates.single_primers(self.windows), "primers")
-
-    @cached_property
-    def metrics(self) -> DataFrame:
-        return stored(thermo.primer_metrics(self.primers, self.params), "metrics")
-
-    @cached_property
-    def filtered(self) -> DataFrame:
-        return self.metrics.filter("passed_basic_filters")
-
-    @cached_property
-    def pairs(self) -> DataFrame:
-        return stored(pairs.primer_pairs(self.filtered, self.params), "pairs")
-
-    @cached_property
-    def primer_masks(self) -> DataFrame:
-        return stored(coverage.primer_masks(self.filtered, self.msa, self.params, self.masks), "masks")
-
-    @cached_property
-    def coverage(self) -> DataFrame:
-        return stored(coverage.pair_coverage(self.pairs, self.primer_masks, self.msa, self.params), "coverage")
-
-    @cached_property
-    def masks(self) -> DataFrame:
-        return stored(coverage.window_masks(self.filtered, self.msa), "windows")
-
-    def single(self, mode: str | None = None) -> DataFrame:
-        p = self.params.with_(gap_mode=mode) if mode else self.params
-        return stored(self.filtered.select(*coverage.KEY, "ord").join(coverage.single_coverage(self.filtered, self.msa, p, self.masks), coverage.KEY), "single")
-
-    @cached_property
-    def subjects(self) -> DataFrame:
-        return self.msa.select(F.col("id").alias("subject_id"), F.replace("aligned", F.lit("-"), F.lit("")).alias("seq"))
-
-    @cached_property
-    def hits(self) -> DataFrame:
-        found = specificity.max_subjects(specificity.seed_hits(self.filtered.select("sequence"), self.subjects, self.params), self.params)
-        return stored(specificity.classify(found, self.params), "hits")
-
-    @cached_property
-    def pair_risk(self) -> DataFrame:
-        return stored(specificity.pair_specificity(self.pairs, self.hits, self.params), "pair_risk")
-
-    @cached_property
-    def scored(self) -> DataFrame:
-        return stored(scoring.score_pairs(self.coverage, self.filtered), "scored")
-
-    @cached_property
-    def top(self) -> DataFrame:
-        return stored(scoring.top_pairs(self.scored, self.single(), self.filtered, params=self.params), "top")
-
 
 def _fasta_roundtrip(a: Assay) -> DataFrame:
     path = folder(a.spark, "fasta")
@@ -179,10 +99,30 @@ def _regions_array(a: Assay) -> DataFrame:
 
 
 def _report_sink(a: Assay) -> DataFrame:
-    """The report of each gene written as text, and its lines counted as they are read back."""
+    """The report of each gene written as one text file, and read back whole."""
     path = folder(a.spark, "report")
-    tables.write_report(report.report_lines(a.top), path)
-    return a.spark.read.text(path).select("gene", F.md5("value").alias("line_md5")).groupBy("gene", "line_md5").agg(F.count("*").alias("n"))
+    tables.write_report(report.report(_all_genes(a), a.top), path)
+    return tables.read_whole(a.spark, path)
+
+
+def _table_sinks(a: Assay) -> DataFrame:
+    """The CSV, TSV and JSON file of each gene, read back whole: their lines' first fields in order, or the length."""
+    out = None
+    for kind, sep in (("csv", ","), ("tsv", "\t")):
+        path = folder(a.spark, kind)
+        tables.write_delimited(_all_genes(a), a.top, path, sep)
+        own = tables.read_whole(a.spark, path).select(F.lit(kind).alias("kind"), "gene", F.expr(f"array_join(transform(split(trim(TRAILING '\n' FROM text), '\n'), x -> substring_index(x, '{sep}', 2)), ';')").alias("fields"))
+        out = own if out is None else out.unionByName(own)
+    path = folder(a.spark, "json")
+    tables.write_json_arrays(_all_genes(a), a.top, path)
+    rows = F.from_json("text", "array<struct<forward_sequence:string,reverse_sequence:string>>")
+    fields = F.array_join(F.transform(rows, lambda r: F.concat_ws(",", r["forward_sequence"], r["reverse_sequence"])), ";")
+    return out.unionByName(tables.read_whole(a.spark, path).select(F.lit("json").alias("kind"), "gene", fields.alias("fields")))
+
+
+def _all_genes(a: Assay) -> DataFrame:
+    """The genes of the alignment, and one that has no rows."""
+    return a.msa.select("gene").distinct().unionByName(a.spark.createDataFrame([("none at all",)], "gene string"))
 
 
 def _solved(a: Assay) -> DataFrame:
@@ -238,10 +178,11 @@ _QUERIES: dict[str, Callable[[Assay], DataFrame]] = {
     "primer_pairs": lambda a: a.pairs,
     "heterodimer_screen": lambda a: pairs.heterodimer_screen(pairs.candidate_pairs(a.filtered, a.params)),
     "pair_coverage": lambda a: a.coverage.select("gene", "forward_seq", "reverse_seq", "forward_start", "reverse_end", "f_ord", "r_ord", "fully_matched_sequences_count", "failed_forward_count", "failed_reverse_count", "failed_due_to_3prime_count", "total_sequences_count", "pair_coverage_fraction"),
-    "seed_hits": lambda a: specificity.seed_hits(a.filtered.select("sequence"), a.subjects, a.params).select(_HIT),
-    "max_subjects": lambda a: specificity.max_subjects(specificity.seed_hits(a.filtered.select("sequence"), a.subjects, a.params), a.params).groupBy("query_id").agg(F.count("*").alias("hits"), F.countDistinct("subject_id").alias("subjects"), F.max("subject_id").alias("last_subject")),
+    "seed_hits": lambda a: a.found.select(_HIT),
+    "hit_evalues": lambda a: specificity.evalue_filter(a.found, a.params).select("query_id", "subject_id", "sstrand", "qstart", "sstart", "bitscore", "evalue"),
+    "max_subjects": lambda a: a.near_hits.groupBy("query_id").agg(F.count("*").alias("hits"), F.countDistinct("subject_id").alias("subjects"), F.max("subject_id").alias("last_subject")),
     "tail_mismatch": lambda a: a.hits.select("query_id", "subject_id", "sstrand", "qstart", "sstart", "tail_mismatches", "tail_covered", "has_good_3prime_match", "is_off_target"),
-    "target_subjects": lambda a: specificity.classify(specificity.seed_hits(a.filtered.select("sequence"), a.subjects, a.params), a.params, ["subj7"], ["j1"]).groupBy("query_id").agg(F.count_if("is_off_target").alias("off_target"), F.count("*").alias("hits")),
+    "target_subjects": lambda a: specificity.classify(a.found, a.params, ["subj7"], ["j1"]).groupBy("query_id").agg(F.count_if("is_off_target").alias("off_target"), F.count("*").alias("hits")),
     "single_specificity": lambda a: specificity.single_specificity(a.filtered.select("gene", "sequence", "orientation", "msa_start", "msa_end"), a.hits),
     "pair_specificity": lambda a: a.pair_risk,
     "pair_scores": lambda a: a.scored.select("gene", "forward_seq", "reverse_seq", "f_ord", "r_ord", "single_primer_3prime_conservation", "tm_balance_score", "gc_score", "hairpin_penalty", "homodimer_penalty", "heterodimer_penalty", "offtarget_penalty", "amplicon_size_penalty", "final_score"),
@@ -255,7 +196,11 @@ _QUERIES: dict[str, Callable[[Assay], DataFrame]] = {
     "fasta_roundtrip": _fasta_roundtrip,
     "alignment_roundtrip": _alignment_roundtrip,
     "regions_json_array_roundtrip": _regions_array,
-    "report_sink_roundtrip": _report_sink,
+    "report_files": _report_sink,
+    "report_sink_roundtrip": lambda a: _report_sink(a).select("gene", F.explode(F.split("text", "\n")).alias("line")).filter("line != '' AND line NOT LIKE 'Top primer pairs:%' AND line NOT LIKE 'No primer pairs%'").groupBy("gene", F.md5("line").alias("line_md5")).agg(F.count("*").alias("n")),
+    "table_files": _table_sinks,
+    "pair_scores_weighted": lambda a: scoring.score_pairs(a.coverage, a.filtered, scoring=fixtures.WEIGHTED).select("gene", "forward_seq", "reverse_seq", "f_ord", "r_ord", "tm_balance_score", "gc_score", "hairpin_penalty", "amplicon_size_penalty", "final_score"),
+    "gene_reasons": lambda a: status.with_reasons(status.funnel(a.msa.select("gene").distinct(), [("rows", a.msa), ("regions", regions.conserved_regions(a.scores, a.params.with_(min_region_len=22)))]), a.scores, a.params.with_(min_region_len=22)),
     "report_text": lambda a: report.report(a.msa, a.top),
     "min_region_len": lambda a: regions.conserved_regions(a.scores, a.params.with_(min_region_len=16)),
     "structure_override": lambda a: thermo.primer_metrics(a.primers, a.params, _solved(a)).select("gene", "sequence", "orientation", "msa_start", "msa_end", "hairpin_tm", "homodimer_tm", "self_dimer_3p_tm", "passed_basic_filters"),

@@ -28,8 +28,8 @@ def read_alignment(spark: SparkSession, path: str) -> DataFrame:
 def check_alignment(msa: DataFrame) -> None:
     """Raise unless there are rows and all rows of a gene have one length above 0."""
     bad = msa.groupBy("gene").agg(F.min(F.length("aligned")).alias("lo"), F.max(F.length("aligned")).alias("hi")).agg(F.count("*").alias("n"), F.count_if((F.col("lo") != F.col("hi")) | (F.col("lo") == 0)).alias("bad")).first()
-    require(bad.n > 0, "no alignment rows", "check_alignment", "Give at least one aligned sequence.")
-    require(bad.bad == 0, f"{bad.bad} genes with rows of unequal or no length", "check_alignment", "Align the sequences first.")
+    require(bad.n > 0, "check_alignment: no alignment rows")
+    require(bad.bad == 0, f"check_alignment: {bad.bad} genes with rows of unequal or no length; align the sequences first")
 
 
 def write_fasta(records: DataFrame, path: str, seq: str = "seq") -> None:
