@@ -8,8 +8,10 @@ log(blocks) rounds each run holds a range of digests, complete. The answers go b
 a third of all rows share is one entry in each run and a bounded number of rows in each block.
 
 Two rows count as equal if SHA-256 and byte length of their normalised texts agree, checked at every level. Null
-texts count as empty; repeated rows are rows of their own (ties go to the smallest doc_id, and rows that share that
-id are all kept); rows without doc_id are left out or, as in the query and the pipeline, count as
+texts count as empty; repeated rows are rows of their own. The row that stays has the most code points, then the
+smallest doc_id, null last; `kept` marks the rows of that id (or without one, if such a row has the most) and of that
+many code points, so of rows that share the id only the longest stay, and rows equal in both all do; rows without
+doc_id are left out or, as in the query and the pipeline, count as
 rows whose id sorts last; other columns are ignored; an empty table gives no rows.
 """
 
@@ -90,13 +92,13 @@ def _finish(table: pa.Table) -> pa.Table:
     """The last round: the entries of a complete range."""
     keys, chars, ids, counts = _merged(table)
     data = keys.tobytes()
-    return pa.table({"key": pa.array([data[i : i + 40] for i in range(0, len(data), 40)], pa.binary()), "keep_id": pa.array(ids, mask=chars % 2 == 0), "group_size": pa.array(counts)})
+    return pa.table({"key": pa.array([data[i : i + 40] for i in range(0, len(data), 40)], pa.binary()), "keep_id": pa.array(ids, mask=chars % 2 == 0), "most": pa.array(chars), "group_size": pa.array(counts)})
 
 
 def dedup(docs: DataFrame, block_bytes: int = 1 << 20, least_blocks: int = 64, null_ids: bool = False) -> DataFrame:
     """doc_id, keep_id, group_size, kept and text_sha256 for every row of `docs` (doc_id, text).
 
-    With `null_ids` rows without doc_id count and are returned (kept is null where either id is), else they are left out.
+    With `null_ids` rows without doc_id count and are returned, else they are left out.
     """
     small_batches(docs.sparkSession)
     text = F.coalesce(F.col("text"), F.lit(""))
@@ -112,10 +114,10 @@ def dedup(docs: DataFrame, block_bytes: int = 1 << 20, least_blocks: int = 64, n
     runs = rows.groupBy("block").applyInArrow(_make_run, RUN)
     for done in range(BITS, bits, BITS):
         runs = runs.groupBy("node", "prefix").applyInArrow(_merge(done), RUN)
-    best = runs.groupBy("node", "prefix").applyInArrow(_finish, "key binary, keep_id long, group_size long")
+    best = runs.groupBy("node", "prefix").applyInArrow(_finish, "key binary, keep_id long, most long, group_size long")
     answers = rows.select("block", "key").distinct().join(best, "key")
     out = rows.join(answers, ["block", "key"])
-    return out.select("doc_id", "keep_id", "group_size", (F.col("doc_id") == F.col("keep_id")).alias("kept"), F.lower(F.hex(F.substring("key", 1, 32))).alias("text_sha256"))
+    return out.select("doc_id", "keep_id", "group_size", (F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("chars") == F.col("most"))).alias("kept"), F.lower(F.hex(F.substring("key", 1, 32))).alias("text_sha256"))
 
 
 def keep(docs: DataFrame) -> DataFrame:
@@ -139,6 +141,6 @@ def keep(docs: DataFrame) -> DataFrame:
 
 SQL = r"""
 WITH d AS (SELECT doc_id, length(coalesce(text, '')) AS n, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', '', 'g')) AS h FROM documents),
-g AS (SELECT *, first_value(doc_id) OVER (PARTITION BY h ORDER BY n DESC, doc_id) AS keep_id, count(*) OVER (PARTITION BY h) AS group_size FROM d)
-SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, h AS text_sha256 FROM g
+g AS (SELECT *, first_value(doc_id) OVER (PARTITION BY h ORDER BY n DESC, doc_id NULLS LAST) AS keep_id, max(n) OVER (PARTITION BY h) AS most, count(*) OVER (PARTITION BY h) AS group_size FROM d)
+SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AND n = most AS kept, h AS text_sha256 FROM g
 """
