@@ -11,7 +11,8 @@ candidates.
 Queries and candidates meet in blocks (a stated query set against all rows); rows leave a block only as its best k.
 Components become floor(256 x) as whole numbers. Vectors that are null, or hold a null or non-finite component, and
 rows without vec_id take no part; vectors of unequal length are compared as if the shorter ended in zeros; an empty
-vector scores 0. A repeated query id asks once, with the least of its vectors (component by component, in order);
+vector scores 0. Scores are whole numbers of 64 bits: a component of which a vector's length times its square
+doesn't fit fails the job that meets it. An empty table gives no rows. A repeated query id asks once, with the least of its vectors (component by component, in order);
 repeated candidates are candidates of their own; a row with the query's own id is not its candidate. Ties go to the smaller vec_id. Other columns are ignored.
 """
 
@@ -34,7 +35,11 @@ def quantise(rows: DataFrame) -> DataFrame:
     """vec_id and v (array of long); rows that take no part are dropped."""
     x = F.col("embedding")
     ok = F.forall(x, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < F.lit(float("inf"))))
-    return rows.filter(F.col("vec_id").isNotNull() & x.isNotNull()).filter(ok).select(F.col("vec_id").cast("long").alias("vec_id"), F.transform(x, lambda c: F.floor(c.cast("double") * 256).cast("long")).alias("v"))
+    rows = rows.filter(F.col("vec_id").isNotNull() & x.isNotNull()).filter(ok)
+    # 2^62 / size bounds a square of which `size` fit, with room for the floor
+    fits = F.forall(x, lambda c: F.abs(c.cast("double") * 256) < F.sqrt(F.lit(2.0**62) / F.greatest(F.lit(1), F.size(x))))
+    whole = F.transform(x, lambda c: F.floor(c.cast("double") * 256).cast("long"))
+    return rows.select(F.col("vec_id").cast("long").alias("vec_id"), F.when(fits, whole).otherwise(F.raise_error(F.concat(F.lit("top_k: a component is too large for whole scores in vec_id "), F.col("vec_id"))).cast("array<bigint>")).alias("v"))
 
 
 def _matrix(table: pa.Table, name: str = "v") -> np.ndarray:

@@ -39,6 +39,23 @@ def test_components(spark):
     assert got == {x: top(x) for x in up if any(x in e and e[0] != e[1] for e in edges)}
 
 
+def test_a_row_of_every_text_is_kept(spark):
+    """The row that stays is marked, also where a row without id, or one of several rows of the id, has the longest text."""
+    run = lambda rows: sorted((str(r.doc_id), str(r.keep_id), r.group_size, r.kept) for r in op7_exact.dedup(table(spark, rows), least_blocks=5, null_ids=True).collect())
+    assert run([(None, "a  b  "), (5, "a b"), (6, "a b")]) == [("5", "None", 3, False), ("6", "None", 3, False), ("None", "None", 3, True)]
+    assert run([(7, "a b c"), (7, "a  b  c"), (8, "a b c")]) == [("7", "7", 3, False), ("7", "7", 3, True), ("8", "7", 3, False)]
+    assert run([(None, "ab"), (3, "ab"), (3, "ab")]) == [("3", "3", 3, True), ("3", "3", 3, True), ("None", "3", 3, False)]
+
+
+def test_scores_that_do_not_fit(spark):
+    rows = lambda x: spark.createDataFrame([(0, [1.0, 2.0]), (50, [1e6, -1e6]), (3, [x, 1.0])], "vec_id long, embedding array<double>")
+    got = op10_topk.top_k(rows(1e6), F.col("vec_id") % 50 == 0, k=1).collect()
+    assert sorted(tuple(r) for r in got) == [(0, 1, 3, 256 * 256 * 1_000_002), (50, 1, 3, 256_000_000**2 - 256_000_000 * 256)]
+    with pytest.raises(Exception, match="too large for whole scores in vec_id 3"):
+        op10_topk.top_k(rows(1e30), F.col("vec_id") % 50 == 0).collect()
+    assert op10_topk.top_k(rows(1.0).limit(0), F.col("vec_id") % 50 == 0).count() == 0
+
+
 def test_exact_dedup(spark):
     rows = [(5, "a b"), (2, "ab"), (9, "a  b"), (4, "a  b"), (7, None), (3, ""), (8, " \t"), (6, "é\x0bx"), (6, "é\x0bx"), (1, "a\u00a0b"), (10, "x" * 50000)]
     got = sorted(map(tuple, op7_exact.dedup(table(spark, rows), least_blocks=5).collect()))
