@@ -10,6 +10,7 @@ from .joins import spread, spread_join
 
 KEY = ["gene", "sequence", "orientation", "msa_start", "msa_end"]
 WORD = 60  # alignment rows in one mask
+STARTS, LISTS = 16, 2_000  # start columns whose spans are one list, so that its length is bounded; lists that are broadcast
 
 
 def _observed() -> Column:
@@ -53,10 +54,10 @@ def window_masks(primers: DataFrame, msa: DataFrame) -> DataFrame:
     where that column is missing, by seq_idx, which then must be a row's own.
     """
     spans = primers.select("gene", "msa_start", "msa_end").distinct()
-    lists = spans.groupBy("gene", F.pmod(F.hash("msa_start", "msa_end"), F.lit(16)).alias("part")).agg(F.collect_list(F.struct("msa_start", "msa_end")).alias("spans")).drop("part")
+    lists = spans.groupBy("gene", F.expr(f"msa_start div {STARTS}").alias("part")).agg(F.collect_list(F.struct("msa_start", "msa_end")).alias("spans")).drop("part")
     word, bit = _word(F.col("n"))
     rows = msa.select("gene", _row(msa).alias("n"), "aligned")
-    cut = spread_join(rows, lists, ["gene"], most=20_000).select("gene", "n", F.explode("spans").alias("s"), "aligned")
+    cut = spread_join(rows, lists, ["gene"], most=LISTS).select("gene", "n", F.explode("spans").alias("s"), "aligned")
     cut = cut.select("gene", "s.*", F.expr("upper(substring(aligned, s.msa_start + 1, s.msa_end - s.msa_start))").alias("window"), word, bit.alias("bit"))
     return cut.groupBy("gene", "msa_start", "msa_end", "window", "word").agg(F.bit_or("bit").alias("rows"))
 
@@ -130,12 +131,12 @@ def unfit_amplicons(pairs: DataFrame, msa: DataFrame, params: Params = STRICT) -
     """
     spans = pairs.select("gene", "forward_start", "reverse_end").distinct()
     limit = spans.groupBy("gene").agg(F.min(F.col("reverse_end") - F.col("forward_start")).alias("shortest"), F.max("reverse_end").alias("reach"))
-    lists = spans.groupBy("gene", F.pmod(F.hash("forward_start", "reverse_end"), F.lit(16)).alias("part")).agg(F.collect_list(F.struct("forward_start", "reverse_end")).alias("spans")).drop("part")
+    lists = spans.groupBy("gene", F.expr(f"forward_start div {STARTS}").alias("part")).agg(F.collect_list(F.struct("forward_start", "reverse_end")).alias("spans")).drop("part")
     rows = msa.select("gene", _row(msa).alias("n"), "aligned", (F.length("aligned") - F.length(F.replace("aligned", F.lit("-"), F.lit("")))).alias("gaps"))
     odd = rows.join(limit, "gene").filter((F.col("gaps") > F.col("shortest") * params.max_amplicon_gap_fraction) | (F.length("aligned") < F.col("reach")))
     before = "aggregate(split(aligned, ''), array(0), (a, c) -> array_append(a, element_at(a, -1) + CASE WHEN c = '-' THEN 1 ELSE 0 END))"
     odd = odd.select("gene", "n", F.length("aligned").alias("size"), F.expr(before).alias("before"))
-    cut = spread_join(odd, lists, ["gene"], most=20_000).select("gene", "n", "size", "before", F.explode("spans").alias("s")).select("gene", "n", "s.*", F.expr("greatest(0, least(size, s.reverse_end) - s.forward_start)").alias("length"), F.expr("element_at(before, least(size, s.reverse_end) + 1) - element_at(before, least(size, s.forward_start) + 1)").alias("own"))
+    cut = spread_join(odd, lists, ["gene"], most=LISTS).select("gene", "n", "size", "before", F.explode("spans").alias("s")).select("gene", "n", "s.*", F.expr("greatest(0, least(size, s.reverse_end) - s.forward_start)").alias("length"), F.expr("element_at(before, least(size, s.reverse_end) + 1) - element_at(before, least(size, s.forward_start) + 1)").alias("own"))
     word, bit = _word(F.col("n"))
     bad = cut.filter((F.col("length") == 0) | (F.col("own") / F.col("length") > params.max_amplicon_gap_fraction))
     return bad.groupBy("gene", "forward_start", "reverse_end", word).agg(F.bit_or(bit).alias("unfit"))

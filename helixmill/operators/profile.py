@@ -19,10 +19,33 @@ def sanitize(msa: DataFrame) -> DataFrame:
     return msa.withColumn("aligned", F.regexp_replace(F.upper("aligned"), "[^ACGT]", "-"))
 
 
+COUNTS = [*(f"count_{b.lower()}" for b in BASES), "gap_count", "n_rows"]
+
+
+def _block_counts(batches):
+    """Counts of each column over the rows of a block, gene by gene: a block of rows is a matrix of letters."""
+    import numpy as np
+    import pyarrow as pa
+
+    for batch in batches:
+        genes = batch.column(0).dictionary_encode()
+        names, code = genes.dictionary.to_pylist(), genes.indices.to_numpy(zero_copy_only=False)
+        texts = [t.upper().encode("ascii", "replace") for t in batch.column(1).to_pylist()]
+        for g, name in enumerate(names):
+            own = [texts[i] for i in np.flatnonzero(code == g)]
+            size = np.array([len(t) for t in own])
+            width = int(size.max(initial=0))
+            letters = np.frombuffer(b"".join(t.ljust(width, b"\0") for t in own), np.uint8).reshape(len(own), width)
+            counts = [(letters == ord(b)).sum(axis=0) for b in (*BASES, "-")] + [(letters != 0).sum(axis=0)]
+            yield pa.RecordBatch.from_arrays([pa.array([name] * width, pa.string()), pa.array(np.arange(width, dtype=np.int32)), *(pa.array(c.astype(np.int64)) for c in counts)], names=["gene", "col", *COUNTS])
+
+
 def column_counts(msa: DataFrame) -> DataFrame:
-    """Mergeable counts by column: the four bases, gaps and rows."""
-    counts = [F.count_if(F.col("base") == b).alias(f"count_{b.lower()}") for b in BASES]
-    return unpivot(msa).groupBy("gene", "col").agg(*counts, F.count_if(F.col("base") == "-").alias("gap_count"), F.count("*").alias("n_rows"))
+    """Mergeable counts by column: the four bases, gaps and rows. Blocks of rows are counted column by column; what is
+    shuffled is a row for each column, gene and block."""
+    rows = msa.filter("gene IS NOT NULL AND aligned IS NOT NULL").select(F.col("gene").cast("string").alias("gene"), "aligned")
+    blocks = rows.mapInArrow(_block_counts, "gene string, col int, " + ", ".join(f"{c} long" for c in COUNTS))
+    return blocks.groupBy("gene", "col").agg(*(F.sum(c).alias(c) for c in COUNTS))
 
 
 def sanitized_counts(counts: DataFrame) -> DataFrame:
