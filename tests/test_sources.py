@@ -52,3 +52,16 @@ def test_streaming_counts(spark, tmp_path):
     q.stop()
     want = profile.column_profile(spark.read.parquet(str(tmp_path / "in")))
     assert streaming.profile_of(spark.table("counts")).exceptAll(want).count() == 0
+
+
+def test_streaming_counts_in_files(spark, tmp_path):
+    """Counts of rows that arrive in two batches, with a restart between."""
+    schema, source, out = "gene string, seq_idx long, aligned string", str(tmp_path / "in"), str(tmp_path / "out")
+    for i, rows in enumerate(([("g", 0, "AC-"), ("g", 1, "AG-")], [("g", 2, "TG"), ("h", 3, "A")])):
+        spark.createDataFrame(rows, schema).write.mode("append").parquet(source)
+        q = streaming.start_counts_to(spark.readStream.schema(schema).parquet(source), out, str(tmp_path / "check"))
+        q.processAllAvailable()
+        q.stop()
+    want = profile.column_counts(spark.read.parquet(source))
+    got = streaming.counts_so_far(spark, out).select(want.columns)
+    assert got.exceptAll(want).count() == want.exceptAll(got).count() == 0 and got.count() == 4
