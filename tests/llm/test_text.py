@@ -431,6 +431,45 @@ def test_passages_against_all_pairs(spark):
     assert not [j for j, w in missed.items() for i in w if set(range(i, i + op3_chains.K)) <= w]
 
 
+@pytest.mark.parametrize("fillers", [100, 700])
+def test_passages_of_frequent_seeds(spark, fillers):
+    """Four documents share 60 words of which many others hold either half: as many links, however many these are."""
+    rng = random.Random(41)
+    one, two = words(rng, 30), words(rng, 30)
+    texts = [(i, words(rng, 40) + (one if i % 2 else two) + words(rng, 40)) for i in range(fillers)]
+    texts += [(1000 + i, words(rng, 40) + one + two + words(rng, 40)) for i in range(4)]
+    got = op3_chains.passages(table(spark, [(i, " ".join(w)) for i, w in texts])).collect()
+    assert {(r.doc_id, r.start_word, r.end_word) for r in got} == {(i, 40, 100) for i in (1001, 1002, 1003)}
+    assert len({(r.doc_id, r.match_id) for r in got}) == len(got) and {r.match_id for r in got if r.doc_id == 1003} >= {1000}
+
+
+def test_passages_of_frequent_seeds_against_all_pairs(spark):
+    """Passages put together from a few pieces that a thousand documents hold: every repeat of 50 words is found, and
+    changed ones that keep 16 words in a row."""
+    rng = random.Random(43)
+    pieces = [words(rng, 20) for _ in range(4)]
+    texts = {i: words(rng, rng.randint(3, 30)) + pieces[i % 4] + words(rng, rng.randint(3, 30)) for i in range(1500)}
+    changed = {}
+    for i in range(2000, 2040):
+        own = [w for k in rng.sample(range(4), rng.randint(3, 4)) for w in pieces[k]]
+        texts[i] = words(rng, rng.randint(0, 20)) + own + words(rng, rng.randint(0, 20))
+    for i in range(3000, 3010):
+        of = rng.randrange(2000, 2040)
+        changed[i] = of
+        texts[i] = [f"x{i}" if k % 19 == 18 else w for k, w in enumerate(texts[of])]
+    got = op3_chains.passages(table(spark, [(i, " ".join(w)) for i, w in texts.items()])).collect()
+    found = {}
+    for r in got:
+        found.setdefault(r.doc_id, set()).update(range(r.start_word, r.end_word))
+    late = [i for i in texts if i >= 2000]
+    total = missed = 0
+    for j in late:
+        want = set().union(*(_shared_runs(texts[i], texts[j], 50) for i in late if i < j))
+        total, missed = total + len(want), missed + len(want - found.get(j, set()))
+    assert total > 1000 and missed <= 0.01 * total
+    assert all(len(found.get(i, ())) >= 50 for i in changed)
+
+
 def test_passages_apart_in_one_pair(spark):
     rng = random.Random(32)
     one, two = words(rng, 300), words(rng, 300)
