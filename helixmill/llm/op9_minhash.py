@@ -7,10 +7,13 @@
 2. Each document draws BANDS x ROWS weighted samples (Ioffe 2010); a band's samples make a bucket key. Documents
    of the same words are one node.
 3. In a bucket every node is compared with a hub, its least node; buckets that still hold several classes then take
-   HUBS more hubs, and only nodes of another class than their hub's are compared. Where a bucket is mixed after that,
-   the nodes outside its largest class meet each other and that class in blocks of BLOCK, and there only nodes of
-   different classes are compared, a link joining its classes at once; so no group is held whole by a task, pairs
-   within a class are not made, and a large class costs a row for each block of the others.
+   HUBS more hubs, and only nodes of another class than their hub's are compared. The nodes of buckets that are mixed
+   after that get prefixes: their rarest shingles, so many that a pair as similar as `least` has one in common. Nodes
+   of a prefix shingle that stands in several classes are compared with its least node; nodes without such a shingle,
+   and pairs that have one for themselves, are settled then, so documents that share no more than boilerplate end here.
+   Where a bucket is still mixed, the nodes outside its largest class meet each other and that class in blocks of
+   BLOCK, and there only nodes of different classes are compared, a link joining its classes at once; so no group is
+   held whole by a task, pairs within a class are not made, and a large class costs a row for each block of the others.
 4. A pair is a link if the weighted Jaccard similarity of its whole vectors is at least `least`; classes are the
    connected components of the links. With `plain` (the query and the pipeline) a pair is also a link if the Jaccard
    similarity of its sets of shingles is: above RARE a group's own number lowers the weights of what its members
@@ -310,6 +313,42 @@ def _compare_blocks(heavy, least: float, plain: bool):
     return run
 
 
+def _shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The shingles of packed vectors."""
+    for batch in batches:
+        node, data = batch.column("node"), batch.column("vector").to_pylist()
+        many = [int.from_bytes(d[:4], "little") for d in data]
+        ids = np.concatenate([np.frombuffer(d, np.int64, n, 4) for n, d in zip(many, data)]) if data else np.zeros(0, np.int64)
+        yield pa.RecordBatch.from_arrays([node.take(pa.array(np.repeat(np.arange(len(many)), many))), pa.array(ids)], names=["node", "bucket"])
+
+
+def _prefix(heavy, least: float, plain: bool):
+    """Of the shingles that other nodes hold too (shingle and number of nodes), those in a node's prefix.
+
+    The order is one for all nodes: by number of nodes, then by hash. The prefix ends where what follows weighs less
+    than `least` of the whole: the first shingle that a pair has in common in this order is then in both prefixes.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for data, held in zip(batch.column("vector").to_pylist(), batch.column("held")):
+                ids, w = _unpack(data, heavy)
+                n = np.ones(len(ids), np.int64)
+                if held.is_valid:
+                    n[np.searchsorted(ids, held.values.field("bucket").to_numpy().astype(np.uint64))] = held.values.field("n").to_numpy()
+                order = np.lexsort((ids, n))
+                end = 0
+                for x in (w, np.ones(len(ids))) if plain else (w,):
+                    rest = np.cumsum(x[order][::-1])[::-1]
+                    end = max(end, int((rest >= (least - 1e-6) * rest[0]).sum()))
+                own = order[:end]
+                out.append(ids[own[n[own] > 1]].astype(np.int64).tolist())
+            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(out, pa.list_(pa.int64()))], names=["node", "prefix"])
+
+    return run
+
+
 def _of_bucket(members: DataFrame, stat: DataFrame, total: int) -> DataFrame:
     """Join rows of buckets with `stat` (a row for each bucket, with its number n of nodes). Buckets above one in
     HEAVIEST of all `total` rows, of which there are at most HEAVIEST, are broadcast: no task gets a large one whole."""
@@ -374,6 +413,22 @@ def classes(docs: DataFrame, least: float = 0.8, bands: int = BANDS, rows: int =
         links = materialize(compared(left.filter("label != hub.label").select(F.col("node").alias("a"), F.col("hub.node").alias("b"))), "op9-links")
         labels, left = _merged(labels, links), left.select("node", "bucket")
     else:
+        # the prefixes of the nodes left, from the numbers of nodes that hold each shingle
+        some = vectors.join(left.select("node").distinct(), "node", "left_semi")
+        shingles = some.mapInArrow(tidy(_shingles), "node binary, bucket long")
+        often = materialize(shingles.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1"), "op9-often")
+        held = _of_bucket(shingles, often, often.agg(F.sum("n")).first()[0] or 0).groupBy("node").agg(F.collect_list(F.struct("bucket", "n")).alias("held"))
+        prefixes = some.join(held, "node", "left").mapInArrow(tidy(_prefix(heavy, least, plain)), "node binary, prefix array<long>")
+        prefixes = materialize(prefixes.select("node", F.explode("prefix").alias("bucket")), "op9-prefixes")
+
+        def mixed_prefixes(more: str) -> DataFrame:
+            stat = _labelled(prefixes, labels).groupBy("bucket").agg(F.min("node").alias("hub"), F.min_by("label", "node").alias("first"), (F.min("label") != F.max("label")).alias("mixed"), F.count("*").alias("n"))
+            stat = materialize(stat.filter("mixed").filter(more), "op9-mixed")
+            return _of_bucket(prefixes, stat, stat.agg(F.sum("n")).first()[0] or 0)
+
+        pairs = _labelled(mixed_prefixes("n > 1"), labels).filter("label != first").select(F.col("node").alias("a"), F.col("hub").alias("b"))
+        labels = _merged(labels, materialize(compared(pairs), "op9-links"))
+        left = left.join(mixed_prefixes("n > 2").select("node").distinct(), "node", "left_semi")
         left = materialize(_labelled(left, labels), "op9-left")
         size = left.groupBy("bucket", "label").agg(F.count("*").alias("size"))
         largest = size.groupBy("bucket").agg(F.max_by("label", F.struct("size", "label")).alias("largest"), F.max("size").alias("most"), F.sum("size").alias("n")).filter("most < n")

@@ -288,6 +288,23 @@ def test_weighted_samples_estimate_jaccard():
     assert abs(((sa & low) == (sb & low)).mean() - true) < 0.12
 
 
+def test_near_classes_of_shared_boilerplate(spark, monkeypatch):
+    """Documents that share three quarters of their words are no copies; those that also share the rest are, and
+    copies among them that no hub meets are found by their rare shingles, without meeting all others in blocks."""
+    rng = random.Random(52)
+    shared = words(rng, 300, "abcdefghijklmnop")
+    own = [words(rng, 100, "abcdefghijklmnop") for _ in range(150)]
+    text = lambda w: " ".join(shared[:150] + w + shared[150:])
+    rows = [(i, text(w)) for i, w in enumerate(own)] + [(1000 + i, text([*own[i][:50], "other", *own[i][51:]])) for i in range(0, 150, 5)]
+    def no_blocks(*_):
+        return lambda table: 1 / 0
+
+    monkeypatch.setattr(op9_minhash, "_compare_blocks", no_blocks)
+    for plain in (False, True):
+        got = {r.doc_id: r.class_id for r in op9_minhash.classes(table(spark, rows), plain=plain).collect()}
+        assert got == {i: i - 1000 if i >= 1000 else i for i, _ in rows}
+
+
 def test_passages(spark):
     rng = random.Random(3)
     shared = words(rng, 80)
