@@ -4,7 +4,9 @@ A rule (host, path) becomes the interval of keys that begin with `reversed host
 its host and each parent domain of it. Urls and rules are range-partitioned and sorted by key together; in each
 partition a sweep keeps a stack of the active nested rules, whose top is the longest rule that holds the key.
 Rules that began in an earlier partition are found by an equi-join of the prefixes of each partition's first key.
-Only distinct urls are swept, so a url that many pages share costs one sweep; keys of a hot host spread by path.
+Only distinct urls are swept, so a url that many pages share costs one sweep; keys of a hot host spread by path. The
+verdicts of urls that stand often are broadcast (at most OFTEN of them), so pages of one url, or without one, need no
+one task.
 
 A null url or one without `://` has empty host and path and no rule. The verdict without a rule is the method's:
 allow. A null page_id stays null. Of several fitting rules the one with the longest text wins; of equal rules, block. Repeated pages give
@@ -21,6 +23,7 @@ from .common import materialize, partitions_for
 
 #: (verdict, host/path)
 RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
+OFTEN = 1000
 _SWEPT = "url string, rule string, verdict string"
 
 
@@ -58,7 +61,9 @@ def _sweep(table: pa.Table) -> pa.Table:
 def judge(pages: DataFrame, rules: DataFrame, partition_bytes: int = 4 << 20) -> DataFrame:
     """page_id, host, path, rule and verdict of every row of `pages` (page_id, url); `rules` has rule and verdict."""
     pages = with_host_path(pages.select("page_id", "url"))
-    urls = pages.select("url", "host", "path").filter("url IS NOT NULL AND host != ''").distinct()
+    named = "url IS NOT NULL AND host != ''"
+    counted = pages.filter(named).groupBy("url", "host", "path").agg(F.count("*").alias("n"))
+    urls = counted.select("url", "host", "path")
     labels = F.split("host", "\\.")
     own = urls.withColumn("labels", labels).select("url", "path", F.explode(F.transform(F.sequence(F.lit(1), F.size("labels")), lambda i: F.slice("labels", -i, i))).alias("part_of"))
     none = F.lit(None).cast("string")
@@ -73,7 +78,13 @@ def judge(pages: DataFrame, rules: DataFrame, partition_bytes: int = 4 << 20) ->
     carried = inside.join(starts, "key").select(ranged.columns)
     swept = ranged.unionByName(carried).groupBy("part").applyInArrow(_sweep, _SWEPT)
     best = swept.groupBy("url").agg(F.max(F.struct(F.length("rule").alias("n"), (F.col("verdict") == "block").alias("b"), "rule", "verdict")).alias("best"))
-    out = pages.join(best, "url", "left")
+    best = materialize(best, "op4-best")
+    # urls of more than one in OFTEN of all rows, of which there are at most OFTEN, are broadcast
+    often = materialize(counted.filter(F.col("n") * OFTEN > pages.count()).select("url"), "op4-often")
+    named, rest = pages.filter(named), pages.filter(f"NOT ({named})")
+    out = named.join(F.broadcast(often.join(best, "url", "left")), "url")
+    out = out.unionByName(named.join(F.broadcast(often), "url", "left_anti").join(best, "url", "left"))
+    out = out.unionByName(rest.withColumn("best", F.lit(None).cast(best.schema["best"].dataType)))
     return out.select("page_id", "host", "path", F.col("best.rule").alias("rule"), F.coalesce("best.verdict", F.lit("allow")).alias("verdict"))
 
 
