@@ -119,17 +119,17 @@ def pieces(docs: DataFrame, path: str, end_id: int = 0, capacity: int = 2048) ->
 
 
 def pack(found: DataFrame, capacity: int = 2048, block_bytes: int = 2 << 20) -> DataFrame:
-    """Add sequence_id and offset to pieces (a stored table: it is read twice)."""
+    """Add sequence_id and offset to pieces (a stored table with a number of its own for each row: it is read twice)."""
     spark = found.sparkSession
     blocks = partitions_for(found, block_bytes, 16)
-    found = found.withColumn("block", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(blocks)))
+    found = found.withColumn("block", F.pmod(F.xxhash64("row"), F.lit(blocks)))
     counts = found.groupBy("length", "block").agg(F.count("*").alias("n"))
     totals = {r.length: r.n for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # at most `capacity` rows
     rows = plan(totals, capacity)
     steps = spark.createDataFrame(rows or [(0, 0, 0, 0, 1, 0)], "length long, first_rank long, placed long, first_bin long, k long, at long")
     before = Window.partitionBy("length").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     base = counts.select("length", "block", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
-    own = Window.partitionBy("block", "length").orderBy("doc_id", "piece", "start")
+    own = Window.partitionBy("block", "length").orderBy("row")
     ranked = found.withColumn("own", F.row_number().over(own) - 1).join(base, ["block", "length"]).withColumn("rank", F.col("base") + F.col("own"))
     # The plan is bounded by the capacity, not by the input; it is broadcast.
     i = F.col("rank") - F.col("first_rank")
@@ -138,4 +138,4 @@ def pack(found: DataFrame, capacity: int = 2048, block_bytes: int = 2 << 20) ->
 
 
 def best_fit(docs: DataFrame, path: str, end_id: int = 0, capacity: int = 2048) -> DataFrame:
-    return pack(materialize(pieces(docs, path, end_id, capacity), "op5-pieces"), capacity)
+    return pack(materialize(pieces(docs, path, end_id, capacity).withColumn("row", F.monotonically_increasing_id()), "op5-pieces"), capacity)

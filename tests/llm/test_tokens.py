@@ -178,3 +178,17 @@ def test_packing(docs, ids, capacity):
         assert [o for o, _ in sorted(b)] == np.cumsum([0, *(n for _, n in sorted(b))])[:-1].tolist() and sum(n for _, n in b) <= capacity
     assert len(bins) == _best_fit_decreasing([r.length for r in rows], capacity)
     assert docs.select(F.count("*")).first()[0] == len({(r.doc_id, r.piece) for r in rows if r.piece == 0}) + 1
+
+
+def test_blocks_of_rows_without_id(spark):
+    """Rows without doc_id, of one text, are dealt to blocks by numbers of their own and packed whole."""
+    docs = spark.createDataFrame([(None, "same words")] * 300 + [(7, "")] * 200, "doc_id long, text string").repartition(4)
+    rows = op5_packing.best_fit(docs, PATH, capacity=16).collect()
+    assert len(rows) == 500
+    bins = {}
+    for r in rows:
+        bins.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for own in bins.values():
+        own.sort()
+        assert own[0][0] == 0 and all(a + n == b for (a, n), (b, _) in zip(own, own[1:])) and sum(own[-1]) <= 16
+    assert len(bins) == _best_fit_decreasing([r.length for r in rows], 16)
