@@ -256,8 +256,7 @@ def keep(docs: DataFrame, model: tuple[list[str], dict | None]) -> DataFrame:
     small_batches(docs.sparkSession)
     langs, weights = model
     if weights is None:
-        letters = F.udf(lambda t: any(map(str.isalpha, t)), "boolean")
-        return docs.filter(F.col("text").isNotNull() & letters(F.coalesce(F.col("text"), F.lit(""))))
+        return docs.filter(F.col("text").rlike(r"\p{L}"))
 
     id_at, text_at = docs.columns.index("doc_id"), docs.columns.index("text")
 
