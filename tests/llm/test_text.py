@@ -123,6 +123,16 @@ def test_urls(spark):
     assert op4_urls.judge(table(spark, [], "page_id long, url string"), frame).count() == 0
 
 
+def test_a_url_of_a_third_of_all_pages(spark):
+    """Frequent urls with a rule and without one, null urls, and repeated page ids: a row for each page."""
+    many = ["http://a.example.net/en/x", "http://plain.invalid/", None, "no host"]
+    rows = [(i % 700, many[i % 4]) for i in range(2000)] + [(None, "http://b.net/"), (None, None)] + [(5000 + i, f"https://h{i}.net/{i}") for i in range(50)]
+    rules = spark.createDataFrame(op4_urls.RULES, "verdict string, rule string")
+    got = collections.Counter((r.page_id, r.rule, r.verdict) for r in op4_urls.judge(table(spark, rows, "page_id long, url string"), rules).collect())
+    rule = lambda u: ("example.net/en/", "allow") if u == many[0] else ("net/", "block") if u and ".net/" in u else (None, "allow")
+    assert got == collections.Counter((i, *rule(u)) for i, u in rows)
+
+
 def _spans(text):
     assign = re.compile(r"""((?:[pP][aA][sS][sS][wW][oO][rR][dD])|(?:[pP][aA][sS][sS][wW][dD])|(?:[sS][eE][cC][rR][eE][tT])|(?:[tT][oO][kK][eE][nN])|(?:[aA][pP][iI]_?[kK][eE][yY]))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
     find = lambda k, o, p, ok: [(m.start(), o, m.end(), k) for m in re.finditer(p, text) if ok(m)]
