@@ -1,6 +1,7 @@
 """Assay operators on hand-written rows."""
 
 import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -230,6 +231,29 @@ def test_hits_and_risk(spark):
     assert specificity.classify(specificity.seed_hits(q, s), substrings=["s1"], ids=["s2"]).filter("is_off_target").count() == 0
 
 
+@pytest.mark.parametrize("at_once,most", [(200_000, 4_000_000), (50, 20)])
+def test_scanned_hits_are_those_of_a_join(spark, monkeypatch, at_once, most):
+    rng = random.Random(5)
+    base = "".join(rng.choices("ACGT", k=80))
+    q = spark.createDataFrame([(base[i : i + 20],) for i in (0, 13, 31, 60)] + [("ACGTTGCAACGT",), ("AAAAAAAAAAAA",), ("acgtNacgtacgt",), ("ACG",), (None,)], "sequence string")
+    near = lambda: "".join(c if rng.random() < 0.9 else rng.choice("ACGTN") for c in base)
+    seqs = [near() + base[::-1].translate(str.maketrans("ACGT", "TGCA")) for _ in range(12)] + ["A" * 40, "é" + base.lower() + "Ä" + base[5:30], "", "ACG", None]
+    s = spark.createDataFrame([(f"s{i}", x) for i, x in enumerate(seqs)] + [(None, base)], "subject_id string, seq string")
+    scan, params = specificity._scan, STRICT.with_(max_subjects=3, max_evalue=0.1)
+    monkeypatch.setattr(specificity, "_scan", lambda o, k, least=None: scan(o, k, least, at_once, most))
+    found = specificity.seed_hits(q, s, params)
+    few = specificity.seed_hits(q, s, params, significant=True)
+    assert "MapInArrow" in found._jdf.queryExecution().toString()  # no join of words, so no shuffle of hits
+    best = {(r.query_id, r.subject_id): max(x.align_len - x.mismatch for x in few.collect() if (x.query_id, x.subject_id) == (r.query_id, r.subject_id)) for r in few.collect()}
+    got = specificity.max_subjects(few, params).collect()
+    lead = {k for k in best if sum((-v, j[1]) < (-best[k], k[1]) for j, v in best.items() if j[0] == k[0]) < 3}
+    assert {(r.query_id, r.subject_id) for r in got} == lead and len(got) == sum((r.query_id, r.subject_id) in lead for r in few.collect())
+    found = sorted(map(tuple, found.collect()))
+    assert sorted(map(tuple, few.collect())) == sorted(r for r in found if r[-1] <= 0.1) != found
+    monkeypatch.setattr(specificity, "MOST", 3)
+    assert sorted(map(tuple, specificity.seed_hits(q, s, params).collect())) == found
+
+
 def test_gapped_tail(spark):
     cols = "query_id string, subject_id string, pident double, align_len int, qstart int, qend int, qlen int, qseq string, sseq string"
     h = spark.createDataFrame([("q", "s", 90.0, 13, 1, 12, 12, "ACGTACG-TACGT", "ACGTACGTTACGT"), ("q", "t", 90.0, 12, 1, 12, 12, "ACGTACGTACGT", "ACGTACGTA-NT")], cols)
