@@ -505,6 +505,36 @@ def test_passages_apart_in_one_pair(spark):
     assert sorted((r.start_word, r.end_word) for r in got if r.doc_id == 2) == [(0, 300), (700, 1000)]
 
 
+def test_chains_are_parted_as_by_whole_alignments(monkeypatch):
+    rng = np.random.default_rng(8)
+    edit, asked = op3_chains._edit, []
+    monkeypatch.setattr(op3_chains, "_edit", lambda a, b: (asked.append((a.tobytes(), b.tobytes())), edit(a, b))[1])
+    found = 0
+    for wide in (3, 12, 60) * 8:
+        a, b, segments = [rng.integers(0, 40, 20)], [rng.integers(0, 40, 20)], []
+        for _ in range(12):
+            own = rng.integers(100, 10**6, rng.integers(4, 40))
+            segments.append((sum(map(len, a)), sum(map(len, b)), len(own)))
+            for side in (a, b):
+                side += (own, rng.integers(0, 40, rng.integers(0, wide)))
+        a, b = (np.concatenate(x).astype(np.uint32) for x in (a, b))
+        want, parts = [], [segments]
+        while parts:
+            part = parts.pop()
+            *ends, same = op3_chains.align(a, b, part, edit)
+            if ends[1] - ends[0] >= 50 and same >= 0.8 - 1e-9:
+                want.append((*ends, same))
+            elif ends[1] - ends[0] >= 50 and len(part) > 1:
+                gap = lambda i: max(part[i][k] - part[i - 1][k] - part[i - 1][2] for k in (0, 1))  # noqa: B023, E731
+                cut = max(range(1, len(part)), key=gap)
+                parts += (part[cut:], part[:cut])
+        asked.clear()
+        assert op3_chains.parted(a, b, segments, 50, 0.8) == want
+        assert len(asked) <= len(segments) - 1  # no gap is compared twice
+        found += len(want)
+    assert found > 20
+
+
 def test_passages_of_very_long_texts(spark):
     rng = random.Random(33)
     long = words(rng, 20000, "abcdefghijklmnop")
