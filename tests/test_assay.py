@@ -3,6 +3,7 @@
 import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -10,6 +11,7 @@ from helixmill.functions import thermo as T
 from helixmill.functions.sequences import ambiguous_fraction, clip01, gc_clamp, gc_percent, linear_penalty, longest_run, reverse_complement
 from helixmill.operators import candidates, coverage, joins, pairs, profile, records, regions, report, scoring, specificity, status, thermo
 from helixmill.params import RELAXED, STRICT, Params
+from helixmill.plans import fixtures
 
 
 def rows(df, *cols):
@@ -254,6 +256,21 @@ def test_scanned_hits_are_those_of_a_join(spark, monkeypatch, at_once, most):
     assert sorted(map(tuple, specificity.seed_hits(q, s, params).collect())) == found
 
 
+def test_derived_rows_follow_the_recipe(spark, tmp_path):
+    ids = [*range(0, 3000, 7), -1, -250, -12345, 10**12 + 3, None]
+    docs = spark.createDataFrame([(i, "t", (None, "en", "fr")[n % 3], "s", 1) for n, i in enumerate(ids)], "doc_id long, text string, lang string, source string, n_chars long")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    recipe = """concat_ws('', transform(sequence(0L, 239L), c -> CASE WHEN (doc_id*7919 + c*104729 + doc_id*c*31) % 997 % 211 = 1 THEN '-' WHEN (doc_id*7919 + c*104729 + doc_id*c*31) % 997 % 503 = 2 THEN 'N' ELSE
+        substr('ACGT', cast(((instr('0123456789abcdef', substr(md5(concat(gene, ':', c)), 1, 1)) - 1) % 4 + CASE WHEN (c % 40 >= 30 AND (doc_id*7919 + c*104729 + doc_id*c*31) % 997 % 100 < 40)
+        OR (doc_id*7919 + c*104729 + doc_id*c*31) % 997 % 100 < 3 THEN 1 + (doc_id*7919 + c*104729 + doc_id*c*31) % 997 % 3 ELSE 0 END) % 4 as int) + 1, 1) END))"""
+    want = docs.selectExpr("coalesce(lang, 'none') AS gene", "doc_id").selectExpr("gene", "doc_id AS seq_idx", "'subj' || doc_id AS id", f"{recipe} AS aligned")
+    got = fixtures.msa(spark, str(tmp_path))
+    assert got.columns == want.columns and sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    assert "lambda" not in got._jdf.queryExecution().toString()  # not 240 interpreted steps a row
+    big = fixtures._bases([10**18], np.zeros((1, 240), int))[0]
+    assert big == fixtures._bases([10**18 % 997 + 997], np.zeros((1, 240), int))[0]
+
+
 def test_gapped_tail(spark):
     cols = "query_id string, subject_id string, pident double, align_len int, qstart int, qend int, qlen int, qseq string, sseq string"
     h = spark.createDataFrame([("q", "s", 90.0, 13, 1, 12, 12, "ACGTACG-TACGT", "ACGTACGTTACGT"), ("q", "t", 90.0, 12, 1, 12, 12, "ACGTACGTACGT", "ACGTACGTA-NT")], cols)
