@@ -37,7 +37,7 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Rows without doc_id, or that share one, are compared as rows of their own; null and empty texts are alone in
     their class; texts under five words are near copies of equal ones alone; an empty table stays empty.
     """
-    return op9_minhash.keep(docs, plain=True)
+    return op9_minhash.keep(docs, plain=True, share=None)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

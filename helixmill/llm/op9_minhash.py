@@ -1,9 +1,10 @@
 """Near-duplicate classes by improved consistent weighted sampling over TF-IDF shingles.
 
-1. Shingles are five words. Their weight is (1 + ln tf) x idf, where idf is 1 for shingles in at most RARE of all
-   documents and falls as ln(N / df) / ln(1 / RARE) beyond. Only shingles above that share need a count, and there
-   are at most (shingles per document) / RARE of them: each block of documents names those above the share within
-   it (one above it overall is above it in some block), and a second scan counts what was named, exactly.
+1. Shingles are five words. Their weight is (1 + ln tf) x idf, where idf is ln(N / df) / ln N with `share` None (the
+   query and the pipeline): the inverse document frequency, in units of that of a shingle of one document (a unit
+   changes no similarity), LEAST at least. With a share it is ln(N / df) / ln(1 / share), 1 at most. Every shingle is
+   counted: those of all texts travel packed to a part of their hash, are counted there, and the numbers of those in
+   several documents travel back to their texts, by a hash of the text; so neither a task nor the driver holds them all.
 2. Each document draws BANDS x ROWS weighted samples (Ioffe 2010); a band's samples make a bucket key. Documents
    of the same words are one node.
 3. In a bucket every node is compared with a hub, its least node; buckets that still hold several classes then take
@@ -16,8 +17,8 @@
    held whole by a task, pairs within a class are not made, and a large class costs a row for each block of the others.
 4. A pair is a link if the weighted Jaccard similarity of its whole vectors is at least `least`; classes are the
    connected components of the links. With `plain` (the query and the pipeline) a pair is also a link if the Jaccard
-   similarity of its sets of shingles is: above RARE a group's own number lowers the weights of what its members
-   share, but not of their edits. Bands are then drawn from unit weights too.
+   similarity of its sets of shingles is: a group's own number lowers the weights of what its members share, but not
+   of their edits. Bands are then drawn from unit weights too.
 
 Null and empty texts, and those of white space only, are alone in their class. Texts under five words have one
 shingle, of all their words. Repeated rows share their class; a row without doc_id has the class of its text if
@@ -35,13 +36,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, member_filter, mix, shingle_hashes, small_batches, tidy, word_hashes
+from .common import give_back, hash_long, materialize, member_filter, mix, partitions_for, shingle_hashes, small_batches, tidy, word_hashes
 from .graph import components
+from .op3_chains import PACK, _batch, _by, _starts, unpack
 
-WORDS, BANDS, ROWS, RARE, BLOCK, HUBS, HEAVIEST = 5, 10, 3, 0.1, 256, 2, 1000
+WORDS, BANDS, ROWS, RARE, LEAST, BLOCK, HUBS, HEAVIEST = 5, 10, 3, 0.1, 0.05, 256, 2, 1000
 _ID = np.uint64((1 << 52) - 1)
 LINK = "a binary, b binary, similarity double"
-_SLICE = 1 << 20  # heavy shingles that go to a scan at once
 
 
 def _vectors(texts: list[str], chars: int = 500_000) -> Iterator[tuple[int, list[bytes], np.ndarray, np.ndarray, np.ndarray]]:
@@ -66,75 +67,94 @@ def _vectors(texts: list[str], chars: int = 500_000) -> Iterator[tuple[int, list
         lo = hi
 
 
-def _named(share: float, block_docs: int):
-    """Local heavy shingles of blocks of documents, and (hash -1) the documents."""
+def _occurrences(parts: int, most: int = 1_500_000):
+    """The shingles of the texts (key, text) by part, packed: the text's key, the shingle, and the rows with that text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
+        held: list[tuple[np.ndarray, ...]] = []
         docs = size = 0
 
         def close() -> pa.RecordBatch:
-            ids, n = np.unique(np.concatenate(held), return_counts=True) if held else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
-            ok = n > share * docs
-            ids, n = np.append(ids[ok].astype(np.int64), -1), np.append(n[ok], docs)
-            return pa.RecordBatch.from_arrays([pa.array(ids), pa.array(n.astype(np.int64))], names=["shingle", "n"])
+            key, of, ids = (np.concatenate(c) for c in zip(*held))
+            # a text that the block repeats goes out once, with its number
+            _, first, back, n = np.unique(key, return_index=True, return_inverse=True, return_counts=True)
+            own = first[back[of]] == of
+            of, ids = of[own], ids[own].astype(np.int64)
+            return _batch(_by(ids % parts, 0, key[of], ids // parts, n[back[of]]))
 
         for batch in batches:
-            for _, digest, _, ids, _ in _vectors(batch.column(0).to_pylist()):
-                held.append(ids)
-                docs += sum(map(bool, digest))
-                size += len(ids)
-            if size >= 4_000_000 and docs >= block_docs:
+            keys, texts = batch.column(0).to_numpy(), batch.column(1).to_pylist()
+            for lo, digest, doc, ids, _ in _vectors(texts):
+                held.append((keys[lo : lo + len(digest)], doc + docs, ids))
+                docs, size = docs + len(digest), size + len(ids)
+            if size >= most:
                 yield close()
                 held, docs, size = [], 0, 0
-        yield close()
+        if held:
+            yield close()
 
     return run
 
 
-def _counted(named: np.ndarray):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(len(named), np.int64)
-        for batch in batches:
-            for _, _, _, ids, _ in _vectors(batch.column(0).to_pylist()):
-                at = np.searchsorted(named, ids)
-                at[at == len(named)] = 0
-                total += np.bincount(at[named[at] == ids], minlength=len(named))
-        has = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(named[has].astype(np.int64)), pa.array(total[has])], names=["shingle", "n"])
+def _count(parts: int):
+    """The documents of each shingle of a part, packed by part of the text's key, for shingles in several: key, shingle, df."""
+
+    def run(table: pa.Table) -> pa.Table:
+        key, ids, n = unpack(table.column("data").to_pylist(), 3)
+        order = np.argsort(ids, kind="stable")
+        key, ids, n = key[order], ids[order], n[order]
+        begin = _starts(ids)
+        df = np.repeat(np.add.reduceat(n, begin), np.diff(np.append(begin, len(ids)))) if len(ids) else ids
+        several = df > 1
+        key, ids, df = key[several], ids[several], df[several]
+        order = np.lexsort((ids, key))
+        key, ids, df = key[order], ids[order], df[order]
+        rows = _by(hash_long(key).astype(np.int64) % parts, 0, key, ids * parts + table.column("key")[0].as_py(), df)
+        give_back()
+        return pa.Table.from_batches([_batch(rows)])
 
     return run
 
 
-def heavy_shingles(texts: DataFrame, share: float = RARE) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the shingles in more than `share` of the documents, in order, and their idf; exact over all texts.
+def _by_text(table: pa.Table) -> pa.Table:
+    """For each text of a part its shingles in several documents: 64-bit hashes, in order, then 32-bit numbers of documents."""
+    key, ids, df = unpack(table.column("data").to_pylist(), 3)
+    order = np.lexsort((ids, key))
+    key, ids, df = key[order], ids[order], df[order]
+    one = _starts(key, ids)  # copies of a text come from several blocks
+    key, ids, df = key[one], ids[one], df[one]
+    begin = _starts(key)
+    cuts = np.append(begin, len(key)).tolist()
+    out = pa.table([pa.array(key[begin]), pa.array([ids[a:b].astype("<u8").tobytes() + df[a:b].astype("<u4").tobytes() for a, b in zip(cuts, cuts[1:])], pa.binary())], names=["key", "frequent"])
+    give_back()
+    return out
 
-    At most (mean distinct shingles of a document) / share come back, whatever the number of documents.
-    """
-    named = materialize(texts.select("text").mapInArrow(tidy(_named(share, 500)), "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n")), "op9-named")
-    docs = named.filter("shingle = -1").agg(F.sum("n")).first()[0] or 0
-    ids = named.filter("shingle >= 0").select("shingle", F.pmod(F.xxhash64("shingle"), F.lit(max(1, -(-named.count() // _SLICE)))).alias("part"))
-    slices = (ids.agg(F.max("part")).first()[0] if docs else None)
-    out: list[tuple[int, int]] = []
-    for part in range(slices + 1) if slices is not None else ():
-        some = np.sort(np.array([r.shingle for r in ids.filter(F.col("part") == part).collect()], np.uint64))
-        found = texts.select("text").mapInArrow(tidy(_counted(some)), "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n"))
-        out += [(r.shingle, r.n) for r in found.filter(F.col("n") > share * docs).collect()]
-    out.sort()
-    idf = np.array([np.log(docs / n) / np.log(1 / share) for _, n in out])
-    return np.array([i for i, _ in out], np.uint64), np.maximum(idf, 0.05)
-
-
-def weights(ids: np.ndarray, count: np.ndarray, heavy: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
-    """TF-IDF weight of each shingle."""
+
+def document_frequencies(texts: DataFrame, part_bytes: int = 4 << 20) -> DataFrame:
+    """Of texts(key, text) for each key that has any: the shingles that several documents hold, and in how many (all
+    rows count), as _by_text packs them; exact over all texts."""
+    parts = partitions_for(texts, part_bytes, 16)
+    grouped_by = lambda df: df.repartition(parts, "key").groupBy("key")
+    scanned = texts.select("key", "text").mapInArrow(tidy(_occurrences(parts)), PACK)
+    counted = grouped_by(scanned).applyInArrow(_count(parts), PACK)
+    return materialize(grouped_by(counted).applyInArrow(_by_text, "key long, frequent binary"), "op9-frequencies")
+
+
+def idf(df: np.ndarray, docs: int, share: float | None) -> np.ndarray:
+    """Inverse document frequency, 1 for one document, or (with a share) for up to that share of all documents."""
+    return np.clip(np.log(docs / df) / np.log(1 / share if share else max(docs, 2)), LEAST, 1)
+
+
+def weights(doc: np.ndarray, ids: np.ndarray, count: np.ndarray, frequent: list[bytes | None], docs: int, share: float | None) -> np.ndarray:
+    """TF-IDF weight of each shingle of a run of documents, from the numbers that _by_text gives for each of these."""
     w = np.ones(len(ids))
     more = np.flatnonzero(count > 1)
     w[more] = 1 + np.log(count[more])
-    if len(heavy[0]):
-        at = np.searchsorted(heavy[0], ids)
-        at[at == len(heavy[0])] = 0
-        hit = np.flatnonzero(heavy[0][at] == ids)
-        w[hit] *= heavy[1][at[hit]]
+    own = [(i, np.frombuffer(f, "<u8", len(f) // 12), np.frombuffer(f, "<u4", len(f) // 12, len(f) // 12 * 8)) for i, f in enumerate(frequent) if f]
+    if own:
+        name = lambda doc, ids: doc.astype(np.uint64) << np.uint64(52) | ids
+        asked = name(np.repeat([i for i, _, _ in own], [len(x) for _, x, _ in own]), np.concatenate([x for _, x, _ in own]))
+        w[np.searchsorted(name(doc, ids), asked)] *= idf(np.concatenate([n for _, _, n in own]), docs, share)
     return w
 
 
@@ -152,7 +172,8 @@ def samples(doc: np.ndarray, ids: np.ndarray, w: np.ndarray, k: int, at_once: in
     """Documents that have shingles, and their k consistent weighted samples (documents, k) as 64-bit numbers.
 
     For a shingle of weight w: t = floor(ln w / r + b), ln y = r (t - b), ln a = ln c - ln y - r; the shingle with
-    the least a is drawn, together with its t. The drawn number holds ln a (order kept) above the shingle's name.
+    the least a is drawn, together with its t. The drawn number holds ln a (order kept) above the shingle's name, which
+    is made for what is drawn alone; equal ln a are ordered as the document's shingles are, by hash.
     """
     first = np.flatnonzero(np.concatenate(([True], doc[1:] != doc[:-1]))) if len(doc) else np.zeros(0, np.int64)
     out = np.empty((len(first), k), np.uint64)
@@ -163,7 +184,7 @@ def samples(doc: np.ndarray, ids: np.ndarray, w: np.ndarray, k: int, at_once: in
         hi = max(hi, lo + 1)
         a, b = first[lo], ends[hi - 1]
         s = mix(ids[a:b])
-        name = s & np.uint64(0xFFFFFFFF)
+        place = np.arange(b - a, dtype=np.uint64)
         lnw = np.log(w[a:b]).astype(np.float32)
         odd = np.flatnonzero(lnw)
         starts = first[lo:hi] - a
@@ -173,15 +194,15 @@ def samples(doc: np.ndarray, ids: np.ndarray, w: np.ndarray, k: int, at_once: in
             r = _R[parts[:, 3]]
             beta = parts[:, 1] * np.float32(2**-16)
             lna = _LNC[parts[:, 2]] - r * (1 - beta)  # where ln w = 0, t is 0
-            own = name
             if len(odd):
                 ro, bo = r[odd], beta[odd]
-                t = np.floor(lnw[odd] / ro + bo)
-                lna[odd] = _LNC[parts[odd, 2]] - ro * (t - bo + 1)
-                own = name.copy()
-                own[odd] = mix(s[odd] + (t.astype(np.int64) * 2 + 1).astype(np.uint64)) & np.uint64(0xFFFFFFFF)
-            packed = (np.clip(lna, -1000, 1000) + np.float32(1024)).view(np.uint32).astype(np.uint64) << np.uint64(32) | own
-            out[lo:hi, j] = np.minimum.reduceat(packed, starts)
+                lna[odd] = _LNC[parts[odd, 2]] - ro * (np.floor(lnw[odd] / ro + bo) - bo + 1)
+            packed = (np.clip(lna, -1000, 1000) + np.float32(1024)).view(np.uint32).astype(np.uint64) << np.uint64(32) | place
+            least = np.minimum.reduceat(packed, starts)
+            at = (least & np.uint64(0xFFFFFFFF)).astype(np.int64)
+            t = np.floor(lnw[at] / r[at] + beta[at]).astype(np.int64)
+            name = np.where(lnw[at] != 0, mix(s[at] + (t * 2 + 1).astype(np.uint64)), s[at])
+            out[lo:hi, j] = least & ~np.uint64(0xFFFFFFFF) | name & np.uint64(0xFFFFFFFF)
         lo = hi
     return doc[first], out
 
@@ -197,12 +218,12 @@ def _keys(got: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return keys
 
 
-def _sign(heavy, bands: int, rows: int, plain: bool):
+def _sign(docs: int, share: float | None, bands: int, rows: int, plain: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column(0).to_pylist()
+            ids, frequent = batch.column(0).to_pylist(), batch.column(2).to_pylist()
             for lo, digest, doc, sh, count in _vectors(batch.column(1).to_pylist()):
-                w = weights(sh, count, heavy)
+                w = weights(doc, sh, count, frequent[lo : lo + len(digest)], docs, share)
                 have, got = samples(doc, sh, w, bands * rows)
                 by = dict(zip(have.tolist(), _keys(got, bands, rows).view(np.int64).tolist()))
                 if plain:
@@ -218,25 +239,31 @@ def _sign(heavy, bands: int, rows: int, plain: bool):
     return run
 
 
-def _pack_vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Whole vectors of the documents, for comparison: 52-bit hashes as 7 byte planes would save little; plain."""
-    for batch in batches:
-        for _, digest, doc, sh, count in _vectors(batch.column(0).to_pylist()):
-            cuts = np.searchsorted(doc, np.arange(len(digest) + 1)).tolist()
-            data = []
-            for a, b in zip(cuts, cuts[1:]):
-                more = np.flatnonzero(count[a:b] > 1)
-                data.append(np.uint32(b - a).tobytes() + sh[a:b].tobytes() + more.astype("<u4").tobytes() + count[a:b][more].astype("<u4").tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(digest, pa.binary()), pa.array(data, pa.binary())], names=["node", "vector"])
+def _pack_vectors(docs: int, share: float | None):
+    """Whole vectors of the documents, for comparison: their number of shingles, 52-bit hashes (7 byte planes would save
+    little), and places and weights of those whose weight is not 1."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            frequent = batch.column(1).to_pylist()
+            for lo, digest, doc, sh, count in _vectors(batch.column(0).to_pylist()):
+                w = weights(doc, sh, count, frequent[lo : lo + len(digest)], docs, share)
+                cuts = np.searchsorted(doc, np.arange(len(digest) + 1)).tolist()
+                data = []
+                for a, b in zip(cuts, cuts[1:]):
+                    odd = np.flatnonzero(w[a:b] != 1)
+                    data.append(np.uint32(b - a).tobytes() + sh[a:b].tobytes() + odd.astype("<u4").tobytes() + w[a:b][odd].astype("<f8").tobytes())
+                yield pa.RecordBatch.from_arrays([pa.array(digest, pa.binary()), pa.array(data, pa.binary())], names=["node", "vector"])
+
+    return run
 
 
-def _unpack(data: bytes, heavy) -> tuple[np.ndarray, np.ndarray]:
+def _unpack(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     n = int.from_bytes(data[:4], "little")
-    ids = np.frombuffer(data, np.uint64, n, 4)
-    rest = np.frombuffer(data, "<u4", -1, 4 + 8 * n).reshape(2, -1)
-    count = np.ones(n, np.int64)
-    count[rest[0]] = rest[1]
-    return ids, weights(ids, count, heavy)
+    odd = (len(data) - 4 - 8 * n) // 12
+    w = np.ones(n)
+    w[np.frombuffer(data, "<u4", odd, 4 + 8 * n)] = np.frombuffer(data, "<f8", odd, 4 + 8 * n + 4 * odd)
+    return np.frombuffer(data, np.uint64, n, 4), w
 
 
 def weighted_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
@@ -254,7 +281,7 @@ def _similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarra
     return max(sim, weighted_jaccard((a[0], np.ones(len(a[0]))), (b[0], np.ones(len(b[0]))))) if plain else sim
 
 
-def _compare(heavy, least: float, plain: bool):
+def _compare(least: float, plain: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict = {}
         for batch in batches:
@@ -262,15 +289,15 @@ def _compare(heavy, least: float, plain: bool):
             sims = []
             for na, nb, va, vb in zip(a, b, batch.column("va").to_pylist(), batch.column("vb").to_pylist()):
                 if nb not in known:
-                    known = {nb: _unpack(vb, heavy)}  # the hub stays while its rows follow each other
-                sims.append(_similarity(_unpack(va, heavy), known[nb], plain))
+                    known = {nb: _unpack(vb)}  # the hub stays while its rows follow each other
+                sims.append(_similarity(_unpack(va), known[nb], plain))
             ok = np.flatnonzero(np.array(sims) >= least - 1e-9)
             yield pa.RecordBatch.from_arrays([pa.array([a[i] for i in ok], pa.binary()), pa.array([b[i] for i in ok], pa.binary()), pa.array([sims[i] for i in ok], pa.float64())], names=["a", "b", "similarity"])
 
     return run
 
 
-def _compare_blocks(heavy, least: float, plain: bool):
+def _compare_blocks(least: float, plain: bool):
     """Links between nodes of different classes in two blocks of a bucket (or in one block), as far as classes need
     them: a link joins its classes at once, so later pairs of theirs are skipped. A pair is left to the least
     bucket that both nodes share."""
@@ -287,7 +314,7 @@ def _compare_blocks(heavy, least: float, plain: bool):
                 x = up[x]
             return x
 
-        vec = [_unpack(r[4], heavy) for r in rows]
+        vec = [_unpack(r[4]) for r in rows]
         size = [v[1].sum() for v in vec]
         near = lambda a, b: min(a, b) >= (least - 1e-9) * max(a, b)
         out = []
@@ -322,7 +349,7 @@ def _shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([node.take(pa.array(np.repeat(np.arange(len(many)), many))), pa.array(ids)], names=["node", "bucket"])
 
 
-def _prefix(heavy, least: float, plain: bool):
+def _prefix(least: float, plain: bool):
     """Of the shingles that other nodes hold too (shingle and number of nodes), those in a node's prefix.
 
     The order is one for all nodes: by number of nodes, then by hash. The prefix ends where what follows weighs less
@@ -333,7 +360,7 @@ def _prefix(heavy, least: float, plain: bool):
         for batch in batches:
             out = []
             for data, held in zip(batch.column("vector").to_pylist(), batch.column("held")):
-                ids, w = _unpack(data, heavy)
+                ids, w = _unpack(data)
                 n = np.ones(len(ids), np.int64)
                 if held.is_valid:
                     n[np.searchsorted(ids, held.values.field("bucket").to_numpy().astype(np.uint64))] = held.values.field("n").to_numpy()
@@ -373,14 +400,17 @@ def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
     return materialize(known.unionByName(moved.join(labels, "node", "left_anti")), "op9-labels")
 
 
-def classes(docs: DataFrame, least: float = 0.8, bands: int = BANDS, rows: int = ROWS, plain: bool = False) -> DataFrame:
+def classes(docs: DataFrame, least: float = 0.8, bands: int = BANDS, rows: int = ROWS, plain: bool = False, share: float | None = RARE) -> DataFrame:
     """doc_id and class_id of every row of `docs` (doc_id, text); with `plain` the similarity of a pair is no less
-    than the Jaccard similarity of its sets of shingles."""
+    than the Jaccard similarity of its sets of shingles; idf is full with `share` None, else 1 up to that share."""
     spark = docs.sparkSession
     small_batches(spark)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    heavy = heavy_shingles(texts)
-    signed = materialize(texts.mapInArrow(tidy(_sign(heavy, bands, rows, plain)), "doc_id long, node binary, bands array<long>"), "op9-signed")
+    texts = texts.withColumn("key", F.xxhash64("text"))
+    frequencies = document_frequencies(texts)
+    many = texts.filter(F.col("text").rlike(r"[^\x20\x09-\x0D]")).count()
+    counted = lambda some: some.join(frequencies, "key", "left")
+    signed = materialize(counted(texts).select("doc_id", "text", "frequent").mapInArrow(tidy(_sign(many, share, bands, rows, plain)), "doc_id long, node binary, bands array<long>"), "op9-signed")
     nodes = materialize(signed.filter("bands IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands")), "op9-nodes")
 
     # nodes that share a bucket with another
@@ -393,12 +423,12 @@ def classes(docs: DataFrame, least: float = 0.8, bands: int = BANDS, rows: int =
     shared = members.select("node").distinct()
     wanted = shared.join(nodes, "node").select("doc_id").distinct()
     some = texts.mapInArrow(member_filter(wanted, "doc_id"), texts.schema)
-    packed = some.join(wanted, "doc_id", "left_semi").select("text").mapInArrow(tidy(_pack_vectors), "node binary, vector binary")
+    packed = counted(some.join(wanted, "doc_id", "left_semi")).select("text", "frequent").mapInArrow(tidy(_pack_vectors(many, share)), "node binary, vector binary")
     vectors = materialize(packed.join(shared, "node", "left_semi").dropDuplicates(["node"]), "op9-vectors")
     va, vb = vectors.select(F.col("node").alias("a"), F.col("vector").alias("va")), vectors.select(F.col("node").alias("b"), F.col("vector").alias("vb"))
 
     def compared(pairs: DataFrame) -> DataFrame:
-        return pairs.distinct().join(va, "a").join(vb, "b").mapInArrow(tidy(_compare(heavy, least, plain)), LINK)
+        return pairs.distinct().join(va, "a").join(vb, "b").mapInArrow(tidy(_compare(least, plain)), LINK)
 
     labels = components(materialize(compared(members.filter("node != hub").select(F.col("node").alias("a"), F.col("hub").alias("b"))), "op9-links"))
     left = members.select("node", "bucket")
@@ -418,7 +448,7 @@ def classes(docs: DataFrame, least: float = 0.8, bands: int = BANDS, rows: int =
         shingles = some.mapInArrow(tidy(_shingles), "node binary, bucket long")
         often = materialize(shingles.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1"), "op9-often")
         held = _of_bucket(shingles, often, often.agg(F.sum("n")).first()[0] or 0).groupBy("node").agg(F.collect_list(F.struct("bucket", "n")).alias("held"))
-        prefixes = some.join(held, "node", "left").mapInArrow(tidy(_prefix(heavy, least, plain)), "node binary, prefix array<long>")
+        prefixes = some.join(held, "node", "left").mapInArrow(tidy(_prefix(least, plain)), "node binary, prefix array<long>")
         prefixes = materialize(prefixes.select("node", F.explode("prefix").alias("bucket")), "op9-prefixes")
 
         def mixed_prefixes(more: str) -> DataFrame:
@@ -441,7 +471,7 @@ def classes(docs: DataFrame, least: float = 0.8, bands: int = BANDS, rows: int =
         left = left.withColumn("other", F.explode(F.sequence(F.lit(0), meets - 1)))
         left = left.select("bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), F.when(F.col("own") < F.col("other"), 0).otherwise(1).alias("side"), "node", "label")
         left = left.join(nodes.select("node", F.transform("bands", lambda k, i: F.xxhash64(i % bands, k)).alias("bands")), "node").join(vectors, "node")
-        labels = _merged(labels, materialize(left.groupBy("bucket", "i", "j").applyInArrow(_compare_blocks(heavy, least, plain), LINK), "op9-links"))
+        labels = _merged(labels, materialize(left.groupBy("bucket", "i", "j").applyInArrow(_compare_blocks(least, plain), LINK), "op9-links"))
     of = nodes.select("node", "doc_id").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     least_id = of.groupBy("label").agg(F.min("doc_id").alias("class_id"))
     of = of.join(least_id, "label").select("node", "class_id")
@@ -449,7 +479,7 @@ def classes(docs: DataFrame, least: float = 0.8, bands: int = BANDS, rows: int =
     return out.select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"))
 
 
-def keep(docs: DataFrame, least: float = 0.8, plain: bool = False) -> DataFrame:
+def keep(docs: DataFrame, least: float = 0.8, plain: bool = False, share: float | None = RARE) -> DataFrame:
     """One document of each class, the one with the smallest doc_id (null last), with all columns.
 
     Rows without an id, and rows whose ids are not their own, get numbers beyond the others' for the comparison. Null
@@ -467,7 +497,7 @@ def keep(docs: DataFrame, least: float = 0.8, plain: bool = False) -> DataFrame:
         marked = docs.join(odd, F.col("id").eqNullSafe(F.col("odd_id")), "left")
         number = F.when(F.col("odd"), F.lit(base) + F.lit(sign) * F.monotonically_increasing_id()).otherwise(F.col("id"))
         rows = materialize(marked.select("row", "id", number.alias("doc_id"), "text"), "op9-numbered")
-    label = classes(rows.select("doc_id", "text"), least, plain=plain)
+    label = classes(rows.select("doc_id", "text"), least, plain=plain, share=share)
     ids = rows.select("doc_id", "id")
     best = label.join(ids, "doc_id").groupBy("class_id").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "doc_id")).alias("best"))
     return rows.join(best.select(F.col("best.doc_id").alias("doc_id")), "doc_id", "left_semi").select("row.*")

@@ -285,6 +285,34 @@ def test_near_classes_find_pairs_at_the_limit(spark):
     assert all(got[d] // 10 == d // 10 for d in got if d < 5000)
 
 
+def test_near_classes_weigh_by_document_frequency(spark):
+    """With full idf, boilerplate of a tenth of the documents counts less than what a pair alone shares, and the weights
+    are those of exact counts; with a share of a tenth it counts as much, and the pair is parted."""
+    rng = random.Random(61)
+    line, body = words(rng, 80, "abcdefghijklmnop"), words(rng, 200, "abcdefghijklmnop")
+    texts = [(i, " ".join(words(rng, 100, "abcdefghijklmnop") + (line if i % 11 == 0 else []))) for i in range(400)]
+    texts += [(1000, " ".join(body + line)), (1001, " ".join(body)), (1002, None), (1003, " ")]
+    for plain in (False, True):
+        got = {r.doc_id: r.class_id for r in op9_minhash.classes(table(spark, texts), plain=plain, share=None).collect()}
+        assert got == {d: 1000 if d == 1001 else d for d, _ in texts}
+    assert {r.doc_id: r.class_id for r in op9_minhash.classes(table(spark, texts), plain=True).collect()}[1001] == 1001
+
+
+def test_document_frequencies(spark):
+    """Exact counts over all rows, copies too, for every shingle that several documents hold."""
+    texts = [t or "" for _, t in near_texts()]
+    rows = spark.createDataFrame([(t,) for t in [*texts, *texts[:40]]], "text string").withColumn("key", F.xxhash64("text"))
+    want = collections.defaultdict(set)
+    for at, t in enumerate([*texts, *texts[:40]]):
+        for s in (t.lower().split()[i : i + 5] for i in range(max(1, len(t.split()) - 4)) if t.split()):
+            want[tuple(s)].add(at)
+    got = {}
+    for r in op9_minhash.document_frequencies(rows.repartition(7), part_bytes=4 << 10).collect():
+        n = len(r.frequent) // 12
+        got |= dict(zip(np.frombuffer(r.frequent, "<u8", n).tolist(), np.frombuffer(r.frequent, "<u4", n, 8 * n).tolist()))
+    assert sorted(got.values()) == sorted(len(x) for x in want.values() if len(x) > 1)
+
+
 def test_weighted_samples_estimate_jaccard():
     rng = np.random.default_rng(1)
     ids = np.sort(rng.choice(1 << 50, 300, replace=False).astype(np.uint64))
