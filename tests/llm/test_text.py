@@ -525,6 +525,39 @@ def test_passages_of_frequent_seeds_against_all_pairs(spark):
     assert all(len(found.get(i, ())) >= 50 for i in changed)
 
 
+def test_changed_passages_of_frequent_seeds_alone(spark):
+    """Changed copies without 16 equal words in a row, of which each seed is frequent and stands first in others."""
+    rng = random.Random(47)
+    pieces = [words(rng, 8) for _ in range(16)]
+    texts = {i: words(rng, rng.randint(3, 9)) + pieces[i % 16] + words(rng, rng.randint(3, 9)) for i in range(16 * 280)}
+    for i in range(5000, 5012):
+        texts[i] = words(rng, 5) + [w for k in rng.sample(range(16), 9) for w in pieces[k]] + words(rng, 5)
+    for i in range(5012, 5024):
+        own = list(texts[i - 12])
+        for k in range(12, 77, 8):
+            own[k] = f"x{i}"
+        if i % 2:
+            own[30:30] = [f"y{i}"]
+        texts[i] = own
+    got = op3_chains.passages(table(spark, [(i, " ".join(w)) for i, w in texts.items()])).collect()
+    assert {(i, i - 12) for i in range(5012, 5024)} <= {(r.doc_id, r.match_id) for r in got if r.end_word - r.start_word >= 60}
+
+
+def test_frequent_seeds_as_all_links(spark):
+    """Whatever number makes a seed frequent, the passages are those of all links."""
+    rng = random.Random(48)
+    pieces = [words(rng, 9) for _ in range(10)] + [["the"] * 7, words(rng, 2) * 5]
+    rows = []
+    for i in range(160):
+        own = [w for k in rng.sample(range(12), rng.randint(1, 9)) for w in pieces[k]]
+        if i > 40 and rng.random() < 0.7:
+            own = rows[rng.randrange(i)][1].split()
+        own = [w if rng.random() > 0.06 else rng.choice([f"x{rng.randrange(9)}", "", "the the"]) for w in own]
+        rows.append((i, " ".join(words(rng, rng.randint(0, 30)) + own + words(rng, rng.randint(0, 30)))))
+    every, some = ({tuple(r) for r in op3_chains.passages(table(spark, rows), hot=hot).collect()} for hot in (1 << 40, 3))
+    assert {r[:2] + r[3:4] for r in every} <= {r[:2] + r[3:4] for r in some} and len(every) > 100
+
+
 def test_passages_apart_in_one_pair(spark):
     rng = random.Random(32)
     one, two = words(rng, 300), words(rng, 300)
