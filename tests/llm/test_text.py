@@ -558,6 +558,33 @@ def test_frequent_seeds_as_all_links(spark):
     assert {r[:2] + r[3:4] for r in every} <= {r[:2] + r[3:4] for r in some} and len(every) > 100
 
 
+def test_pairs_of_words_that_both_sides_keep():
+    """Sides of a stretch of few enough wrong columns keep common pairs of words; a line after as many rarer ones as a short
+    side may have unmatched is no longer kept."""
+    rng = np.random.default_rng(49)
+    spans, joint = op3_chains._spans(50, 0.8), op3_chains._joint(50, 0.8)
+    for _ in range(300):
+        n = int(rng.integers(50, 100))
+        a, b = [], []
+        wrong = set(rng.choice(n, int(n * 0.2 + 1e-9), replace=False).tolist()) - set(range(k := int(rng.integers(0, n - 4)), k + 4))
+        kind = rng.random()
+        for i in range(n):
+            word = i % 90
+            a += [] if i in wrong and rng.random() < kind else [word + 1000 * (i in wrong)]
+            b += [] if i in wrong and a and rng.random() < kind / 2 else [word + 2000 * (i in wrong)]
+        order = rng.integers(0, len(op3_chains.STEPS) + 1, 1 << 16)
+        kept = []
+        for side in (a, b):
+            pair = [x * 3001 + y for x, y in zip(side, side[1:])]
+            step = order[np.array(pair) % (1 << 16)].astype(np.uint8)
+            few, first = op3_chains._preceded(step, np.ones(len(pair), bool), spans, joint)
+            kept.append([collections.Counter(p for p, k in zip(pair, own) if k) for own in (few, first)])
+        assert (kept[0][0] & kept[1][0]).total() >= joint and (kept[0][1] & kept[1][1]).total() >= 1
+    step = np.repeat([1, 5, 2], [20, 19, 20]).astype(np.uint8)  # a line between rarer pairs
+    few, _ = op3_chains._preceded(step, np.ones(59, bool), spans, joint)
+    assert few.sum() == 40
+
+
 def test_passages_apart_in_one_pair(spark):
     rng = random.Random(32)
     one, two = words(rng, 300), words(rng, 300)
