@@ -101,13 +101,13 @@ def _count(parts: int):
 
     def run(table: pa.Table) -> pa.Table:
         key, ids, n = unpack(table.column("data").to_pylist(), 3)
-        order = np.argsort(ids, kind="stable")
+        order = np.argsort(ids)
         key, ids, n = key[order], ids[order], n[order]
         begin = _starts(ids)
         df = np.repeat(np.add.reduceat(n, begin), np.diff(np.append(begin, len(ids)))) if len(ids) else ids
         several = df > 1
         key, ids, df = key[several], ids[several], df[several]
-        order = np.lexsort((ids, key))
+        order = np.argsort(key, kind="stable")
         key, ids, df = key[order], ids[order], df[order]
         rows = _by(hash_long(key).astype(np.int64) % parts, 0, key, ids * parts + table.column("key")[0].as_py(), df)
         give_back()
@@ -119,7 +119,8 @@ def _count(parts: int):
 def _by_text(table: pa.Table) -> pa.Table:
     """For each text of a part its shingles in several documents: 64-bit hashes, in order, then 32-bit numbers of documents."""
     key, ids, df = unpack(table.column("data").to_pylist(), 3)
-    order = np.lexsort((ids, key))
+    order = np.argsort(ids)
+    order = order[np.argsort(key[order], kind="stable")]
     key, ids, df = key[order], ids[order], df[order]
     one = _starts(key, ids)  # copies of a text come from several blocks
     key, ids, df = key[one], ids[one], df[one]
@@ -168,15 +169,18 @@ def _draws(k: int):
 _R, _LNC, _ODD = _draws(256)
 
 
-def samples(doc: np.ndarray, ids: np.ndarray, w: np.ndarray, k: int, at_once: int = 1 << 15) -> tuple[np.ndarray, np.ndarray]:
-    """Documents that have shingles, and their k consistent weighted samples (documents, k) as 64-bit numbers.
+def samples(doc: np.ndarray, ids: np.ndarray, w: np.ndarray, k: int, at_once: int = 1 << 15, plain: bool = False) -> tuple[np.ndarray, ...]:
+    """Documents that have shingles, and their k consistent weighted samples (documents, k) as 64-bit numbers; with
+    `plain` also those of unit weights, from the same hashes.
 
     For a shingle of weight w: t = floor(ln w / r + b), ln y = r (t - b), ln a = ln c - ln y - r; the shingle with
     the least a is drawn, together with its t. The drawn number holds ln a (order kept) above the shingle's name, which
     is made for what is drawn alone; equal ln a are ordered as the document's shingles are, by hash.
     """
     first = np.flatnonzero(np.concatenate(([True], doc[1:] != doc[:-1]))) if len(doc) else np.zeros(0, np.int64)
-    out = np.empty((len(first), k), np.uint64)
+    out, unit = np.empty((len(first), k), np.uint64), np.empty((len(first), k if plain else 0), np.uint64)
+    # |ln a| <= |ln c| + |ln w| + 2 r, so 1024 more is positive and keeps the order as bits
+    bits = lambda lna: (lna + np.float32(1024)).view(np.uint32).astype(np.uint64) << np.uint64(32)
     ends = np.append(first[1:], len(doc))
     lo = 0
     while lo < len(first):
@@ -191,20 +195,22 @@ def samples(doc: np.ndarray, ids: np.ndarray, w: np.ndarray, k: int, at_once: in
         for j in range(k):
             x = s * _ODD[j]
             parts = x.view(np.uint16).reshape(-1, 4)
-            r = _R[parts[:, 3]]
+            r, lnc = _R.take(parts[:, 3]), _LNC.take(parts[:, 2])
             beta = parts[:, 1] * np.float32(2**-16)
-            lna = _LNC[parts[:, 2]] - r * (1 - beta)  # where ln w = 0, t is 0
+            packed = bits(lnc - r * (1 - beta)) | place  # where ln w = 0, t is 0
+            if plain:
+                least = np.minimum.reduceat(packed, starts)
+                unit[lo:hi, j] = least & ~np.uint64(0xFFFFFFFF) | s[(least & np.uint64(0xFFFFFFFF)).astype(np.int64)] & np.uint64(0xFFFFFFFF)
             if len(odd):
                 ro, bo = r[odd], beta[odd]
-                lna[odd] = _LNC[parts[odd, 2]] - ro * (np.floor(lnw[odd] / ro + bo) - bo + 1)
-            packed = (np.clip(lna, -1000, 1000) + np.float32(1024)).view(np.uint32).astype(np.uint64) << np.uint64(32) | place
+                packed[odd] = bits(lnc[odd] - ro * (np.floor(lnw[odd] / ro + bo) - bo + 1)) | place[odd]
             least = np.minimum.reduceat(packed, starts)
             at = (least & np.uint64(0xFFFFFFFF)).astype(np.int64)
             t = np.floor(lnw[at] / r[at] + beta[at]).astype(np.int64)
             name = np.where(lnw[at] != 0, mix(s[at] + (t * 2 + 1).astype(np.uint64)), s[at])
             out[lo:hi, j] = least & ~np.uint64(0xFFFFFFFF) | name & np.uint64(0xFFFFFFFF)
         lo = hi
-    return doc[first], out
+    return (doc[first], out, unit) if plain else (doc[first], out)
 
 
 def _keys(got: np.ndarray, bands: int, rows: int) -> np.ndarray:
@@ -224,15 +230,14 @@ def _sign(docs: int, share: float | None, bands: int, rows: int, plain: bool):
             ids, frequent = batch.column(0).to_pylist(), batch.column(2).to_pylist()
             for lo, digest, doc, sh, count in _vectors(batch.column(1).to_pylist()):
                 w = weights(doc, sh, count, frequent[lo : lo + len(digest)], docs, share)
-                have, got = samples(doc, sh, w, bands * rows)
+                have, got, *unit = samples(doc, sh, w, bands * rows, plain=plain)
                 by = dict(zip(have.tolist(), _keys(got, bands, rows).view(np.int64).tolist()))
                 if plain:
                     # where all weights are 1 the samples are those of unit weights
                     other = np.zeros(len(digest), bool)
                     other[doc[w != 1]] = True
-                    some = other[doc]
-                    have, got = samples(doc[some], sh[some], np.ones(some.sum()), bands * rows)
-                    for i, keys in zip(have.tolist(), _keys(got, bands, rows).view(np.int64).tolist()):
+                    some = other[have]
+                    for i, keys in zip(have[some].tolist(), _keys(unit[0][some], bands, rows).view(np.int64).tolist()):
                         by[i] += keys
                 yield pa.RecordBatch.from_arrays([pa.array(ids[lo : lo + len(digest)], pa.int64()), pa.array(digest, pa.binary()), pa.array([by.get(i) for i in range(len(digest))], pa.list_(pa.int64()))], names=["doc_id", "node", "bands"])
 

@@ -585,6 +585,16 @@ def test_pairs_of_words_that_both_sides_keep():
     assert few.sum() == 40
 
 
+def test_unit_samples_beside_weighted_ones():
+    rng = np.random.default_rng(50)
+    doc, ids = np.repeat(np.arange(40), 25), rng.integers(0, 1 << 52, 1000).astype(np.uint64)
+    w = np.where(rng.random(1000) < 0.5, rng.uniform(0.05, 4, 1000), 1.0)
+    have, weighted, unit = op9_minhash.samples(doc, ids, w, 30, plain=True)
+    assert (have == np.arange(40)).all() and (weighted != unit).any()
+    assert (weighted == op9_minhash.samples(doc, ids, w, 30)[1]).all()
+    assert (unit == op9_minhash.samples(doc, ids, np.ones(1000), 30)[1]).all()
+
+
 def test_passages_apart_in_one_pair(spark):
     rng = random.Random(32)
     one, two = words(rng, 300), words(rng, 300)
