@@ -603,6 +603,46 @@ def test_passages_apart_in_one_pair(spark):
     assert sorted((r.start_word, r.end_word) for r in got if r.doc_id == 2) == [(0, 300), (700, 1000)]
 
 
+def test_chains_of_documents_that_meet_by_stretches(monkeypatch):
+    """A bucket's anchors are never held all at once, and the chains are those of all anchors."""
+    import pyarrow as pa
+
+    rng = np.random.default_rng(5)
+    docs, matches, seeds = np.arange(100, 140), np.arange(20), 12
+    table = lambda rows: pa.table(dict(zip(("key", "kind", "data"), zip(*rows))))
+    held = {d: [(s, x) for s in range(seeds) for x in np.sort(rng.choice(400, rng.integers(1, 5), replace=False))] for d in (*docs, *matches)}
+    column = lambda of, i: np.array([o[i] for o in of], np.int64)
+    frequent = [(d, s, x, 1) for d in docs for s, x in held[d]]
+    theirs = [(m, s, x) for m in matches for s, x in held[m]]
+    cool = [(d, m, x, x + 3, 0) for d in docs for m in (7, 900) for x in range(0, 30, int(rng.integers(1, 4)))]
+    again = table([(3, op3_chains.FREQUENT, op3_chains.pack(*(column(frequent, i) for i in range(4)))), (3, op3_chains.ANCHORS, op3_chains.pack(*(column(cool, i) for i in range(5))))])
+    met = [(m, d) for m in matches for d in docs if (m + d) % 3]
+    other = table([(3, op3_chains.MEET, op3_chains.pack(column(met, 0), column(met, 1))), (3, op3_chains.THEIRS, op3_chains.pack(*(column(theirs, i) for i in range(3))))])
+    want = {(d, m, x, y) for d, m, x, y, _ in cool}
+    want |= {(d, m, x, y) for m, d in met for s, x in held[d] for t, y in held[m] if s == t}
+    linked, sizes = op3_chains._linked, []
+    monkeypatch.setattr(op3_chains, "_linked", lambda doc, match, x, y, need: (sizes.append((len(doc), {*zip(doc.tolist(), match.tolist(), x.tolist(), y.tolist())})), linked(doc, match, x, y, need))[1])
+    got = op3_chains._rest(50, 0.8, most=500)(again, other)
+    assert set().union(*(a for _, a in sizes)) == want and len(want) > 10_000
+    assert max(n for n, _ in sizes) <= 600 and len(sizes) > 20
+    whole = op3_chains._rest(50, 0.8, most=1 << 40)(again, other)
+    chains_of = lambda t: sorted(zip(*(c.tolist() for i, c in enumerate(op3_chains.unpack(t.column("data").to_pylist(), 6)) if i != 2)))
+    assert chains_of(got) == chains_of(whole)
+
+
+def test_words_along_chains_are_asked_once():
+    import pyarrow as pa
+
+    doc, match = np.repeat(np.arange(50, 90), 3), np.tile([1, 2, 50], 40)
+    x, y, size = np.arange(120) % 7 * 100, np.arange(120) % 5 * 40, np.full(120, 30)
+    batch = pa.RecordBatch.from_pydict({"key": [0], "kind": [op3_chains.CHAINS], "data": [op3_chains.pack(doc, match, np.arange(120), x, y, size)]})
+    rows = [r for b in op3_chains._asked(iter([batch])) for r in b.to_pylist()]
+    words = [(r["of"], w) for r in rows for w in range(r["lo"], r["hi"])]
+    assert all(r["lo"] // 256 == (r["hi"] - 1) // 256 == r["block"] for r in rows)
+    want = {(of, w) for ofs, at in ((doc, x), (match, y)) for of, a in zip(ofs.tolist(), at.tolist()) for w in range(max(0, a - 50), a + 80)}
+    assert set(words) == want and len(words) == len(want)
+
+
 def test_chains_are_parted_as_by_whole_alignments(monkeypatch):
     rng = np.random.default_rng(8)
     edit, asked = op3_chains._edit, []
