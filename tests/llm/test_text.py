@@ -603,6 +603,32 @@ def test_passages_apart_in_one_pair(spark):
     assert sorted((r.start_word, r.end_word) for r in got if r.doc_id == 2) == [(0, 300), (700, 1000)]
 
 
+def test_documents_with_enough_other_seeds_meet():
+    """Documents that seeds other than frequent ones link are linked by all frequent ones, too, however far off these are."""
+    import pyarrow as pa
+
+    doc, match, x = np.repeat([50, 50, 51], 7), np.repeat([1, 2, 1], 7), np.tile(np.arange(7), 3)
+    keep = np.arange(21) != 10  # the second pair has one too few
+    anchors = op3_chains.pack(*(c[keep] for c in (doc, match, x, x, x * 0)))
+    got = op3_chains._linked_already(4, 7, 3)(pa.table({"key": [0], "kind": [op3_chains.ANCHORS], "data": [anchors]}))
+    assert set(got.column("kind").to_pylist()) == {op3_chains.MEET}
+    match, doc, n = op3_chains._summed(got.column("data").to_pylist())
+    assert sorted(zip(doc.tolist(), match.tolist())) == [(50, 1), (51, 1)] and (n & 256 > 0).all() and ((n & 255) >= 3).all()
+
+
+def test_pairs_of_words_are_counted_in_all_texts(spark):
+    """The order of pairs comes from every text, however many there are: no sample."""
+    rng = random.Random(50)
+    rows = [(i, " ".join(words(rng, 40) + ["a", "b"] * (3 if i % 10 else 1))) for i in range(600)]
+    counts = np.zeros(op3_chains.SLOTS, np.int64)
+    for _, t in rows:
+        h = op3_chains.word_hashes([t])[0] & np.uint64(0xFFFFFFFF)
+        np.add.at(counts, op3_chains._slot(h[:-1] << np.uint64(32) | h[1:]), 1)
+    steps = op3_chains._steps(table(spark, rows).repartition(5))
+    assert (steps == np.searchsorted(op3_chains.STEPS, counts, side="right")).all() and steps.max() == len(op3_chains.STEPS)
+    assert not op3_chains._steps(table(spark, [])).any()
+
+
 def test_chains_of_documents_that_meet_by_stretches(monkeypatch):
     """A bucket's anchors are never held all at once, and the chains are those of all anchors."""
     import pyarrow as pa
