@@ -8,7 +8,8 @@ candidates.
    cutoff / SLICES in some list; those entries are collected.
 3. Their whole scores are resolved exactly, those under the cutoff go, the rest are ranked.
 
-Queries and candidates meet in blocks (a stated query set against all rows); rows leave a block only as its best k.
+Queries and candidates meet in blocks (a stated query set against all rows); rows leave a block only as its best k. The
+queries go to groups of blocks by a shuffle, never by a broadcast, and vectors travel in as few bytes as their components need.
 Components become floor(256 x) as whole numbers. Vectors that are null, or hold a null or non-finite component, and
 rows without vec_id take no part; vectors of unequal length are compared as if the shorter ended in zeros; an empty
 vector scores 0. Scores are whole numbers of 64 bits: a component of which a vector's length times its square
@@ -59,7 +60,13 @@ def _pack(table: pa.Table) -> pa.Table:
     """The vectors of one block in one row."""
     m = _matrix(table)
     cut = table.column("cut").to_numpy() if "cut" in table.column_names else np.full(len(m), _NONE)
-    return pa.table({"block": table.column("block")[:1], "ids": pa.array([table.column("vec_id").to_numpy().astype("<i8").tobytes()], pa.binary()), "cuts": pa.array([cut.astype("<i8").tobytes()], pa.binary()), "dim": pa.array([m.shape[1]], pa.int32()), "data": pa.array([m.astype("<i8").tobytes()], pa.binary())})
+    kind = next(k for k in ("<i1", "<i2", "<i4", "<i8") if not m.size or np.iinfo(k).min <= m.min() and m.max() <= np.iinfo(k).max)
+    return pa.table({"block": table.column("block")[:1], "ids": pa.array([table.column("vec_id").to_numpy().astype("<i8").tobytes()], pa.binary()), "cuts": pa.array([cut.astype("<i8").tobytes()], pa.binary()), "dim": pa.array([m.shape[1]], pa.int32()), "data": pa.array([m.astype(kind).tobytes()], pa.binary())})
+
+
+def _unpack(data: bytes, n: int, dim: int) -> np.ndarray:
+    """The vectors of a block as whole numbers of 64 bits."""
+    return np.frombuffer(data, f"<i{len(data) // max(1, n * dim) or 8}").astype(np.int64).reshape(n, dim)
 
 
 _PACKED = "block long, ids binary, cuts binary, dim int, data binary"
@@ -93,7 +100,7 @@ def _phase(k: int, collect: bool, at_once: int = 128):
         for batch in batches:
             for row in batch.to_pylist():
                 qid, cid, cut = (np.frombuffer(row[c], "<i8") for c in ("q_ids", "ids", "q_cuts"))
-                q, c = np.frombuffer(row["q_data"], "<i8").reshape(len(qid), -1), np.frombuffer(row["data"], "<i8").reshape(len(cid), -1)
+                q, c = _unpack(row["q_data"], len(qid), row["q_dim"]), _unpack(row["data"], len(cid), row["dim"])
                 dim = max(1, q.shape[1], c.shape[1])
                 q, c = (np.pad(x, ((0, 0), (0, dim - x.shape[1]))) for x in (q, c))
                 parts = np.array_split(np.arange(dim), min(SLICES, dim))
@@ -124,17 +131,22 @@ def _phase(k: int, collect: bool, at_once: int = 128):
     return run
 
 
-def _meet(queries: DataFrame, candidates: DataFrame, n: int) -> DataFrame:
-    """Every block of queries at every block of candidates."""
-    q = queries.select(F.col("ids").alias("q_ids"), F.col("cuts").alias("q_cuts"), F.col("data").alias("q_data"), F.explode(F.sequence(F.lit(0), F.lit(n - 1)).cast("array<long>")).alias("block"))
-    return candidates.join(q, "block").select("q_ids", "q_cuts", "q_data", "ids", "data")
+def _meet(queries: DataFrame, candidates: DataFrame, n: int, alone: int = 64, together: int = 8) -> DataFrame:
+    """Every block of queries at every block of candidates. Queries go once to each group of candidate blocks: single ones
+    up to `alone`, then up to `together`. A broadcast would hold them on the driver, once for each group: its estimate is
+    made before they are repeated."""
+    groups = min(n, max(alone, -(-n // together)))
+    group = lambda df: df.repartition(groups, "group")
+    q = queries.select(F.col("ids").alias("q_ids"), F.col("cuts").alias("q_cuts"), F.col("dim").alias("q_dim"), F.col("data").alias("q_data"), F.explode(F.sequence(F.lit(0), F.lit(groups - 1)).cast("array<long>")).alias("group"))
+    c = candidates.withColumn("group", F.col("block") % groups)
+    return group(q).hint("merge").join(group(c), "group").select("q_ids", "q_cuts", "q_dim", "q_data", "ids", "dim", "data")
 
 
 def top_k(rows: DataFrame, is_query, k: int = 5, query_block: int = 1024, block: int = 4096) -> DataFrame:
     """query_id, rank, vec_id and score of the k best candidates of each row for which `is_query` holds."""
     small_batches(rows.sparkSession)
     vectors = materialize(quantise(rows), "op10-vectors")
-    asked = vectors.filter(is_query).groupBy("vec_id").agg(F.min("v").alias("v"))
+    asked = materialize(vectors.filter(is_query).groupBy("vec_id").agg(F.min("v").alias("v")), "op10-asked")
     n, n_q = -(-vectors.count() // block) or 1, -(-asked.count() // query_block) or 1
     candidates = materialize(blocks(vectors, n), "op10-blocks")
     out = "query_id long, vec_id long, score long"

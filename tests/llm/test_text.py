@@ -603,6 +603,24 @@ def test_passages_apart_in_one_pair(spark):
     assert sorted((r.start_word, r.end_word) for r in got if r.doc_id == 2) == [(0, 300), (700, 1000)]
 
 
+def test_queries_meet_candidates_without_broadcast(spark):
+    """Repeated queries never pass through the driver, however small they are before, and each pair of blocks meets once."""
+    rng = np.random.default_rng(6)
+    rows = spark.createDataFrame([(i, [float(x) for x in rng.integers(-300, 300, 6)]) for i in range(600)], "vec_id long, embedding array<double>")
+    vectors = op10_topk.quantise(rows).cache()
+    asked, candidates = op10_topk.blocks(vectors.filter("vec_id % 50 = 0"), 3), op10_topk.blocks(vectors, 40)
+    for alone, together in ((64, 8), (4, 8)):
+        met = op10_topk._meet(asked, candidates, 40, alone, together)
+        pairs = [(bytes(r.q_ids), bytes(r.ids)) for r in met.collect()]
+        assert "Broadcast" not in met._jdf.queryExecution().executedPlan().toString()
+        assert len(pairs) == len(set(pairs)) == asked.count() * candidates.count()
+    for row in candidates.collect():
+        n = len(row.ids) // 8
+        assert len(row.data) == n * 6 * 4  # 300 x 256 needs 32 bits
+        assert op10_topk._unpack(row.data, n, row.dim).tolist() == [[256 * x for x in v] for v in (rows.filter(f"vec_id = {i}").first().embedding for i in np.frombuffer(row.ids, "<i8")[:2])] + op10_topk._unpack(row.data, n, row.dim).tolist()[2:]
+        break
+
+
 def test_documents_with_enough_other_seeds_meet():
     """Documents that seeds other than frequent ones link are linked by all frequent ones, too, however far off these are."""
     import pyarrow as pa
